@@ -16,6 +16,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from casewise.operators.silver import REPORT_KEY, drug_fields, reaction_fields
+from casewise.sources import materialize
 
 MIN_PAIR_COUNT = 3  # fixed value: below this a ratio is noise
 CONTINUITY_CORRECTION = 0.5  # fixed value: added to every cell when one is zero
@@ -126,8 +127,13 @@ def build_signals(
     min_count: int = MIN_PAIR_COUNT,
     correction: float = CONTINUITY_CORRECTION,
 ) -> DataFrame:
-    """Scored signals of distinct triples, one row per pair, in no special order."""
-    return score_pairs(contingency(pair_counts(pairs)), min_count, correction)
+    """Scored signals of distinct triples, one row per pair, in no special order.
+
+    The counts are written to the work folder: four aggregates read them, and the
+    triples, which are far more, are gone through once.
+    """
+    counts = materialize(pair_counts(pairs), "pair-counts")
+    return score_pairs(contingency(counts), min_count, correction)
 
 
 def rank_signals(signals: DataFrame) -> DataFrame:

@@ -8,50 +8,51 @@ from __future__ import annotations
 
 from pyspark.sql import types as T
 
-# Field names of the public case-report format.
-_DRUG_DDL = """
-    activesubstance STRUCT<activesubstancename: STRING>,
-    drugcharacterization STRING,
-    drugdosagetext STRING,
-    drugindication STRING,
-    drugstartdate STRING,
-    drugstartdateformat STRING,
-    drugenddate STRING,
-    drugenddateformat STRING,
-    medicinalproduct STRING,
-    openfda STRUCT<
-        application_number: ARRAY<STRING>,
-        brand_name: ARRAY<STRING>,
-        generic_name: ARRAY<STRING>,
-        manufacturer_name: ARRAY<STRING>,
-        substance_name: ARRAY<STRING>>
-"""
-_REACTION_DDL = "reactionmeddrapt STRING, reactionmeddraversionpt STRING, reactionoutcome STRING"
-_HEADER_DDL = """
-    safetyreportid STRING,
-    safetyreportversion STRING,
-    receivedate STRING,
-    receivedateformat STRING,
-    receiptdate STRING,
-    receiptdateformat STRING,
-    serious STRING,
-    seriousnessdeath STRING,
-    seriousnesshospitalization STRING,
-    seriousnesslifethreatening STRING,
-    occurcountry STRING,
-    companynumb STRING,
-    duplicate STRING,
-    primarysource STRUCT<qualification: STRING, reportercountry: STRING>
-"""
+def _texts(names: str) -> list[T.StructField]:
+    return [T.StructField(name, T.StringType()) for name in names.split()]
+
+
+def _record(*fields: T.StructField) -> T.StructType:
+    return T.StructType(list(fields))
+
 
-DRUG_SCHEMA = T.StructType.fromDDL(_DRUG_DDL)
-REACTION_SCHEMA = T.StructType.fromDDL(_REACTION_DDL)
-PATIENT_SCHEMA = (
-    T.StructType.fromDDL("patientonsetage STRING, patientonsetageunit STRING, patientsex STRING")
-    .add("drug", T.ArrayType(DRUG_SCHEMA))
-    .add("reaction", T.ArrayType(REACTION_SCHEMA))
+def _field(name: str, dtype: T.DataType) -> T.StructField:
+    return T.StructField(name, dtype)
+
+
+TEXT_LIST = T.ArrayType(T.StringType())
+
+# Field names of the public case-report format.
+DRUG_SCHEMA = _record(
+    _field("activesubstance", _record(*_texts("activesubstancename"))),
+    *_texts("drugcharacterization drugdosagetext drugindication"),
+    *_texts("drugstartdate drugstartdateformat drugenddate drugenddateformat"),
+    *_texts("medicinalproduct"),
+    _field(
+        "openfda",
+        _record(
+            _field("application_number", TEXT_LIST),
+            _field("brand_name", TEXT_LIST),
+            _field("generic_name", TEXT_LIST),
+            _field("manufacturer_name", TEXT_LIST),
+            _field("substance_name", TEXT_LIST),
+        ),
+    ),
+)
+REACTION_SCHEMA = _record(*_texts("reactionmeddrapt reactionmeddraversionpt reactionoutcome"))
+PATIENT_SCHEMA = _record(
+    *_texts("patientonsetage patientonsetageunit patientsex"),
+    _field("drug", T.ArrayType(DRUG_SCHEMA)),
+    _field("reaction", T.ArrayType(REACTION_SCHEMA)),
+)
+BRONZE_SCHEMA = _record(
+    *_texts("safetyreportid safetyreportversion"),
+    *_texts("receivedate receivedateformat receiptdate receiptdateformat"),
+    *_texts("serious seriousnessdeath seriousnesshospitalization seriousnesslifethreatening"),
+    *_texts("occurcountry companynumb duplicate"),
+    _field("primarysource", _record(*_texts("qualification reportercountry"))),
+    _field("patient", PATIENT_SCHEMA),
 )
-BRONZE_SCHEMA = T.StructType.fromDDL(_HEADER_DDL).add("patient", PATIENT_SCHEMA)
 
 # Date-format codes (full day, month, year).
 DATE_FULL, DATE_MONTH, DATE_YEAR = "102", "610", "602"
@@ -70,18 +71,16 @@ REACTION_OUTCOME_CODES = {
 }
 
 # The case handed to an assessor: one nested row per report, label alongside.
-CASE_SCHEMA = T.StructType.fromDDL(
-    """
-    safetyreportid STRING,
-    patient_sex STRING,
-    patient_onset_age DOUBLE,
-    occur_country STRING,
-    drugs ARRAY<STRUCT<
-        active_substance: STRING, medicinal_product: STRING,
-        drug_role: STRING, indication: STRING>>,
-    reactions ARRAY<STRUCT<reaction_term: STRING, reaction_outcome: STRING>>,
-    label_seriousness STRING
-    """
+CASE_SCHEMA = _record(
+    *_texts("safetyreportid patient_sex"),
+    _field("patient_onset_age", T.DoubleType()),
+    *_texts("occur_country"),
+    _field(
+        "drugs",
+        T.ArrayType(_record(*_texts("active_substance medicinal_product drug_role indication"))),
+    ),
+    _field("reactions", T.ArrayType(_record(*_texts("reaction_term reaction_outcome")))),
+    *_texts("label_seriousness"),
 )
 
 # The assessment contract.
@@ -90,26 +89,20 @@ CONFIDENCE_VALUES = ("high", "medium", "low")
 MAX_KEY_REACTIONS = 5
 MAX_RATIONALE_CHARS = 400
 
-ASSESSMENT_SCHEMA = T.StructType.fromDDL(
-    """
-    seriousness STRING,
-    primary_suspect STRING,
-    key_reactions ARRAY<STRING>,
-    confidence STRING,
-    rationale STRING
-    """
+ASSESSMENT_SCHEMA = _record(
+    *_texts("seriousness primary_suspect"),
+    _field("key_reactions", TEXT_LIST),
+    *_texts("confidence rationale"),
 )
 
-ENRICHED_SCHEMA = (
-    T.StructType.fromDDL("safetyreportid STRING")
-    .add("assessment", ASSESSMENT_SCHEMA)
-    .add("model_id", T.StringType())
-    .add("prompt_version", T.StringType())
-    .add("input_tokens", T.LongType())
-    .add("output_tokens", T.LongType())
-    .add("latency_ms", T.IntegerType())
-    .add("cached", T.BooleanType())
-    .add("label_seriousness", T.StringType())
-    .add("label_primary_suspect", T.StringType())
-    .add("input_substances", T.ArrayType(T.StringType()))
+ENRICHED_SCHEMA = _record(
+    *_texts("safetyreportid"),
+    _field("assessment", ASSESSMENT_SCHEMA),
+    *_texts("model_id prompt_version"),
+    _field("input_tokens", T.LongType()),
+    _field("output_tokens", T.LongType()),
+    _field("latency_ms", T.IntegerType()),
+    _field("cached", T.BooleanType()),
+    *_texts("label_seriousness label_primary_suspect"),
+    _field("input_substances", TEXT_LIST),
 )

@@ -1,11 +1,12 @@
 """Scans, sinks and the shared work folder."""
 
-from .bronze import read_bronze, split_corrupt, union_bronze
+from .bronze import decode_lines, read_bronze, split_corrupt, union_bronze
 from .landed import read_assessments, read_cases, read_ndjson, read_silver
 from .sinks import write_ndjson, write_partitioned_ndjson, write_summary, write_table
 from .workspace import fresh_path, materialize, shared_root
 
 __all__ = [
+    "decode_lines",
     "fresh_path",
     "materialize",
     "read_assessments",

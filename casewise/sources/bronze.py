@@ -2,29 +2,56 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from casewise.schema import BRONZE_SCHEMA
 
-# The JSON reader fills this reserved name; a stored column must not be called so,
-# or it reads back as null.
-_READER_CORRUPT = "_corrupt_record"
+# The parser fills this reserved name; a stored column must not be called so, or it
+# reads back as null.
+_PARSER_CORRUPT = "_corrupt_record"
 RAW_LINE = "raw_line"
 
 
+def _parse_schema(schema: T.StructType) -> T.StructType:
+    return T.StructType([*schema.fields, T.StructField(_PARSER_CORRUPT, T.StringType())])
+
+
+def _verdict(parsed: DataFrame, schema: T.StructType, suspicious: Column, line: str) -> DataFrame:
+    """The fields, and the line's text where no field of it could be read.
+
+    A document with a field of the wrong type stays one, with that field null.
+    """
+    readable = F.coalesce(*(F.when(F.col(n).isNotNull(), True) for n in schema.fieldNames()))
+    broken = suspicious & readable.isNull()
+    return parsed.select(*schema.fieldNames(), F.when(broken, F.col(line)).alias(RAW_LINE))
+
+
 def read_bronze(
     spark: SparkSession, paths: str | list[str], schema: T.StructType = BRONZE_SCHEMA
 ) -> DataFrame:
     """Scan documents, plain or compressed, with the line kept where it is broken.
 
-    The declared columns come back whatever the folder layout is: an
-    ``ingest_date=`` folder adds no column here.
+    The declared columns come back whatever the folder layout is: an ``ingest_date=``
+    folder adds no column here. Blank lines give no rows.
     """
-    with_corrupt = T.StructType(list(schema.fields)).add(_READER_CORRUPT, T.StringType())
-    scan = spark.read.schema(with_corrupt).json(paths)
-    return scan.select(*schema.fieldNames(), F.col(_READER_CORRUPT).alias(RAW_LINE))
+    scan = spark.read.schema(_parse_schema(schema)).json(paths)
+    return _verdict(scan, schema, F.col(_PARSER_CORRUPT).isNotNull(), _PARSER_CORRUPT)
+
+
+def decode_lines(lines: DataFrame, schema: T.StructType = BRONZE_SCHEMA) -> DataFrame:
+    """What ``read_bronze`` does, for a stream of lines in a ``value`` column."""
+    options = {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": _PARSER_CORRUPT}
+    parsed = F.from_json("value", _parse_schema(schema), options).alias("_parsed")
+    fields = (F.col(f"_parsed.{name}").alias(name) for name in schema.fieldNames())
+    suspicious = F.col("_parsed").isNull() | F.col(f"_parsed.{_PARSER_CORRUPT}").isNotNull()
+    decoded = (
+        lines.filter(F.trim("value") != "")
+        .select("value", parsed)
+        .select(*fields, F.col("value").alias("_line"), suspicious.alias("_suspicious"))
+    )
+    return _verdict(decoded, schema, F.col("_suspicious"), "_line")
 
 
 def split_corrupt(scan: DataFrame) -> tuple[DataFrame, DataFrame]:

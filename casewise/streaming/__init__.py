@@ -4,7 +4,6 @@ from .ingest import (
     BROKEN,
     DOCUMENT,
     batch_options,
-    decode_messages,
     drop_replays,
     file_messages,
     kafka_messages,
@@ -19,7 +18,6 @@ __all__ = [
     "BROKEN",
     "DOCUMENT",
     "batch_options",
-    "decode_messages",
     "drop_replays",
     "file_messages",
     "kafka_messages",

@@ -19,8 +19,14 @@ from casewise.operators.assessors import with_reply
 from casewise.operators.silver import latest_versions
 from casewise.schema import BRONZE_SCHEMA
 
-EVENT_SCHEMA = T.StructType.fromDDL(
-    "event_id BIGINT, user_id BIGINT, event_type STRING, value DOUBLE, event_ts STRING"
+EVENT_SCHEMA = T.StructType(
+    [
+        T.StructField("event_id", T.LongType()),
+        T.StructField("user_id", T.LongType()),
+        T.StructField("event_type", T.StringType()),
+        T.StructField("value", T.DoubleType()),
+        T.StructField("event_ts", T.StringType()),
+    ]
 )
 
 
@@ -28,6 +34,15 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def _spread(df: DataFrame) -> DataFrame:
+    """Spread a scan of fewer splits than there are cores; leave a larger one alone.
+
+    A small table can sit in a single file that one task would have to work through.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
+
+
 def _by_value(column: Column, values: dict) -> Column:
     chain = F
     for key, value in values.items():
@@ -48,7 +63,7 @@ def _typed(value, dtype: T.DataType) -> Column:
 
 def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One bronze document per order line."""
-    line = table(spark, sf_dir, "lineitem")
+    line = _spread(table(spark, sf_dir, "lineitem"))
     order = table(spark, sf_dir, "orders").select(
         "o_orderkey", "o_orderstatus", "o_orderpriority", "o_orderdate"
     )
@@ -64,12 +79,18 @@ def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
         .join(nation, F.col("s_nationkey") == F.col("n_nationkey"))
     )
 
-    flag, status = F.col("l_returnflag"), F.col("l_linestatus")
-    number = F.col("l_linenumber").cast("string")
-    quantity = F.col("l_quantity").cast("int").cast("string")
-    shipped = F.date_format(F.col("l_shipdate").cast("date"), "yyyyMMdd")
-    received = F.date_format(F.least("o_orderdate", "l_shipdate").cast("date"), "yyyyMMdd")
-    priority = F.col("o_orderpriority")
+    # Texts that several fields use are columns first, so they are computed once.
+    lines = lines.select(
+        "*",
+        F.date_format(F.col("l_shipdate").cast("date"), "yyyyMMdd").alias("shipped"),
+        F.date_format(F.least("o_orderdate", "l_shipdate").cast("date"), "yyyyMMdd").alias("received"),
+        F.col("l_linenumber").cast("string").alias("number"),
+        F.col("l_quantity").cast("int").cast("string").alias("quantity"),
+    )
+    flag, status, priority = (F.col(n) for n in ("l_returnflag", "l_linestatus", "o_orderpriority"))
+    shipped, received, number, quantity = (
+        F.col(n) for n in ("shipped", "received", "number", "quantity")
+    )
     month, year = F.substring(shipped, 1, 6), F.substring(shipped, 1, 4)
     tax, discount = F.col("l_tax"), F.col("l_discount")
     brand, product = F.col("p_brand"), F.col("p_name")
@@ -126,9 +147,10 @@ def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.when(flag != "N", reaction(None, "26.0", "5")),
     )
 
-    def whole(array: Column) -> Column:
-        # A line without tax reports its first element only.
-        return F.when(tax == 0.0, F.slice(array, 1, 1)).otherwise(array)
+    # A line without tax reports its first element only.
+    shown = F.when(tax == 0.0, 1).otherwise(4)
+    drugs = F.when(discount != 0.0, F.slice(listed, 1, shown))
+    reactions = F.slice(reported, 1, F.when(discount == 0.1, 0).otherwise(shown))
 
     def cents(column: str) -> Column:
         return F.round(F.col(column) * 100).cast("bigint")
@@ -168,8 +190,8 @@ def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
             F.when(tax == 0.07, "adult").otherwise(quantity).alias("patientonsetage"),
             F.lit("801").alias("patientonsetageunit"),
             _by_value(flag, {"A": "1", "N": "2", "R": "0"}).alias("patientsex"),
-            F.when(discount != 0.0, whole(listed)).alias("drug"),
-            F.when(discount == 0.1, F.slice(reported, 1, 0)).otherwise(whole(reported)).alias("reaction"),
+            drugs.alias("drug"),
+            reactions.alias("reaction"),
         ),
     }
     return lines.select(
@@ -189,7 +211,7 @@ def _lines() -> Column:
 
 
 def _labelled_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return table(spark, sf_dir, "documents").join(table(spark, sf_dir, "labels"), "doc_id", "left")
+    return _spread(table(spark, sf_dir, "documents")).join(table(spark, sf_dir, "labels"), "doc_id", "left")
 
 
 def _label() -> Column:

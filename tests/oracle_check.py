@@ -1,0 +1,65 @@
+"""Comparison of a Spark result with its SQL counterpart."""
+
+from __future__ import annotations
+
+import datetime
+import math
+
+import duckdb
+from pyspark.sql import DataFrame
+
+TABLES = (
+    "region nation customer supplier part orders lineitem events documents embeddings "
+    "pages benchmark labels conversations"
+).split()
+
+_KINDS = {
+    "VARCHAR": "string",
+    "BIGINT": "bigint",
+    "INTEGER": "int",
+    "DOUBLE": "double",
+    "BOOLEAN": "boolean",
+    "DATE": "date",
+}
+
+
+def open_tables(sf_dir: str) -> duckdb.DuckDBPyConnection:
+    connection = duckdb.connect()
+    for name in TABLES:
+        connection.execute(f"CREATE VIEW {name} AS SELECT * FROM '{sf_dir}/{name}.parquet'")
+    return connection
+
+
+def _plain(value):
+    if isinstance(value, float) and math.isnan(value):
+        return None
+    if isinstance(value, datetime.datetime):
+        return value.isoformat()
+    return value
+
+
+def _sorted(rows: list[tuple]) -> list[tuple]:
+    return sorted((tuple(map(_plain, row)) for row in rows), key=lambda r: tuple(map(repr, r)))
+
+
+def differences(result: DataFrame, connection: duckdb.DuckDBPyConnection, sql: str) -> list[str]:
+    """What differs in names, types, row count or values; empty when all agree."""
+    relation = connection.sql(sql)
+    names = sorted(result.columns)
+    if names != sorted(relation.columns):
+        return [f"columns {names} against {sorted(relation.columns)}"]
+    kinds = dict(zip(relation.columns, map(str, relation.types), strict=True))
+    wrong = [
+        f"{name}: {kind} against {kinds[name]}"
+        for name, kind in result.dtypes
+        if _KINDS.get(kinds[name]) != kind
+    ]
+    quoted = ", ".join(f'"{name}"' for name in names)
+    expected = _sorted(relation.project(quoted).fetchall())
+    found = _sorted([tuple(row) for row in result.select(*names).collect()])
+    if len(found) != len(expected):
+        wrong.append(f"{len(found)} rows against {len(expected)}")
+    unequal = [(a, b) for a, b in zip(found, expected, strict=False) if a != b]
+    if unequal:
+        wrong.append(f"{len(unequal)} rows differ; first: {unequal[0][0]} against {unequal[0][1]}")
+    return wrong
