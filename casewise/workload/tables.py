@@ -30,8 +30,25 @@ EVENT_SCHEMA = T.StructType(
 )
 
 
+# Declared, so that no query reads file footers just to learn the columns it needs.
+_SCHEMAS = {
+    "orders": "o_orderkey BIGINT, o_orderstatus STRING, o_orderdate TIMESTAMP_NTZ, "
+    "o_orderpriority STRING",
+    "lineitem": "l_orderkey BIGINT, l_partkey BIGINT, l_suppkey BIGINT, l_linenumber INT, "
+    "l_quantity DOUBLE, l_extendedprice DOUBLE, l_discount DOUBLE, l_tax DOUBLE, "
+    "l_returnflag STRING, l_linestatus STRING, l_shipdate TIMESTAMP_NTZ",
+    "part": "p_partkey BIGINT, p_name STRING, p_brand STRING, p_type STRING, p_size INT",
+    "supplier": "s_suppkey BIGINT, s_name STRING, s_nationkey INT",
+    "nation": "n_nationkey INT, n_name STRING",
+    "events": "event_id BIGINT, ts TIMESTAMP_NTZ, user_id BIGINT, event_type STRING, value DOUBLE",
+    "documents": "doc_id BIGINT, text STRING, lang STRING, source STRING, n_chars BIGINT",
+    "labels": "doc_id BIGINT, quality INT, toxic INT",
+}
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    """One of the given tables with the columns this workload uses."""
+    return spark.read.schema(_SCHEMAS[name]).parquet(f"{sf_dir}/{name}.parquet")
 
 
 def _spread(df: DataFrame) -> DataFrame:
@@ -50,152 +67,131 @@ def _by_value(column: Column, values: dict) -> Column:
     return chain
 
 
-def _typed(value, dtype: T.DataType) -> Column:
-    """A column of ``dtype``: a dict becomes a struct whose absent fields are null."""
-    if isinstance(value, dict):
-        return F.struct(*(_typed(value.get(f.name), f.dataType).alias(f.name) for f in dtype))
-    column = value if isinstance(value, Column) else F.lit(value)
-    return column.cast(dtype)
+# --- report documents --------------------------------------------------------------
 
 
-# --- report documents --------------------------------------------------------------
+# Texts that several fields use; columns of their own, so they are computed once.
+_TEXTS = {
+    "shipped": "date_format(cast(l_shipdate AS DATE), 'yyyyMMdd')",
+    "received": "date_format(cast(least(o_orderdate, l_shipdate) AS DATE), 'yyyyMMdd')",
+    "number": "cast(l_linenumber AS STRING)",
+    "quantity": "cast(cast(l_quantity AS INT) AS STRING)",
+}
+
+_DRUGS = (
+    {
+        "activesubstance": {"activesubstancename": "concat('  ', lower(p_brand), chr(9))"},
+        "drugcharacterization": "CASE l_returnflag WHEN 'A' THEN '1' WHEN 'N' THEN '2' ELSE '3' END",
+        "drugindication": "p_type",
+        "drugstartdate": "shipped",
+        "drugstartdateformat": "'102'",
+        "medicinalproduct": "concat(' ', p_name)",
+        "openfda": {"generic_name": "array(p_type, p_brand)", "manufacturer_name": "array(s_name)"},
+    },
+    {
+        "activesubstance": {"activesubstancename": "lower(p_type)"},
+        "drugcharacterization": "'2'",
+        "drugstartdate": "left(shipped, 6)",
+        "drugstartdateformat": "'610'",
+        "drugenddate": "left(shipped, 4)",
+        "drugenddateformat": "'602'",
+        "openfda": {"generic_name": "cast(array() AS ARRAY<STRING>)"},
+    },
+    {"drugcharacterization": "'9'", "drugenddate": "shipped", "medicinalproduct": "p_name"},
+    {
+        "activesubstance": {"activesubstancename": "upper(p_brand)"},
+        "drugcharacterization": "'1'",
+        "medicinalproduct": "upper(p_name)",
+    },
+)
+_REACTIONS = (
+    {
+        "reactionmeddrapt": "concat(lower(n_name), ' ')",
+        "reactionmeddraversionpt": "'26.1'",
+        "reactionoutcome": "number",
+    },
+    {
+        "reactionmeddrapt": "concat(p_name, ' ', cast(p_size AS STRING))",
+        "reactionmeddraversionpt": "'26.0'",
+    },
+    {"reactionmeddraversionpt": "'26.0'", "reactionoutcome": "'5'"},
+)
+
+# A line without tax shows its first element only.
+_SHOWN = "CASE WHEN l_tax = 0 THEN 1 ELSE 4 END"
+
+_DOCUMENT = {
+    "safetyreportid": "concat_ws('-', cast(l_orderkey AS STRING), number)",
+    "safetyreportversion": "CASE WHEN l_tax = 0.08D THEN concat('v', quantity) ELSE quantity END",
+    "receivedate": "received",
+    "receivedateformat": "'102'",
+    "receiptdate": """CASE o_orderpriority
+        WHEN '1-URGENT' THEN
+            CASE WHEN l_discount = 0.1D THEN concat(left(shipped, 4), '0231') ELSE shipped END
+        WHEN '2-HIGH' THEN left(shipped, 6)
+        WHEN '3-MEDIUM' THEN left(shipped, 4)
+        WHEN '5-LOW' THEN left(shipped, 6)
+        ELSE shipped END""",
+    "receiptdateformat": """CASE o_orderpriority
+        WHEN '1-URGENT' THEN '102' WHEN '2-HIGH' THEN '610' WHEN '3-MEDIUM' THEN '602' END""",
+    "serious": "CASE o_orderstatus WHEN 'F' THEN '1' WHEN 'O' THEN '2' WHEN 'P' THEN '3' END",
+    "seriousnessdeath": "CASE l_returnflag WHEN 'R' THEN '1' WHEN 'A' THEN '2' END",
+    "seriousnesshospitalization": "CASE l_linestatus WHEN 'F' THEN '1' END",
+    "seriousnesslifethreatening": "CASE number WHEN '7' THEN '1' ELSE '2' END",
+    "occurcountry": "n_name",
+    "companynumb": """concat_ws('-', cast(l_partkey AS STRING), cast(l_suppkey AS STRING),
+        cast(cast(round(l_extendedprice * 100) AS BIGINT) AS STRING),
+        cast(cast(round(l_discount * 100) AS BIGINT) AS STRING),
+        cast(cast(round(l_tax * 100) AS BIGINT) AS STRING), l_returnflag, l_linestatus)""",
+    "duplicate": "CASE WHEN l_tax = 0.04D THEN '1' END",
+    "primarysource": """CASE WHEN l_discount <> 0.01D THEN
+        named_struct('qualification', number, 'reportercountry', n_name) END""",
+    "patient": {
+        "patientonsetage": "CASE WHEN l_tax = 0.07D THEN 'adult' ELSE quantity END",
+        "patientonsetageunit": "'801'",
+        "patientsex": "CASE l_returnflag WHEN 'A' THEN '1' WHEN 'N' THEN '2' ELSE '0' END",
+        "drug": "CASE WHEN l_discount <> 0 THEN slice(drugs, 1, {shown}) END",
+        "reaction": "slice(reactions, 1, CASE WHEN l_discount = 0.1D THEN 0 ELSE {shown} END)",
+    },
+}
+
+
+def _sql(value: dict | str | None, dtype: T.DataType) -> str:
+    """SQL text of a value of ``dtype``: a dict is a struct whose absent fields are null."""
+    if value is None:
+        return f"cast(NULL AS {dtype.simpleString()})"
+    if isinstance(value, str):
+        return value
+    fields = (f"'{f.name}', {_sql(value.get(f.name), f.dataType)}" for f in dtype)
+    return f"named_struct({', '.join(fields)})"
 
 
 def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One bronze document per order line."""
-    line = _spread(table(spark, sf_dir, "lineitem"))
-    order = table(spark, sf_dir, "orders").select(
-        "o_orderkey", "o_orderstatus", "o_orderpriority", "o_orderdate"
+    line, order, part, supplier, nation = (
+        table(spark, sf_dir, name) for name in ("lineitem", "orders", "part", "supplier", "nation")
     )
-    part = table(spark, sf_dir, "part").select(
-        "p_partkey", "p_name", "p_brand", "p_type", "p_size"
-    )
-    supplier = table(spark, sf_dir, "supplier").select("s_suppkey", "s_name", "s_nationkey")
-    nation = table(spark, sf_dir, "nation").select("n_nationkey", "n_name")
     lines = (
-        line.join(order, F.col("l_orderkey") == F.col("o_orderkey"))
+        _spread(line)
+        .join(order, F.col("l_orderkey") == F.col("o_orderkey"))
         .join(part, F.col("l_partkey") == F.col("p_partkey"))
         .join(supplier, F.col("l_suppkey") == F.col("s_suppkey"))
         .join(nation, F.col("s_nationkey") == F.col("n_nationkey"))
+        .selectExpr("*", *(f"{text} AS {name}" for name, text in _TEXTS.items()))
     )
-
-    # Texts that several fields use are columns first, so they are computed once.
-    lines = lines.select(
-        "*",
-        F.date_format(F.col("l_shipdate").cast("date"), "yyyyMMdd").alias("shipped"),
-        F.date_format(F.least("o_orderdate", "l_shipdate").cast("date"), "yyyyMMdd").alias("received"),
-        F.col("l_linenumber").cast("string").alias("number"),
-        F.col("l_quantity").cast("int").cast("string").alias("quantity"),
-    )
-    flag, status, priority = (F.col(n) for n in ("l_returnflag", "l_linestatus", "o_orderpriority"))
-    shipped, received, number, quantity = (
-        F.col(n) for n in ("shipped", "received", "number", "quantity")
-    )
-    month, year = F.substring(shipped, 1, 6), F.substring(shipped, 1, 4)
-    tax, discount = F.col("l_tax"), F.col("l_discount")
-    brand, product = F.col("p_brand"), F.col("p_name")
-
     patient = BRONZE_SCHEMA["patient"].dataType
-
-    def drug(**fields) -> Column:
-        return _typed(fields, patient["drug"].dataType.elementType)
-
-    listed = F.array(
-        drug(
-            activesubstance={"activesubstancename": F.concat(F.lit("  "), F.lower(brand), F.lit("\t"))},
-            drugcharacterization=_by_value(flag, {"A": "1", "N": "2", "R": "3"}),
-            drugindication=F.col("p_type"),
-            drugstartdate=shipped,
-            drugstartdateformat="102",
-            medicinalproduct=F.concat(F.lit(" "), product),
-            openfda={
-                "generic_name": F.array("p_type", "p_brand"),
-                "manufacturer_name": F.array("s_name"),
-            },
-        ),
-        drug(
-            activesubstance={"activesubstancename": F.lower("p_type")},
-            drugcharacterization="2",
-            drugstartdate=month,
-            drugstartdateformat="610",
-            drugenddate=year,
-            drugenddateformat="602",
-            openfda={"generic_name": F.array()},
-        ),
-        F.when(
-            status == "O",
-            drug(drugcharacterization="9", medicinalproduct=product, drugenddate=shipped),
-        ),
-        drug(
-            activesubstance={"activesubstancename": F.upper(brand)},
-            drugcharacterization="1",
-            medicinalproduct=F.upper(product),
-        ),
-    )
-
-    def reaction(term: Column | None, version: str, outcome: Column | str | None) -> Column:
-        fields = {
-            "reactionmeddrapt": term,
-            "reactionmeddraversionpt": version,
-            "reactionoutcome": outcome,
-        }
-        return _typed(fields, patient["reaction"].dataType.elementType)
-
-    reported = F.array(
-        reaction(F.concat(F.lower("n_name"), F.lit(" ")), "26.1", number),
-        reaction(F.concat_ws(" ", product, F.col("p_size").cast("string")), "26.0", None),
-        F.when(flag != "N", reaction(None, "26.0", "5")),
+    first, second, third, fourth = (_sql(d, patient["drug"].dataType.elementType) for d in _DRUGS)
+    place, rare, fatal = (_sql(r, patient["reaction"].dataType.elementType) for r in _REACTIONS)
+    arrays = lines.selectExpr(
+        "*",
+        f"array({first}, {second}, CASE l_linestatus WHEN 'O' THEN {third} END, {fourth}) AS drugs",
+        f"array({place}, {rare}, CASE WHEN l_returnflag <> 'N' THEN {fatal} END) AS reactions",
     )
-
-    # A line without tax reports its first element only.
-    shown = F.when(tax == 0.0, 1).otherwise(4)
-    drugs = F.when(discount != 0.0, F.slice(listed, 1, shown))
-    reactions = F.slice(reported, 1, F.when(discount == 0.1, 0).otherwise(shown))
-
-    def cents(column: str) -> Column:
-        return F.round(F.col(column) * 100).cast("bigint")
-
-    built = {
-        "safetyreportid": F.concat_ws("-", F.col("l_orderkey").cast("string"), number),
-        "safetyreportversion": F.when(tax == 0.08, F.concat(F.lit("v"), quantity)).otherwise(quantity),
-        "receivedate": received,
-        "receivedateformat": F.lit("102"),
-        "receiptdate": F.when(
-            priority == "1-URGENT",
-            F.when(discount == 0.1, F.concat(year, F.lit("0231"))).otherwise(shipped),
+    return arrays.selectExpr(
+        *(
+            f"{_sql(_DOCUMENT[field.name], field.dataType)} AS {field.name}".replace("{shown}", _SHOWN)
+            for field in BRONZE_SCHEMA
         )
-        .when(priority.isin("2-HIGH", "5-LOW"), month)
-        .when(priority == "3-MEDIUM", year)
-        .otherwise(shipped),
-        "receiptdateformat": _by_value(
-            priority, {"1-URGENT": "102", "2-HIGH": "610", "3-MEDIUM": "602"}
-        ),
-        "serious": _by_value(F.col("o_orderstatus"), {"F": "1", "O": "2", "P": "3"}),
-        "seriousnessdeath": _by_value(flag, {"R": "1", "A": "2"}),
-        "seriousnesshospitalization": F.when(status == "F", "1"),
-        "seriousnesslifethreatening": F.when(number == "7", "1").otherwise("2"),
-        "occurcountry": F.col("n_name"),
-        "companynumb": F.concat_ws(
-            "-",
-            *("l_partkey", "l_suppkey"),
-            *(cents(name) for name in ("l_extendedprice", "l_discount", "l_tax")),
-            flag,
-            status,
-        ),
-        "duplicate": F.when(tax == 0.04, "1"),
-        "primarysource": F.when(
-            discount != 0.01, F.struct(number.alias("qualification"), F.col("n_name").alias("reportercountry"))
-        ),
-        "patient": F.struct(
-            F.when(tax == 0.07, "adult").otherwise(quantity).alias("patientonsetage"),
-            F.lit("801").alias("patientonsetageunit"),
-            _by_value(flag, {"A": "1", "N": "2", "R": "0"}).alias("patientsex"),
-            drugs.alias("drug"),
-            reactions.alias("reaction"),
-        ),
-    }
-    return lines.select(
-        *(built[field.name].cast(field.dataType).alias(field.name) for field in BRONZE_SCHEMA)
     )
 
 
