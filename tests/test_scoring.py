@@ -1,0 +1,209 @@
+from __future__ import annotations
+
+import random
+
+import pytest
+from conftest import enriched
+
+from casewise.operators import scoring
+from casewise.plans.evaluation import evaluate
+
+LABELS = "actual STRING, predicted STRING, confidence STRING"
+GOLDEN = {
+    40: dict(tp=20, fn=2, fp=4, tn=14, accuracy=0.85, baseline=0.55, kappa=0.6939, precision=0.8333,
+             recall=0.9091, specificity=0.7778, f1=0.8696, lift=0.30),
+    20: dict(tp=13, fn=1, fp=2, tn=4, accuracy=0.85, baseline=0.70, kappa=0.625, precision=0.8667,
+             recall=0.9286, specificity=0.6667, f1=0.8966, lift=0.15),
+}
+
+
+def outcomes(tp=0, fn=0, fp=0, tn=0):
+    s, n = "serious", "non_serious"
+    return [(s, s)] * tp + [(s, n)] * fn + [(n, s)] * fp + [(n, n)] * tn
+
+
+def scored(spark, pairs, confidence="high"):
+    return spark.createDataFrame([(a, p, confidence) for a, p in pairs], LABELS)
+
+
+def metrics(spark, pairs):
+    return scoring.classification_metrics(scoring.confusion(scored(spark, pairs))).first()
+
+
+def kappa(spark, pairs):
+    return scoring.cohens_kappa(scoring.joint_counts(scored(spark, pairs))).first()[0]
+
+
+def baseline(spark, pairs):
+    return tuple(scoring.majority_baseline(scoring.joint_counts(scored(spark, pairs))).first())
+
+
+def test_one_of_each_cell(spark):
+    row = metrics(spark, outcomes(1, 1, 1, 1))
+    assert (row.tp, row.fn, row.fp, row.tn, row.n) == (1, 1, 1, 1, 4)
+    assert (row.accuracy, row.precision, row.recall) == (0.5, 0.5, 0.5)
+
+
+def test_no_denominator_gives_zero(spark):
+    row = metrics(spark, outcomes(fn=2, tn=3))
+    assert (row.precision, row.f1, row.recall) == (0.0, 0.0, 0.0)
+    empty = metrics(spark, [])
+    assert (empty.n, empty.accuracy, empty.specificity) == (0, 0.0, 0.0)
+
+
+def test_other_labels_count_as_negative(spark):
+    row = metrics(spark, [("other", "serious"), ("other", "odd"), ("serious", None)])
+    assert (row.tp, row.fp, row.tn, row.fn) == (0, 1, 1, 1)
+
+
+@pytest.mark.parametrize("n", GOLDEN)
+def test_published_runs(spark, n):
+    golden = GOLDEN[n]
+    pairs = outcomes(*(golden[c] for c in ("tp", "fn", "fp", "tn")))
+    row = metrics(spark, pairs)
+    for name in ("accuracy", "precision", "recall", "specificity", "f1"):
+        assert row[name] == pytest.approx(golden[name], abs=1e-4)
+    assert kappa(spark, pairs) == pytest.approx(golden["kappa"], abs=1e-4)
+    label, share = baseline(spark, pairs)
+    assert (label, share) == ("serious", pytest.approx(golden["baseline"]))
+
+
+def test_constant_predictor_has_no_kappa(spark):
+    pairs = outcomes(tp=17, fp=3)
+    assert baseline(spark, pairs) == ("serious", 0.85)
+    assert metrics(spark, pairs).accuracy == 0.85
+    assert kappa(spark, pairs) == 0.0
+
+
+def test_kappa_extremes(spark):
+    assert kappa(spark, outcomes(tp=5, tn=5)) == 1.0
+    assert kappa(spark, outcomes(fn=5, fp=5)) < 0
+    assert kappa(spark, outcomes(tp=5)) == 0.0
+    assert kappa(spark, []) == 0.0
+
+
+def test_kappa_is_multi_class(spark):
+    rng = random.Random(3)
+    pairs = [(rng.choice("abc"), rng.choice("abcd")) for _ in range(60)]
+    n = len(pairs)
+    observed = sum(a == p for a, p in pairs) / n
+    expected = sum(
+        sum(a == x for a, _ in pairs) * sum(p == x for _, p in pairs) / n**2 for x in "abcd"
+    )
+    assert kappa(spark, pairs) == pytest.approx((observed - expected) / (1 - expected))
+
+
+def test_baseline_ties_and_empty(spark):
+    assert baseline(spark, [("b", "x"), ("a", "x")]) == ("a", 0.5)
+    assert baseline(spark, []) == ("", 0.0)
+
+
+def test_calibration(enriched_of):
+    frame = enriched_of(
+        enriched(confidence="low"),
+        enriched(confidence="high", predicted="non_serious"),
+        enriched(confidence=None),
+        enriched(confidence="medium"),
+        enriched(confidence=""),
+        enriched(actual=None, confidence="high"),
+    )
+    rows = scoring.calibration(scoring.labelled(frame)).collect()
+    assert [(r.confidence, r.n, r.accuracy) for r in rows] == [
+        ("high", 1, 0.0),
+        ("medium", 1, 1.0),
+        ("low", 1, 1.0),
+        ("unknown", 2, 1.0),
+    ]
+
+
+def test_grounding(enriched_of):
+    frame = enriched_of(
+        enriched("1", suspect="A", substances=["A", "B"]),
+        enriched("2", suspect="INVENTED", substances=["A"]),
+        enriched("3", suspect=None, substances=["A"]),
+        enriched("4", suspect="a", substances=["A"]),
+        enriched("5", suspect="A", substances=["a"]),
+        enriched("6", suspect="A", substances=None),
+        enriched("7", suspect="", substances=["A"]),
+        enriched("8", suspect="A", substances=["A", None]),
+        enriched("9", suspect="B", substances=["A", None]),
+    )
+    row = scoring.grounding(frame).first()
+    assert (row.checked, row.invented, row.abstained) == (8, 4, 1)
+    assert row.rate == 0.5
+
+
+def test_grounding_examples(enriched_of):
+    listed = ["f", "E", "d", "c", "b", "a", "a", "g"]
+    rows = [enriched(f"R{i}", suspect="Z", substances=listed) for i in range(9)]
+    examples = scoring.grounding_examples(enriched_of(*rows)).collect()
+    assert [e.safetyreportid for e in examples] == ["R0", "R1", "R2", "R3", "R4"]
+    assert examples[0].available == ["A", "B", "C", "D", "E", "F"]
+
+
+def rank(n: int, p: float) -> int:
+    return max(1, min(n, int(round(p / 100 * n + 0.5))))
+
+
+@pytest.mark.parametrize("n, p, expected", [(4, 50, 2), (2, 50, 2), (6, 50, 4), (20, 95, 20), (40, 95, 38)])
+def test_percentile_ranks(spark, n, p, expected):
+    assert rank(n, p) == expected
+    values = spark.createDataFrame([(i,) for i in range(1, n + 1)], "v INT")
+    assert scoring.percentiles(values, "v", [p]).first()[0] == expected
+
+
+def test_percentile_simple_and_empty(spark):
+    values = spark.createDataFrame([(i,) for i in (5, 3, 1, 2, 4)], "v INT")
+    assert scoring.percentiles(values, "v", [50]).first().p50 == 3.0
+    assert scoring.percentiles(values.limit(0), "v", [50, 95]).first().p95 == 0.0
+
+
+def test_percentiles_against_a_sorted_list(spark):
+    rng = random.Random(11)
+    percents = (0, 1, 12.5, 50, 90, 99, 100)
+    for n in (1, 2, 7, 200):
+        values = [rng.choice([rng.randint(-5, 5), rng.randint(-(2**31), 2**31 - 1), 70000]) for _ in range(n)]
+        row = scoring.percentiles(spark.createDataFrame([(v,) for v in values], "v INT"), "v", percents).first()
+        assert list(row) == [float(sorted(values)[rank(n, p) - 1]) for p in percents]
+
+
+def test_report(enriched_of):
+    frame = enriched_of(
+        enriched("1", latency=1000, suspect="A", substances=["A"]),
+        enriched("2", actual="non_serious", latency=3000, suspect="Q"),
+        enriched("3", actual=None, latency=2000),
+        enriched("4", actual="", cached=True, latency=9999),
+    )
+    row = scoring.report(frame).first()
+    assert (row.n_scored, row.n_unlabeled) == (2, 2)
+    assert (row.tp, row.fp, row.tn, row.fn) == (1, 1, 0, 0)
+    assert (row.majority_class, row.majority_accuracy) == ("non_serious", 0.5)
+    assert (row.lift_over_baseline, row.beats_baseline) == (0.0, False)
+    assert (row.checked, row.invented, row.abstained, row.unsupported_rate) == (2, 1, 2, 0.5)
+    assert (row.p50_latency_ms, row.p95_latency_ms) == (2000.0, 3000.0)
+    assert (row.input_tokens, row.output_tokens) == (400, 40)
+    assert (row.model_id, row.prompt_version) == ("m", "v1")
+
+
+@pytest.mark.parametrize("n", GOLDEN)
+def test_report_of_published_runs(enriched_of, n):
+    golden = GOLDEN[n]
+    pairs = outcomes(*(golden[c] for c in ("tp", "fn", "fp", "tn")))
+    row = scoring.report(enriched_of(*(enriched(str(i), a, p) for i, (a, p) in enumerate(pairs)))).first()
+    assert row.lift_over_baseline == pytest.approx(golden["lift"])
+    assert row.beats_baseline is True
+    assert row.cohens_kappa == pytest.approx(golden["kappa"], abs=1e-4)
+
+
+def test_report_of_nothing(enriched_of, spark):
+    from casewise.schema import ENRICHED_SCHEMA
+
+    row = evaluate(spark.createDataFrame([], ENRICHED_SCHEMA)).report.first()
+    assert (row.n_scored, row.accuracy, row.cohens_kappa, row.majority_class) == (0, 0.0, 0.0, "")
+    assert (row.model_id, row.p95_latency_ms, row.input_tokens) == ("unknown", 0.0, 0)
+    assert row.generated_at is not None
+
+
+def test_no_plan_has_a_cross_join(enriched_of):
+    plan = scoring.report(enriched_of(enriched()))._jdf.queryExecution().executedPlan().toString()
+    assert "NestedLoop" not in plan and "Cartesian" not in plan
