@@ -33,10 +33,12 @@ def read_bronze(
 ) -> DataFrame:
     """Scan documents, plain or compressed, with the line kept where it is broken.
 
-    The declared columns come back whatever the folder layout is: an ``ingest_date=``
-    folder adds no column here. Blank lines give no rows.
+    Files are taken at any depth, so folders of different layouts (landed batches and
+    landed streams) can be read together, and an ``ingest_date=`` folder adds no column.
+    Name such a folder as the path to read one date. Blank lines give no rows.
     """
-    scan = spark.read.schema(_parse_schema(schema)).json(paths)
+    reader = spark.read.schema(_parse_schema(schema)).option("recursiveFileLookup", True)
+    scan = reader.json(paths)
     return _verdict(scan, schema, F.col(_PARSER_CORRUPT).isNotNull(), _PARSER_CORRUPT)
 
 

@@ -533,6 +533,22 @@ ORACLE: dict[str, str] = {
              len(key_reactions)::INT AS key_reaction_count, confidence
            FROM replied""",
     ),
+    "assess_calls": _with(
+        _REPLIES
+        + """,
+           seen AS (
+             SELECT id, 'Adverse event report' || chr(10) || chr(10) ||
+               'Patient: age ' || printf('%g', n_chars::DOUBLE) || chr(10) ||
+               'Country: ' || lang || chr(10) || chr(10) || 'Reported reactions:' || chr(10) ||
+               array_to_string(list_transform(lines, lambda x: '  - ' || x), chr(10)) ||
+               chr(10) || chr(10) || 'Drugs reported:' || chr(10) || '  - ' || source || ' (suspect)' ||
+               chr(10) || chr(10) || 'Assess this report using the record_assessment tool.' AS text
+             FROM text_case)""",
+        """SELECT id AS safetyreportid, sha256(text) AS reply_digest, length(text) AS input_tokens,
+             len(string_split(text, chr(10)))::BIGINT AS output_tokens, 0 AS latency_ms,
+             NULL::VARCHAR AS call_error
+           FROM seen""",
+    ),
     "validate_assessments": _with(
         _REPLIES,
         r"""SELECT id AS safetyreportid,
