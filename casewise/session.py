@@ -11,13 +11,16 @@ import sys
 
 from pyspark.sql import SparkSession
 
-# A hot join key is split by AQE even when the split costs the parent its
-# partitioning; one key may hold a third of the rows.
 _RUNTIME_DEFAULTS = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
+    # A hot join key is split even when that costs the parent its partitioning; one key
+    # may hold a third of the rows.
     "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
+    # HotSpot never compiles a method above 8000 bytes of bytecode; beyond that, split
+    # projections are faster than one generated method that stays interpreted.
+    "spark.sql.codegen.hugeMethodLimit": "8000",
 }
 
 

@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from casewise import functions as fn
 from casewise.operators import assessment, gates, nesting, scoring, signals, silver, windows
 from casewise.operators.assessors import calling_assessor, case_text, rule_assessor
+from casewise.plans.chain import run_all
 from casewise.plans.landing import land
 from casewise.plans.transform import run_transform
 from casewise.schema import (
@@ -49,7 +50,8 @@ MODEL, PROMPT = "model-a", "v1"
 
 
 def query(function: Query) -> Query:
-    QUERIES[function.__name__] = function
+    """Register under the function's name; a trailing underscore avoids a module's name."""
+    QUERIES[function.__name__.rstrip("_")] = function
     return function
 
 
@@ -323,7 +325,7 @@ def prr_top(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 @query
-def gate_checks(spark: SparkSession, sf_dir: str) -> DataFrame:
+def gates_(spark: SparkSession, sf_dir: str) -> DataFrame:
     report = silver.report_table(tables.latest(spark, sf_dir))
     return gates.check_frame(
         report,
@@ -376,6 +378,36 @@ def stage_stats(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.createDataFrame(list(stats.items()), "stage STRING, n BIGINT")
 
 
+@query
+def run_chain(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Landing, transform, assessment and scoring of all documents, one after another."""
+    document = tables.documents(spark, sf_dir)
+    received = fn.parse_partial_date(F.col("receivedate"), F.col("receivedateformat"))
+    start, end = document.select(received.alias("day")).agg(F.min("day"), F.max("day")).first()
+    order = [F.col("safetyreportid").asc(), F.col("companynumb").asc()]
+    result = run_all(
+        document,
+        received,
+        order,
+        start,
+        end,
+        fresh_path(spark, "chain"),
+        rule_assessor,
+        "rules",
+        landing={"max_records_per_window": None},
+        transform={"max_null_rate": 0.6},
+        enrichment={"limit": None},
+    )
+    scores = result["evaluation"]
+    counts = {
+        "landed": result["landed"],
+        **result["transform"],
+        **{name: result["enrichment"][name] for name in ("attempted", "enriched", "dead_lettered")},
+        **{name: scores[name] for name in ("n_scored", "n_unlabeled", "tp", "fp", "tn", "fn")},
+    }
+    return spark.createDataFrame(list(counts.items()), "stage STRING, n BIGINT")
+
+
 # --- evaluation ------------------------------------------------------------------
 
 
@@ -684,7 +716,7 @@ def stream_keyed(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 @query
-def stream_max_offsets(spark: SparkSession, sf_dir: str) -> DataFrame:
+def max_offsets_(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Events as messages: the type is the topic, the hour the partition."""
     messages = tables.table(spark, sf_dir, "events").select(
         F.col("event_type").alias("topic"),

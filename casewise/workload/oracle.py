@@ -407,7 +407,7 @@ ORACLE: dict[str, str] = {
            ORDER BY report_count DESC, prr DESC NULLS LAST, active_substance, reaction_term LIMIT 20""",
     ),
     # --- gates
-    "gate_checks": _with(
+    "gates": _with(
         _LATEST,
         _checks(
             ("row_count(>= 1)", "latest", "false", "total >= 1"),
@@ -450,6 +450,30 @@ ORACLE: dict[str, str] = {
            UNION ALL SELECT 'gold_signal_rows', count(*) FROM signal
            UNION ALL SELECT 'enrichment_input_rows', count(*) FROM latest""",
     ),
+    "run_chain": _with(
+        _SIGNALS
+        + """,
+           judged AS (
+             SELECT seriousness AS actual, id IN (SELECT id FROM reaction WHERE reaction_outcome IN
+               ('fatal', 'recovered_with_sequelae', 'not_recovered')) AS grave
+             FROM latest)""",
+        """SELECT 'landed' AS stage, count(*) AS n FROM line
+           UNION ALL SELECT 'bronze_rows', count(*) FROM line
+           UNION ALL SELECT 'silver_report_rows', count(*) FROM latest
+           UNION ALL SELECT 'silver_drug_rows', count(*) FROM drug
+           UNION ALL SELECT 'silver_reaction_rows', count(*) FROM reaction
+           UNION ALL SELECT 'gold_signal_rows', count(*) FROM signal
+           UNION ALL SELECT 'enrichment_input_rows', count(*) FROM latest
+           UNION ALL SELECT 'attempted', count(*) FROM latest
+           UNION ALL SELECT 'enriched', count(*) FROM latest
+           UNION ALL SELECT 'dead_lettered', 0
+           UNION ALL SELECT 'n_scored', count(actual) FROM judged
+           UNION ALL SELECT 'n_unlabeled', count(*) - count(actual) FROM judged
+           UNION ALL SELECT 'tp', count(*) FILTER (actual = 'serious' AND grave) FROM judged
+           UNION ALL SELECT 'fp', count(*) FILTER (actual <> 'serious' AND grave) FROM judged
+           UNION ALL SELECT 'tn', count(*) FILTER (actual <> 'serious' AND NOT grave) FROM judged
+           UNION ALL SELECT 'fn', count(*) FILTER (actual = 'serious' AND NOT grave) FROM judged""",
+    ),
     # --- evaluation
     "confusion": _with(_ENRICHED, "SELECT tp, fp, tn, fn FROM matrix"),
     "classification_metrics": _with(
@@ -645,7 +669,7 @@ ORACLE: dict[str, str] = {
         SELECT user_id::VARCHAR AS key, to_json({'event_id': event_id, 'user_id': user_id,
           'event_type': event_type, 'value': value, 'event_ts': ts::VARCHAR})::VARCHAR AS value
         FROM events""",
-    "stream_max_offsets": """
+    "max_offsets": """
         SELECT event_type AS topic, hour(ts)::INT AS "partition", max(event_id) AS max_offset
         FROM events GROUP BY ALL""",
 }
