@@ -49,12 +49,19 @@ def _gathered(table: DataFrame, seq: str, parts: tuple[str, ...], name: str) ->
     )
 
 
-def cases_from_tables(report: DataFrame, drug: DataFrame, reaction: DataFrame) -> DataFrame:
+def cases_from_tables(
+    report: DataFrame, drug: DataFrame, reaction: DataFrame, limit: int | None = None
+) -> DataFrame:
     """Cases from the three stored tables, for when only those are at hand.
 
     A group here is one report's children. They came out of a single JSON document,
     which a reader task has already held as one row, so a group is bounded by that.
+    With a limit, only the children of the chosen reports are grouped.
     """
+    if limit:
+        report = cap_cases(report, limit)
+        chosen = report.select(REPORT_KEY)
+        drug, reaction = (t.join(chosen, REPORT_KEY, "left_semi") for t in (drug, reaction))
     return (
         report.join(_gathered(drug, "drug_seq", _DRUG_PARTS, "drugs"), REPORT_KEY, "left")
         .join(_gathered(reaction, "reaction_seq", _REACTION_PARTS, "reactions"), REPORT_KEY, "left")
@@ -64,5 +71,8 @@ def cases_from_tables(report: DataFrame, drug: DataFrame, reaction: DataFrame) -
 
 
 def cap_cases(cases: DataFrame, limit: int | None = DEFAULT_CAP) -> DataFrame:
-    """The first ``limit`` cases by report id: the billing guard of a run."""
+    """The first ``limit`` cases by report id: the billing guard of a run.
+
+    Sort and limit together are a top-k: every task keeps its own first few.
+    """
     return cases.orderBy(REPORT_KEY).limit(limit) if limit else cases

@@ -12,6 +12,7 @@ from .ingest import (
     max_offsets,
     publish_to_kafka,
     read_landed,
+    replay_trigger,
 )
 
 __all__ = [
@@ -26,4 +27,5 @@ __all__ = [
     "max_offsets",
     "publish_to_kafka",
     "read_landed",
+    "replay_trigger",
 ]

@@ -50,6 +50,13 @@ def test_documents_need_no_further_shuffle(bronze):
     assert plan.count("Exchange") == 1  # the version cut
 
 
+def test_limited_tables(bronze):
+    frame = bronze(*(report(f"R{i}", drugs=[drug(f"S{i}")]) for i in range(5)))
+    tables = silver_tables(latest_versions(frame))
+    rows = cases_from_tables(*tables, limit=2).orderBy("safetyreportid").collect()
+    assert [(r.safetyreportid, r.drugs[0].active_substance) for r in rows] == [("R0", "S0"), ("R1", "S1")]
+
+
 def test_cap(cases_of):
     from conftest import case
 

@@ -19,6 +19,7 @@ from casewise.streaming import (
     land_stream,
     max_offsets,
     read_landed,
+    replay_trigger,
 )
 
 
@@ -42,6 +43,31 @@ def test_batch_by_count_or_age():
     assert batch_options(3, 1)["maxTriggerDelay"] == "1s"
 
 
+def test_replay_rate():
+    assert replay_trigger(500) == {"processingTime": "10000 milliseconds"}
+    assert replay_trigger(100, 2, 200.0) == {"processingTime": "1000 milliseconds"}
+
+
+def test_replay_stops_at_its_limit(spark, tmp_path):
+    write_lines(tmp_path / "topic" / "a.json", [report(f"R{i}") for i in range(9)])
+    messages = file_messages(spark, str(tmp_path / "topic"), limit=4)
+    land_stream(decode_lines(messages), str(tmp_path / "out"), str(tmp_path / "cp")).awaitTermination()
+    assert read_landed(spark, str(tmp_path / "out")).count() == 4
+
+
+def test_a_timed_replay_can_be_stopped_and_resumed(spark, tmp_path):
+    for i in range(2):
+        write_lines(tmp_path / "topic" / f"{i}.json", [report(f"R{i}")])
+    out, checkpoint = str(tmp_path / "out"), str(tmp_path / "cp")
+    messages = file_messages(spark, str(tmp_path / "topic"), files_per_batch=1)
+    query = land_stream(decode_lines(messages), out, checkpoint, trigger=replay_trigger(1, 1, 20.0))
+    query.processAllAvailable()
+    query.stop()
+    write_lines(tmp_path / "topic" / "2.json", [report("R2")])
+    stream_once(spark, tmp_path / "topic", out, checkpoint)
+    assert keys(read_landed(spark, out)) == ["R0", "R1", "R2"]
+
+
 def test_stream_equals_batch(spark, tmp_path):
     source = tmp_path / "topic"
     write_lines(source / "a.json", [report(f"R{i}") for i in range(3)] + ["poison", ""])
