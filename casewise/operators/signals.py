@@ -15,7 +15,9 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from casewise.operators.silver import REPORT_KEY, drug_fields, reaction_fields
+from casewise.functions import decode, normalize_term
+from casewise.operators.silver import REPORT_KEY
+from casewise.schema import DRUG_ROLE_CODES
 from casewise.sources import materialize
 
 MIN_PAIR_COUNT = 3  # fixed value: below this a ratio is noise
@@ -44,31 +46,39 @@ def pairs_from_tables(
     )
 
 
-def _distinct_values(array: Column, value, keep=None) -> Column:
-    kept = array if keep is None else F.filter(array, keep)
-    return F.array_distinct(F.array_compact(F.transform(kept, value)))
-
-
 def pairs_from_documents(latest: DataFrame, suspect_only: bool = True) -> DataFrame:
-    """The same triples straight from version-cut documents, without any shuffle."""
+    """The same triples straight from version-cut documents, without any shuffle.
+
+    The arrays are read field by field, so the scan below needs three leaf columns of
+    a document. Elements that do not count are null and drop out.
+    """
 
-    def is_suspect(item: Column) -> Column:
-        return drug_fields(item)["drug_role"] == _SUSPECT
+    def substance(name: Column, code: Column) -> Column:
+        term = normalize_term(name)
+        return F.when(decode(code, DRUG_ROLE_CODES) == _SUSPECT, term) if suspect_only else term
 
-    substances = _distinct_values(
-        F.col("patient.drug"),
-        lambda item: drug_fields(item)["active_substance"],
-        is_suspect if suspect_only else None,
-    )
-    terms = _distinct_values(
-        F.col("patient.reaction"), lambda item: reaction_fields(item)["reaction_term"]
-    )
-    per_substance = latest.select(
-        REPORT_KEY, F.explode(substances).alias("active_substance"), terms.alias("_terms")
+    substances = F.zip_with(
+        "patient.drug.activesubstance.activesubstancename",
+        "patient.drug.drugcharacterization",
+        substance,
     )
-    return per_substance.select(
-        REPORT_KEY, "active_substance", F.explode("_terms").alias("reaction_term")
+    terms = F.transform("patient.reaction.reactionmeddrapt", normalize_term)
+
+    def distinct_values(values: Column) -> Column:
+        return F.array_distinct(F.array_compact(values))
+
+    # The arrays are columns first, right above the scan, where the unused leaves are
+    # pruned. The outer form keeps Spark from inferring a filter on an array's size, which
+    # would evaluate the array twice; the null row of an empty array is filtered instead.
+    arrays = latest.select(
+        REPORT_KEY,
+        distinct_values(substances).alias("_substances"),
+        distinct_values(terms).alias("_terms"),
     )
+    for array, name in (("_substances", "active_substance"), ("_terms", "reaction_term")):
+        exploded = arrays.withColumn(name, F.explode_outer(array)).drop(array)
+        arrays = exploded.filter(F.col(name).isNotNull())
+    return arrays
 
 
 def pair_counts(pairs: DataFrame) -> DataFrame:

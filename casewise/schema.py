@@ -54,6 +54,29 @@ BRONZE_SCHEMA = _record(
     _field("patient", PATIENT_SCHEMA),
 )
 
+# What no table, case or signal takes from a document. The transform's scan leaves it
+# out, so it is neither parsed into rows nor shuffled.
+_UNUSED = {
+    "primarysource.qualification",
+    "patient.drug.drugdosagetext",
+    "patient.drug.openfda.application_number",
+    "patient.drug.openfda.brand_name",
+    "patient.drug.openfda.substance_name",
+}
+
+
+def _used(dtype: T.DataType, path: str = "") -> T.DataType:
+    if isinstance(dtype, T.ArrayType):
+        return T.ArrayType(_used(dtype.elementType, path))
+    if isinstance(dtype, T.StructType):
+        paths = {field.name: f"{path}.{field.name}".lstrip(".") for field in dtype}
+        kept = (field for field in dtype if paths[field.name] not in _UNUSED)
+        return _record(*(_field(f.name, _used(f.dataType, paths[f.name])) for f in kept))
+    return dtype
+
+
+TRANSFORM_SCHEMA = _used(BRONZE_SCHEMA)
+
 # Date-format codes (full day, month, year).
 DATE_FULL, DATE_MONTH, DATE_YEAR = "102", "610", "602"
 

@@ -6,7 +6,7 @@ import json
 import pytest
 from conftest import enriched, report, write_lines
 
-from casewise.schema import BRONZE_SCHEMA, CASE_SCHEMA, ENRICHED_SCHEMA
+from casewise.schema import BRONZE_SCHEMA, CASE_SCHEMA, ENRICHED_SCHEMA, TRANSFORM_SCHEMA
 from casewise.sources import (
     decode_lines,
     materialize,
@@ -29,6 +29,13 @@ def test_schemas_need_no_session():
     assert len(BRONZE_SCHEMA["patient"].dataType["drug"].dataType.elementType) == 10
 
 
+def test_the_transform_reads_what_it_uses():
+    drug = TRANSFORM_SCHEMA["patient"].dataType["drug"].dataType.elementType
+    assert len(drug) == 9 and drug["openfda"].dataType.fieldNames() == ["generic_name", "manufacturer_name"]
+    assert TRANSFORM_SCHEMA["primarysource"].dataType.fieldNames() == ["reportercountry"]
+    assert TRANSFORM_SCHEMA.fieldNames() == BRONZE_SCHEMA.fieldNames()
+
+
 def test_unknown_and_missing_fields(spark, tmp_path):
     path = write_lines(tmp_path / "a.json", [{**report(), "surprise": 1}, {"safetyreportid": "R2"}])
     documents, broken = split_corrupt(read_bronze(spark, path))
