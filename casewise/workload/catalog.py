@@ -489,14 +489,14 @@ def assess_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def _echo(text: str) -> dict:
-    return {"raw_reply": text, "input_tokens": len(text), "output_tokens": text.count("\n") + 1}
-
-
 @query
 def assess_calls(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A Python call per case inside tasks; this one echoes the rendered text."""
-    replies = calling_assessor(_echo)(tables.text_cases(spark, sf_dir), 1)
+
+    def echo(text: str) -> dict:
+        return {"raw_reply": text, "input_tokens": len(text), "output_tokens": text.count("\n") + 1}
+
+    replies = calling_assessor(echo)(tables.text_cases(spark, sf_dir), 1)
     return replies.select(
         "safetyreportid",
         F.sha2("raw_reply", 256).alias("reply_digest"),
