@@ -561,7 +561,7 @@ def dlq_split(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def enrich_metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return assessment.run_metrics(materialize(_outcomes(spark, sf_dir, cached=True), "outcomes"))
+    return assessment.run_metrics(_outcomes(spark, sf_dir, cached=True))
 
 
 @query

@@ -537,7 +537,8 @@ ORACLE: dict[str, str] = {
                coalesce(list_has_any(list_transform(reactions, lambda x: x.reaction_outcome),
                  ['fatal', 'recovered_with_sequelae', 'not_recovered']), false) AS grave,
                list_distinct(list_filter(list_transform(list_filter(drugs,
-                 lambda x: x.drug_role = 'suspect'), lambda x: x.active_substance), lambda x: x IS NOT NULL)) AS suspects,
+                 lambda x: x.drug_role = 'suspect'), lambda x: x.active_substance),
+                 lambda x: x IS NOT NULL)) AS suspects,
                list_filter(list_transform(reactions, lambda x: x.reaction_term), lambda x: x IS NOT NULL) AS terms
              FROM rendered
            ), replied AS (

@@ -19,14 +19,17 @@ def test_jobs(spark, tmp_path, capsys):
     write_lines(tmp_path / "in" / "a.json", rows)
     bronze, silver, gold = tmp_path / "root/bronze/drug_event", tmp_path / "silver", tmp_path / "gold"
 
-    landed = run(capsys, "land", "--source", tmp_path / "in", "--root", tmp_path / "root", "--start", "2024-01-01", "--end", "2024-01-31")
+    days = ("--start", "2024-01-01", "--end", "2024-01-31")
+    landed = run(capsys, "land", "--source", tmp_path / "in", "--root", tmp_path / "root", *days)
     assert (landed["code"], landed["record_count"], landed["window_count"]) == (0, 4, 5)
 
     write_lines(tmp_path / "topic" / "a.json", [report("R9")])
-    streamed = run(capsys, "stream", "--source", tmp_path / "topic", "--out", tmp_path / "stream", "--checkpoint", tmp_path / "cp")
+    places = ("--out", tmp_path / "stream", "--checkpoint", tmp_path / "cp")
+    streamed = run(capsys, "stream", "--source", tmp_path / "topic", *places)
     assert (streamed["batches"], streamed["records"]) == (1, 1)
 
-    stats = run(capsys, "transform", "--bronze", bronze, tmp_path / "stream/kind=document", "--silver", silver, "--gold", gold)
+    places = ("--silver", silver, "--gold", gold)
+    stats = run(capsys, "transform", "--bronze", bronze, tmp_path / "stream/kind=document", *places)
     assert (stats["bronze_rows"], stats["silver_report_rows"]) == (5, 5)
 
     metrics = run(capsys, "enrich", "--cases", silver / "enrichment_input", "--gold", gold, "--limit", 3)

@@ -13,7 +13,10 @@ from casewise.schema import SEX_CODES
 
 
 def evaluate(spark, expression, **columns):
-    values = [F.lit(value).cast("string" if value is None else _kind(value)).alias(name) for name, value in columns.items()]
+    values = [
+        F.lit(value).cast("string" if value is None else _kind(value)).alias(name)
+        for name, value in columns.items()
+    ]
     frame = spark.range(1).select(*values) if values else spark.range(1)
     return frame.select(expression.alias("x")).first()["x"]
 
@@ -75,7 +78,11 @@ def test_format_general_is_six_significant_digits(spark, number):
 
 
 def test_array_helpers(spark):
-    row = spark.sql("SELECT array('a','b') AS two, cast(array() AS array<string>) AS none, cast(NULL AS array<string>) AS missing").select(
+    arrays = spark.sql(
+        "SELECT array('a', 'b') AS two, cast(array() AS array<string>) AS none, "
+        "cast(NULL AS array<string>) AS missing"
+    )
+    row = arrays.select(
         *(fn.first_element(F.col(c)).alias(f"first_{c}") for c in ("two", "none", "missing")),
         *(fn.safe_size(F.col(c)).alias(f"size_{c}") for c in ("two", "none", "missing")),
     ).first()
