@@ -54,6 +54,20 @@ BRONZE_SCHEMA = _record(
     _field("patient", PATIENT_SCHEMA),
 )
 
+
+def _without(unused: set[str], dtype: T.DataType, path: str = "") -> T.DataType:
+    """The type with the fields at the given dotted paths left out."""
+    if isinstance(dtype, T.ArrayType):
+        return T.ArrayType(_without(unused, dtype.elementType, path))
+    if isinstance(dtype, T.StructType):
+        paths = {field.name: f"{path}.{field.name}".lstrip(".") for field in dtype}
+        kept = (field for field in dtype if paths[field.name] not in unused)
+        return _record(
+            *(_field(f.name, _without(unused, f.dataType, paths[f.name])) for f in kept)
+        )
+    return dtype
+
+
 # What no table, case or signal takes from a document. The transform's scan leaves it
 # out, so it is neither parsed into rows nor shuffled.
 _UNUSED = {
@@ -63,19 +77,7 @@ _UNUSED = {
     "patient.drug.openfda.brand_name",
     "patient.drug.openfda.substance_name",
 }
-
-
-def _used(dtype: T.DataType, path: str = "") -> T.DataType:
-    if isinstance(dtype, T.ArrayType):
-        return T.ArrayType(_used(dtype.elementType, path))
-    if isinstance(dtype, T.StructType):
-        paths = {field.name: f"{path}.{field.name}".lstrip(".") for field in dtype}
-        kept = (field for field in dtype if paths[field.name] not in _UNUSED)
-        return _record(*(_field(f.name, _used(f.dataType, paths[f.name])) for f in kept))
-    return dtype
-
-
-TRANSFORM_SCHEMA = _used(BRONZE_SCHEMA)
+TRANSFORM_SCHEMA = _without(_UNUSED, BRONZE_SCHEMA)
 
 # Date-format codes (full day, month, year).
 DATE_FULL, DATE_MONTH, DATE_YEAR = "102", "610", "602"
@@ -129,3 +131,8 @@ ENRICHED_SCHEMA = _record(
     *_texts("label_seriousness label_primary_suspect"),
     _field("input_substances", TEXT_LIST),
 )
+
+# What scoring reads of an enriched row.
+SCORING_SCHEMA = _without(
+    {"assessment.key_reactions", "assessment.rationale", "label_primary_suspect"}, ENRICHED_SCHEMA
+)
