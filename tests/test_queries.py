@@ -8,9 +8,11 @@ import pytest
 from oracle_check import differences, open_tables
 
 import __spark_entry__ as entry_file
+from casewise.workload.catalog import QUERIES as WORKLOAD
 
 SF_DIR = "/root/testdata/sf0.001"
-QUERIES, ORACLE = entry_file.queries(), entry_file.oracle_sql()
+QUERIES = {name: query for name, query in entry_file.queries().items() if name in WORKLOAD}
+ORACLE = {name: sql for name, sql in entry_file.oracle_sql().items() if name in WORKLOAD}
 
 pytestmark = pytest.mark.skipif(not Path(SF_DIR).exists(), reason="test tables are not here")
 
