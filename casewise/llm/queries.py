@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from casewise.llm.decontamination import contamination
+from casewise.llm.near_duplicates import near_duplicates
 from casewise.llm.textops import read_table
 
 
@@ -24,6 +25,13 @@ def op3_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op9_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = near_duplicates(read_table(spark, sf_dir, "documents"))
+    digits = F.lower(F.lpad(F.hex("print"), 16, "0"))
+    return found.select("doc_id", digits.alias("fingerprint"), "component_id")
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op3_decontamination": op3_decontamination,
+    "op9_simhash_near_dedup": op9_simhash_near_dedup,
 }
