@@ -4,12 +4,37 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from casewise.llm.decontamination import contamination
 from casewise.llm.near_duplicates import near_duplicates
+from casewise.llm.packing import pack
+from casewise.llm.quality_classifier import THRESHOLD as GOOD
+from casewise.llm.quality_classifier import scores as quality_scores
+from casewise.llm.quality_classifier import train as train_quality
+from casewise.llm.secrets import BASE, count_kind, find_secrets, span_list
 from casewise.llm.textops import read_table
+from casewise.llm.toxicity import THRESHOLD as TOXIC
+from casewise.llm.toxicity import scores as toxicity_scores
+from casewise.llm.toxicity import train as train_toxicity
+from casewise.llm.training import remainder
+
+
+def _predicted(scored: DataFrame, held_out: Column, threshold: float) -> DataFrame:
+    return scored.select(
+        "doc_id",
+        held_out.alias("held_out"),
+        "score",
+        (F.col("score") >= threshold).cast("int").alias("predicted"),
+    )
+
+
+def op1_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    documents = read_table(spark, sf_dir, "documents")
+    held_out = remainder(5) == 0
+    model = train_quality(documents, read_table(spark, sf_dir, "labels"), ~held_out)
+    return _predicted(quality_scores(documents, model), held_out, GOOD)
 
 
 def op3_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -25,13 +50,48 @@ def op3_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op5_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pack(read_table(spark, sf_dir, "documents")).select(
+        "doc_id",
+        "start",
+        "length",
+        F.crc32("ids").alias("ids_crc32"),
+        "doc_tokens",
+        "sequence_id",
+        "offset",
+    )
+
+
+def op8_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    documents = read_table(spark, sf_dir, "documents")
+    held_out = remainder(3) == 1
+    model = train_toxicity(documents, read_table(spark, sf_dir, "labels"), ~held_out)
+    return _predicted(toxicity_scores(documents, model), held_out, TOXIC)
+
+
 def op9_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = near_duplicates(read_table(spark, sf_dir, "documents"))
     digits = F.lower(F.lpad(F.hex("print"), 16, "0"))
     return found.select("doc_id", digits.alias("fingerprint"), "component_id")
 
 
+def op10_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = find_secrets(read_table(spark, sf_dir, "documents"))
+    names = F.array(*(F.lit(kind.name) for kind in BASE))
+    base = F.filter("spans", lambda span: F.array_contains(names, span["kind"]))
+    return found.select(
+        "doc_id",
+        *(count_kind(F.col("spans"), kind.name).alias(f"n_{kind.name}") for kind in BASE),
+        F.sha2(span_list(base), 256).alias("base_sha256"),
+        span_list(F.col("spans")).alias("spans"),
+    )
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_quality_classifier": op1_quality_classifier,
     "op3_decontamination": op3_decontamination,
+    "op5_packing": op5_packing,
+    "op8_toxicity": op8_toxicity,
     "op9_simhash_near_dedup": op9_simhash_near_dedup,
+    "op10_secret_scan": op10_secret_scan,
 }

@@ -10,8 +10,9 @@ from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 # Lower-cased letters, digits and everything beyond ASCII are kept; the rest separates.
 _FOLD = bytes(
@@ -85,29 +86,29 @@ def map_texts(docs: DataFrame, make: Make, fields: str, keep: tuple[str, ...] =
     """
     small_batches(docs.sparkSession)
     narrow = docs.select(*keep, F.col("text").cast("string").alias("text"))
-    kinds = ", ".join(f"`{name}` {narrow.schema[name].dataType.simpleString()}" for name in keep)
-    wide = f"{kinds}, {fields}" if keep else fields
-    # A name in ``keep`` may be "text" itself; the text to read is always the last column.
-    names = [field.strip().split(" ")[0] for field in _top_level(fields)]
+    added = T.StructType.fromDDL(fields)
+    schema = T.StructType([narrow.schema[name] for name in keep] + added.fields)
+    names = schema.names
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         score = make()
         for batch in batches:
             columns = [batch.column(i) for i in range(len(keep))]
             yield pa.RecordBatch.from_arrays(
-                columns + score(byte_lists(batch.column(len(keep)))), [*keep, *names]
+                columns + score(byte_lists(batch.column(len(keep)))), names
             )
 
-    return narrow.mapInArrow(run, wide)
+    return narrow.mapInArrow(run, schema)
 
 
-def _top_level(fields: str) -> list[str]:
-    """A DDL list cut at the commas outside of angle brackets."""
-    parts, depth = [""], 0
-    for letter in fields:
-        depth += (letter == "<") - (letter == ">")
-        if letter == "," and not depth:
-            parts.append("")
-        else:
-            parts[-1] += letter
-    return parts
+
+def text_value(make: Make, kind: str) -> Callable[[Column], Column]:
+    """The one column that ``make()`` gives, as a function of a text column."""
+
+    @F.arrow_udf(kind)
+    def value(texts: Iterator[pa.Array]) -> Iterator[pa.Array]:
+        score = make()
+        for one in texts:
+            yield score(byte_lists(one))[0]
+
+    return value
