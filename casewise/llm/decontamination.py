@@ -20,10 +20,11 @@ from itertools import repeat
 
 import numpy as np
 import pyarrow as pa
+from pyspark import Broadcast
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from casewise.llm.textops import fold, folded_words, small_batches
+from casewise.llm.textops import byte_lists, fold, folded_words, small_batches
 from casewise.sources.workspace import materialize
 
 WIDTH = 10
@@ -102,33 +103,36 @@ def _cut(text: bytes, hits: list[dict[str, int]]) -> bytes:
     return b"".join([*kept, text[at:]])
 
 
-def find_windows(
-    docs: DataFrame, benchmark: DataFrame, width: int = WIDTH, block_bytes: int = BLOCK_BYTES
-) -> DataFrame:
-    """``docs`` with all its columns packed in ``row``, and what was found in each text:
-    ``n_words``, ``hits`` (runs of hit words) and ``items`` (ids, each once)."""
-    spark = docs.sparkSession
-    small_batches(spark)
+def _blocks(docs: DataFrame, benchmark: DataFrame, block_bytes: int) -> Iterator[Broadcast]:
+    """The items, broadcast in blocks by their hashed ids."""
+    context = docs.sparkSession.sparkContext
     items = benchmark.select(
         F.col("item_id").cast("string").alias("item"), F.col("text").cast("string").alias("text")
     ).where("item IS NOT NULL AND text IS NOT NULL")
     size = items.agg(F.coalesce(F.sum(F.octet_length("text")), F.lit(0))).first()[0]
     blocks = max(1, -(-size // block_bytes))
+    for block in range(blocks):
+        chosen = items.where(F.pmod(F.xxhash64("item"), F.lit(blocks)) == block)
+        yield context.broadcast([(row.item, row.text.encode()) for row in chosen.toLocalIterator()])
+
+
+def find_windows(
+    docs: DataFrame, benchmark: DataFrame, width: int = WIDTH, block_bytes: int = BLOCK_BYTES
+) -> DataFrame:
+    """``doc_id`` and what was found in each text: ``n_words``, ``hits`` (runs of hit words)
+    and ``items`` (ids, each once)."""
+    small_batches(docs.sparkSession)
     found = docs.select(
-        F.struct("*").alias("row"),
+        "doc_id",
         F.col("text").cast("string").alias("text"),
         F.lit(0).cast("bigint").alias("n_words"),
         F.array().cast(_HITS).alias("hits"),
         F.array().cast("array<string>").alias("items"),
     )
-    for block in range(blocks):
-        chosen = items.where(F.pmod(F.xxhash64("item"), F.lit(blocks)) == block)
-        shared = spark.sparkContext.broadcast(
-            [(row.item, row.text.encode()) for row in chosen.toLocalIterator()]
-        )
-        found = found.mapInArrow(_scanner(shared, width), found.schema)
-        if block + 1 < blocks:
+    for block, shared in enumerate(_blocks(docs, benchmark, block_bytes)):
+        if block:
             found = materialize(found, "decontamination-block")
+        found = found.mapInArrow(_scanner(shared, width), found.schema)
     return found
 
 
@@ -158,58 +162,67 @@ def _scanner(shared, width: int):
 
 def contamination(docs: DataFrame, benchmark: DataFrame, **options) -> DataFrame:
     """Per document: id, words, hit words, item ids, and whether anything was hit."""
-    found = find_windows(docs.select("doc_id", "text"), benchmark, **options)
     n_hit = F.aggregate("hits", F.lit(0).cast("bigint"), lambda n, run: n + run.stop - run.start)
-    return found.select(
-        F.col("row.doc_id").alias("doc_id"),
-        "n_words",
-        n_hit.alias("n_hit"),
-        F.array_sort("items").alias("items"),
-        "hits",
-    ).withColumn("contaminated", F.col("n_hit") > 0)
+    return (
+        find_windows(docs, benchmark, **options)
+        .select("doc_id", "n_words", n_hit.alias("n_hit"), F.array_sort("items").alias("items"), "hits")
+        .withColumn("contaminated", F.col("n_hit") > 0)
+    )
+
+
+def _cleaned(text: bytes, windows: WindowSet) -> tuple[bytes, float]:
+    """The text without test words, and the share of its words that were.
+
+    What a cut joins is searched again, so that no window survives."""
+    words = folded_words(text)
+    hit, _ = windows.search(words)
+    share = float(hit.mean()) if len(words) else 0.0
+    while hit.any():
+        text = _cut(text, _flagged_runs(hit))
+        hit, _ = windows.search(folded_words(text))
+    return text, share
 
 
 def decontaminate(
-    docs: DataFrame, benchmark: DataFrame, drop_share: float = DROP_SHARE, **options
+    docs: DataFrame,
+    benchmark: DataFrame,
+    drop_share: float = DROP_SHARE,
+    width: int = WIDTH,
+    block_bytes: int = BLOCK_BYTES,
 ) -> DataFrame:
     """``docs`` without test passages; clean rows stay as they are.
 
-    A document of which more than ``drop_share`` is test text goes whole. From the others
-    the hit words go, and what cutting joins is searched again until nothing is found, so
-    that no window survives.
+    A document of which more than ``drop_share`` is test text (of one block) goes whole;
+    from the others the hit words go. Columns other than the text stay in the JVM.
     """
-    found = find_windows(docs, benchmark, **options)
-    columns, width = docs.columns, options.get("width", WIDTH)
-    clean = found.where(F.size("hits") == 0).select("row.*")
-    dirty = materialize(found.where(F.size("hits") > 0), "decontamination-hits")
-    for _ in range(width):
-        n_hit = F.aggregate("hits", F.lit(0).cast("bigint"), lambda n, r: n + r.stop - r.start)
-        cut = dirty.where(n_hit <= F.col("n_words") * F.lit(drop_share)).mapInArrow(
-            _cutter(), dirty.schema
+    small_batches(docs.sparkSession)
+    columns = docs.columns
+    for block, shared in enumerate(_blocks(docs, benchmark, block_bytes)):
+        if block:
+            docs = materialize(docs, "decontamination-block")
+        rows = docs.select(
+            F.struct("*").alias("row"),
+            _cleaner(shared, width)(F.col("text").cast("string")).alias("clean"),
+        ).where(F.col("clean.share") <= drop_share)
+        text = F.when(F.col("clean.share") > 0, F.col("clean.text")).otherwise(F.col("row.text"))
+        docs = rows.select(
+            *(text.alias("text") if name == "text" else F.col(f"row.`{name}`") for name in columns)
         )
-        again = find_windows(
-            cut.select(
-                *(F.col("text") if name == "text" else F.col(f"row.`{name}`") for name in columns)
-            ),
-            benchmark,
-            **options,
-        )
-        again = materialize(again, "decontamination-again")
-        clean = clean.unionByName(again.where(F.size("hits") == 0).select("row.*"))
-        dirty = again.where(F.size("hits") > 0)
-        if dirty.isEmpty():
-            break
-    return clean
-
+    return docs
 
-def _cutter():
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            texts = batch.column("text").cast(pa.binary()).to_pylist()
-            hits = batch.column("hits").to_pylist()
-            cut = [_cut(text or b"", runs) for text, runs in zip(texts, hits, strict=True)]
-            place = batch.schema.get_field_index("text")
-            column = pa.array(cut, pa.binary()).cast(batch.schema.field(place).type)
-            yield batch.set_column(place, batch.schema.field(place), column)
 
-    return run
+def _cleaner(shared: Broadcast, width: int):
+    @F.arrow_udf("text string, share double")
+    def clean(texts: Iterator[pa.Array]) -> Iterator[pa.Array]:
+        windows = WindowSet(shared.value, width)
+        for one in texts:
+            rows = [_cleaned(text, windows) for text in byte_lists(one)]
+            yield pa.StructArray.from_arrays(
+                [
+                    pa.array([text for text, _ in rows], pa.binary()).cast(pa.string()),
+                    pa.array([share for _, share in rows], pa.float64()),
+                ],
+                ["text", "share"],
+            )
+
+    return clean.asNondeterministic()  # or a filter on its result would run it again

@@ -8,12 +8,18 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from casewise.llm.decontamination import contamination
+from casewise.llm.language_id import languages
+from casewise.llm.language_id import train as train_languages
+from casewise.llm.license_scan import scan_licenses
 from casewise.llm.near_duplicates import near_duplicates
 from casewise.llm.packing import pack
 from casewise.llm.quality_classifier import THRESHOLD as GOOD
 from casewise.llm.quality_classifier import scores as quality_scores
 from casewise.llm.quality_classifier import train as train_quality
+from casewise.llm.quality_rules import apply_rules
+from casewise.llm.quality_rules import train as train_rules
 from casewise.llm.secrets import BASE, count_kind, find_secrets, span_list
+from casewise.llm.substring_dedup import drop_repeated_spans
 from casewise.llm.textops import read_table
 from casewise.llm.toxicity import THRESHOLD as TOXIC
 from casewise.llm.toxicity import scores as toxicity_scores
@@ -37,6 +43,27 @@ def op1_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _predicted(quality_scores(documents, model), held_out, GOOD)
 
 
+def op2_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = scan_licenses(read_table(spark, sf_dir, "documents"))
+    base = F.filter("spans", lambda span: span["base"])
+    starts = F.transform(base, lambda span: span["first_word"])
+
+    def names(spans: Column) -> Column:
+        labels = F.transform(spans, lambda span: span["label"])
+        return F.array_join(F.array_sort(F.array_distinct(labels)), ",")
+
+    return found.select(
+        "doc_id",
+        "n_words",
+        F.size(base).cast("bigint").alias("n_base"),
+        F.array_min(starts).alias("first_word"),
+        F.array_max(starts).alias("last_word"),
+        names(base).alias("base_labels"),
+        names(F.col("spans")).alias("labels"),
+        "score",
+    )
+
+
 def op3_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     documents = read_table(spark, sf_dir, "documents")
     found = contamination(documents, read_table(spark, sf_dir, "benchmark"))
@@ -50,6 +77,12 @@ def op3_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op4_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    documents = read_table(spark, sf_dir, "documents")
+    model = train_rules(documents, read_table(spark, sf_dir, "labels"), F.lit(True))
+    return apply_rules(documents, model)
+
+
 def op5_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pack(read_table(spark, sf_dir, "documents")).select(
         "doc_id",
@@ -62,6 +95,17 @@ def op5_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op6_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return drop_repeated_spans(read_table(spark, sf_dir, "documents"))
+
+
+def op7_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    documents = read_table(spark, sf_dir, "documents")
+    held_out = remainder(3) == 1
+    found = languages(documents, train_languages(documents, ~held_out))
+    return found.select("doc_id", held_out.alias("held_out"), "lang_pred", "score")
+
+
 def op8_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     documents = read_table(spark, sf_dir, "documents")
     held_out = remainder(3) == 1
@@ -89,8 +133,12 @@ def op10_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_quality_classifier": op1_quality_classifier,
+    "op2_license_scan": op2_license_scan,
     "op3_decontamination": op3_decontamination,
+    "op4_quality_rules": op4_quality_rules,
     "op5_packing": op5_packing,
+    "op6_substring_dedup": op6_substring_dedup,
+    "op7_language_id": op7_language_id,
     "op8_toxicity": op8_toxicity,
     "op9_simhash_near_dedup": op9_simhash_near_dedup,
     "op10_secret_scan": op10_secret_scan,
