@@ -24,7 +24,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from casewise.llm.textops import map_texts, word_numbers
-from casewise.llm.training import sampled_labels, sampled_texts
+from casewise.llm.training import calibrate, sampled_labels, sampled_texts
 
 ROWS = 5000
 LONGEST = 50_000
@@ -100,24 +100,6 @@ def _logistic(margin: np.ndarray) -> np.ndarray:
     return 1 / (1 + np.exp(-np.clip(margin, -30, 30)))
 
 
-def calibrate(margins: np.ndarray, labels: np.ndarray) -> tuple[float, float]:
-    """Scale and shift of a logistic curve through held-back margins, by Newton's method."""
-    ones, zeros = labels.sum(), (1 - labels).sum()
-    aim = np.where(labels == 1, (ones + 1) / (ones + 2), 1 / (zeros + 2))
-    scale, shift = 1.0, 0.0
-    for _ in range(50):
-        chance = _logistic(scale * margins + shift)
-        slack, curve = aim - chance, chance * (1 - chance) + 1e-9
-        mixed = (curve * margins).sum()
-        hessian = np.array([[(curve * margins**2).sum() + 1e-3, mixed], [mixed, curve.sum()]])
-        down = np.array([(slack * margins).sum() - 1e-3 * (scale - 1), slack.sum()])
-        step = np.linalg.solve(hessian, down)
-        scale, shift = scale + step[0], shift + step[1]
-        if np.abs(step).max() < 1e-6:
-            break
-    return (scale, shift) if np.isfinite(scale + shift) and scale > 0 else (1.0, 0.0)
-
-
 def fit(places: list[np.ndarray], values: list[np.ndarray], labels: np.ndarray) -> Regression:
     """Gradient descent with momentum on three quarters, calibration on the last."""
     share = (labels.sum() + 1) / (len(labels) + 2)
@@ -137,7 +119,7 @@ def fit(places: list[np.ndarray], values: list[np.ndarray], labels: np.ndarray)
         weights = weights + RATE * speed
         bias += RATE * slack.sum()
     rest = _Rows([places[i] for i in held], [values[i] for i in held])
-    scale, shift = calibrate(rest.times(weights), labels[held])
+    scale, shift = calibrate(rest.times(weights), labels[held], balanced=False)
     return Regression(weights, scale, shift)
 
 

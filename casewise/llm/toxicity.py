@@ -1,7 +1,7 @@
 """Toxicity: subword-bag embeddings averaged into a linear softmax.
 
 A word is the bag of its character n-grams (bytes, with marks at both ends) and of itself,
-hashed to rows of an embedding table; its vector is their mean. So a misspelling nobody
+hashed to rows of an embedding table; its vector is the weighted mean of their rows. So a misspelling nobody
 has seen shares most of its vector with the word it stands for. The vectors of a window of
 a few words are averaged and a linear softmax tells the two labels apart; embeddings and
 softmax are trained jointly.
@@ -31,20 +31,23 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from casewise.llm.textops import folded_words, map_texts, ranges
-from casewise.llm.training import WordValues, sampled_labels, sampled_texts
+from casewise.llm.training import WordValues, calibrate, sampled_labels, sampled_texts
 
 ROWS = 1500
 CLEAN_ROWS = 4000
 LONGEST = 20_000
 THRESHOLD = 0.7
-BUCKETS = 1 << 16
-SIZES = (3, 4, 5)
+BUCKETS = 1 << 18
+SIZES = (3, 4, 5, 6)
+WHOLE = 0.2  # a word's own part in its vector
 WIDTH = 8
 WINDOW = 8
 ROUNDS = 18
 SETTLED = 3  # rounds in which every window of a toxic text counts as toxic
-BATCH = 512
-RATE = 0.8
+LEAST_STEPS = 1500
+BATCH = 256
+RATE = 0.5
+EMBED_RATE = 30.0
 DECAY = 1e-3
 
 _ODD = np.uint64(0x9E3779B97F4A7C15)
@@ -66,16 +69,23 @@ def subwords(words: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
         if size in SIZES:
             inside = np.flatnonzero(np.arange(starts) + size <= ends[:starts])
             mixed = key[inside] ^ (key[inside] >> np.uint64(31))
-            row.append((mixed * _ODD >> np.uint64(48)).astype(np.int64) % BUCKETS)
+            row.append((mixed * _ODD >> np.uint64(40)).astype(np.int64) % BUCKETS)
             owner.append(word_of[inside])
     whole = np.fromiter(map(zlib.crc32, words), np.uint64, len(words))
-    row.append(((whole + np.uint64(1)) * _ODD >> np.uint64(48)).astype(np.int64) % BUCKETS)
+    row.append(((whole + np.uint64(1)) * _ODD >> np.uint64(40)).astype(np.int64) % BUCKETS)
     owner.append(np.arange(len(words)))
     owners, rows = np.concatenate(owner), np.concatenate(row)
     order = np.argsort(owners, kind="stable")
     return rows[order], np.bincount(owners, minlength=len(words))
 
 
+def shares(counts: np.ndarray) -> np.ndarray:
+    """What each row adds to its word; the word's own row is the last."""
+    share = np.repeat((1 - WHOLE) / (counts - 1), counts)
+    share[np.cumsum(counts) - 1] = WHOLE
+    return share
+
+
 @dataclass
 class Softmax:
     """``bucket``: what each row adds to the difference of the two logits."""
@@ -86,7 +96,7 @@ class Softmax:
     def words(self, words: list[bytes]) -> np.ndarray:
         rows, counts = subwords(words)
         firsts = np.cumsum(counts) - counts
-        return (np.add.reduceat(self.bucket[rows], firsts) / counts).astype(np.float32)
+        return np.add.reduceat(self.bucket[rows] * shares(counts), firsts).astype(np.float32)
 
     def logit(self, values: np.ndarray) -> float:
         """The logit of the likeliest window of a text, from its words' values."""
@@ -128,9 +138,30 @@ class _Trainer:
         self.rows, self.counts, self.firsts = _subword_table(list(places))
         self.start, self.length, self.text = _windows(texts)
         self.embed = rng.normal(0, 0.1, (BUCKETS, WIDTH))
+        self.embed[~self._shared(texts)] = 0.0
         self.weight = rng.normal(0, 0.1, (WIDTH, 2))
         self.bias = np.zeros(2)
-        self.sums = [np.full(BUCKETS, 1e-3), np.full((WIDTH, 2), 1e-3), np.full(2, 1e-3)]
+
+    def _parts(self):
+        """The distinct words in slices, each with its rows, to bound what is expanded."""
+        for at in range(0, len(self.counts), 50_000):
+            words = slice(at, min(at + 50_000, len(self.counts)))
+            stop = self.firsts[words.stop - 1] + self.counts[words.stop - 1]
+            yield words, self.rows[self.firsts[at] : stop]
+
+    def _shared(self, texts: list[list[bytes]]) -> np.ndarray:
+        """The rows that more than one text has; the others could only tell that text."""
+        owner = np.repeat(np.arange(len(texts)), [len(text) for text in texts])
+        low = np.full(len(self.counts), len(texts))
+        high = np.full(len(self.counts), -1)
+        np.minimum.at(low, self.ids, owner)
+        np.maximum.at(high, self.ids, owner)
+        first, last = np.full(BUCKETS, len(texts)), np.full(BUCKETS, -1)
+        for words, rows in self._parts():
+            np.minimum.at(first, rows, np.repeat(low[words], self.counts[words]))
+            np.maximum.at(last, rows, np.repeat(high[words], self.counts[words]))
+        self.trained = first < last
+        return self.trained
 
     def softmax(self) -> Softmax:
         gap = self.weight[:, 1] - self.weight[:, 0]
@@ -139,37 +170,41 @@ class _Trainer:
     def chances(self) -> np.ndarray:
         """The chance of every window to be toxic, from its words' values."""
         model = self.softmax()
-        values = np.add.reduceat(model.bucket[self.rows], self.firsts) / self.counts
+        values = np.concatenate(
+            [
+                np.add.reduceat(
+                    model.bucket[rows] * shares(self.counts[words]),
+                    self.firsts[words] - self.firsts[words.start],
+                )
+                for words, rows in self._parts()
+            ]
+        )
         total = np.add.reduceat(values[self.ids], self.start) / self.length
         return 1 / (1 + np.exp(-np.clip(total + model.bias, -30, 30)))
 
-    def descend(self, chosen: np.ndarray, truth: np.ndarray) -> None:
-        """One step on some windows, with a rate of its own for every row."""
+    def descend(self, chosen: np.ndarray, truth: np.ndarray, rate: float) -> None:
+        """One step on some windows."""
         start, length = self.start[chosen], self.length[chosen]
         distinct, back = np.unique(self.ids[ranges(start, length)], return_inverse=True)
         counts = self.counts[distinct]
         parts = self.rows[ranges(self.firsts[distinct], counts)]
         cut = np.cumsum(counts) - counts
-        vectors = np.add.reduceat(self.embed[parts], cut) / counts[:, None]
+        share = shares(counts)
+        vectors = np.add.reduceat(self.embed[parts] * share[:, None], cut)
         mean = np.add.reduceat(vectors[back], np.cumsum(length) - length) / length[:, None]
         logits = mean @ self.weight + self.bias
         wrong = 1 / (1 + np.exp(np.clip(logits[:, 0] - logits[:, 1], -30, 30))) - truth
-        error = np.stack([-wrong, wrong], 1) / len(chosen)
+        error = np.stack([-wrong, wrong], 1)
         spread = np.repeat((error @ self.weight.T) / length[:, None], length, axis=0)
         touched, slot = np.unique(parts, return_inverse=True)
         slope = np.empty((len(touched), WIDTH))
         for d in range(WIDTH):
-            per_word = np.bincount(back, spread[:, d], len(distinct)) / counts
-            slope[:, d] = np.bincount(slot, np.repeat(per_word, counts), len(touched))
-        slope += DECAY * self.embed[touched] / len(chosen)
-        self.sums[0][touched] += (slope**2).mean(1)
-        self.embed[touched] -= RATE * slope / np.sqrt(self.sums[0][touched])[:, None]
-        for value, down, total in (
-            (self.weight, mean.T @ error, self.sums[1]),
-            (self.bias, error.sum(0), self.sums[2]),
-        ):
-            total += down**2
-            value -= RATE * down / np.sqrt(total)
+            per_word = np.bincount(back, spread[:, d], len(distinct))
+            slope[:, d] = np.bincount(slot, np.repeat(per_word, counts) * share, len(touched))
+        slope[~self.trained[touched]] = 0.0
+        self.embed[touched] -= rate * (EMBED_RATE * slope + DECAY * self.embed[touched])
+        self.weight -= rate * (mean.T @ error) / len(chosen)
+        self.bias -= rate * error.sum(0) / len(chosen)
 
 
 def fit(texts: list[list[bytes]], labels: np.ndarray, seed: int = 7) -> Softmax:
@@ -184,8 +219,10 @@ def fit(texts: list[list[bytes]], labels: np.ndarray, seed: int = 7) -> Softmax:
         return flat
     trainer = _Trainer([texts[i] for i in learnt], rng)
     text, suspect = trainer.text, toxic[trainer.text]
-    for step in range(ROUNDS):
-        if step < SETTLED:
+    # Small samples take more rounds, so that every sample is met in as many steps.
+    rounds = max(ROUNDS, -(-LEAST_STEPS // (2 * int(suspect.sum()) // BATCH + 1)))
+    for step in range(rounds):
+        if step * ROUNDS < SETTLED * rounds:
             # Every window of a toxic text is toxic; as many others.
             truth = suspect.copy()
             sampled = rng.random(len(text)) < max(0.05, suspect.mean())
@@ -202,7 +239,7 @@ def fit(texts: list[list[bytes]], labels: np.ndarray, seed: int = 7) -> Softmax:
         order = rng.permutation(np.flatnonzero(used))
         for chosen in np.array_split(order, len(order) // BATCH + 1):
             chosen = np.sort(chosen)
-            trainer.descend(chosen, truth[chosen].astype(float))
+            trainer.descend(chosen, truth[chosen].astype(float), RATE * (1 - step / rounds))
     model = trainer.softmax()
     held = np.flatnonzero(part == 0).tolist()
     return _calibrated(model, [texts[i] for i in held], labels[held])
@@ -211,27 +248,8 @@ def fit(texts: list[list[bytes]], labels: np.ndarray, seed: int = 7) -> Softmax:
 def _calibrated(model: Softmax, texts: list[list[bytes]], labels: np.ndarray) -> Softmax:
     """Scale and bias by which the likeliest window's chance is that of the text's label."""
     logits = np.array([model.logit(model.words(text) if text else np.empty(0)) for text in texts])
-    if len(labels) < 20 or labels.min() == labels.max():
-        return model
-    # Both labels weigh the same, and none is certain.
-    ones, zeros = labels.sum(), (1 - labels).sum()
-    aim = np.where(labels == 1, (ones + 1) / (ones + 2), 1 / (zeros + 2))
-    weight = np.where(labels == 1, 0.5 / ones, 0.5 / zeros)
-    scale, bias = 1.0, 0.0
-    for _ in range(50):
-        chance = 1 / (1 + np.exp(-np.clip(scale * logits + bias, -30, 30)))
-        slack = weight * (aim - chance)
-        curve = weight * chance * (1 - chance) + 1e-9
-        gradient = np.array([(slack * logits).sum() - 1e-4 * (scale - 1), slack.sum()])
-        mixed = (curve * logits).sum()
-        hessian = np.array([[(curve * logits**2).sum() + 1e-4, mixed], [mixed, curve.sum()]])
-        step = np.linalg.solve(hessian, gradient)
-        scale, bias = scale + step[0], bias + step[1]
-        if np.abs(step).max() < 1e-6:
-            break
-    if not (np.isfinite(scale) and scale > 0):
-        return model
-    return Softmax(model.bucket * scale, model.bias * scale + bias)
+    scale, shift = calibrate(logits, labels, balanced=True)
+    return Softmax(model.bucket * scale, model.bias * scale + shift)
 
 
 def train(

@@ -53,6 +53,44 @@ def fold_of(doc_ids: np.ndarray, parts: int) -> np.ndarray:
     return (mixed >> np.uint64(40)) % np.uint64(parts)
 
 
+def calibrate(margins: np.ndarray, labels: np.ndarray, balanced: bool) -> tuple[float, float]:
+    """Scale and shift of a logistic curve through held-back margins.
+
+    Newton's method on standardised margins, each step halved until it helps. ``balanced``
+    gives both labels the same weight in sum. Where the curve would fall, or there is
+    nothing to go by, the margins stay as they are.
+    """
+    ones, zeros = labels.sum(), (1 - labels).sum()
+    spread = margins.std() if len(margins) else 0.0
+    if not ones or not zeros or not spread > 0:
+        return 1.0, 0.0
+    aim = np.where(labels == 1, (ones + 1) / (ones + 2), 1 / (zeros + 2))
+    share = np.where(labels == 1, 0.5 / ones, 0.5 / zeros) * len(labels)
+    weight = share if balanced else np.ones(len(labels))
+    centre = margins.mean()
+    inputs = np.stack([(margins - centre) / spread, np.ones(len(margins))], 1)
+
+    def loss(at: np.ndarray) -> float:
+        logits = inputs @ at
+        return float((weight * (np.logaddexp(0, logits) - aim * logits)).sum() + 0.01 * at @ at)
+
+    at, now = np.zeros(2), np.inf
+    for _ in range(50):
+        chance = 1 / (1 + np.exp(-np.clip(inputs @ at, -30, 30)))
+        slope = inputs.T @ (weight * (aim - chance)) - 0.02 * at
+        curve = (inputs * (weight * chance * (1 - chance))[:, None]).T @ inputs
+        step = np.linalg.solve(curve + 0.02 * np.eye(2), slope)
+        while loss(at + step) > now and np.abs(step).max() > 1e-9:
+            step /= 2
+        at, before = at + step, now
+        now = loss(at)
+        if before - now < 1e-9:
+            break
+    if at[0] <= 0:
+        return 1.0, 0.0
+    return float(at[0] / spread), float(at[1] - at[0] * centre / spread)
+
+
 class WordValues:
     """Values of words, worked out once per distinct word while they fit.
 
