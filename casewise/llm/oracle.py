@@ -31,6 +31,68 @@ SELECT doc_id, CAST(len(words) AS BIGINT) AS n_words, coalesce(n_hit, 0) AS n_hi
 FROM doc_words LEFT JOIN hit USING (rid) LEFT JOIN items USING (rid)
 """
 
+
+# Kind, role, pattern, group, least characters, what a match must hold, roles it needs.
+_KINDS = (
+    ("assign", "secret", r"""(?i)(password|passwd|secret|token|api_?key)["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""", 2, 8, (), ()),
+    ("access", "access", r"AKIA[A-Z0-9]+", 0, 16, (), ()),
+    ("hex", "secret", r"[0-9a-f]+", 0, 32, (), ()),
+    ("key_id", "access", r"""(?i)(access_?key_?id|client_?id|user_?name|login|account_?id)["']?\x20*[:=]\x20*["']?([A-Za-z0-9@+/_.=-]+)""", 2, 3, (), ("secret",)),
+    ("blob", "secret", r"[A-Za-z0-9+/]{40,}", 0, 40, ("[A-Z]", "[a-z]", "[0-9]"), ("access",)),
+    ("endpoint", "endpoint", r"""(?i)(https?|sftp|s3|postgresql|postgres|mysql|mongodb|redis|amqp)://[^\x00-\x20"'<>]+""", 0, 1, (), ("access", "secret")),
+)
+
+
+def _secret_parts() -> str:
+    found = []
+    for listed, (kind, role, pattern, group, least, holds, needs) in enumerate(_KINDS):
+        quoted = "'" + pattern.replace("'", "''") + "'"
+        held = "".join(f" AND regexp_matches(whole, '{one}')" for one in holds)
+        found.append(f"""
+    SELECT rid, '{kind}' AS kind, {listed} AS listed, '{role}' AS role, start,
+        start + length(whole) AS stop, {len(needs)} AS needs,
+        {str(list(needs)) + "::VARCHAR[]"} AS needed
+    FROM (
+        SELECT rid, whole, value,
+            sum(length(gap)) OVER before + sum(length(whole)) OVER before - length(whole) AS start
+        FROM (
+            SELECT rid, unnest(gaps[1 : len(wholes)]) AS gap, unnest(wholes) AS whole,
+                unnest(found_values) AS value, unnest(range(len(wholes))) AS place
+            FROM (
+                SELECT rid, string_split_regex(text, {quoted}) AS gaps,
+                    regexp_extract_all(text, {quoted}) AS wholes,
+                    regexp_extract_all(text, {quoted}, {group}) AS found_values
+                FROM docs))
+        WINDOW before AS (PARTITION BY rid ORDER BY place))
+    WHERE length(value) >= {least}{held}""")
+    return "\n    UNION ALL".join(found)
+
+
+_SECRETS = f"""
+WITH docs AS (SELECT row_number() OVER () AS rid, doc_id, coalesce(text, '') AS text FROM documents),
+parts AS ({_secret_parts()}),
+linked AS (
+    SELECT a.rid, a.kind, a.listed, a.start, a.stop FROM parts a JOIN parts b
+        ON a.rid = b.rid AND a.needs > 0 AND list_contains(a.needed, b.role)
+        AND abs(a.start - b.start) <= 400
+    GROUP BY a.rid, a.kind, a.listed, a.start, a.stop, a.needs HAVING count(DISTINCT b.role) = a.needs),
+spans AS (
+    SELECT rid, kind, listed, start, stop, needs = 0 AS base FROM parts WHERE needs = 0
+    UNION ALL SELECT *, false FROM linked),
+listed AS (
+    SELECT rid, count(*) FILTER (kind = 'assign') AS n_assign,
+        count(*) FILTER (kind = 'access') AS n_access, count(*) FILTER (kind = 'hex') AS n_hex,
+        string_agg(concat_ws(':', kind, start, stop), ',' ORDER BY start, listed)
+            FILTER (base) AS base,
+        string_agg(concat_ws(':', kind, start, stop), ',' ORDER BY start, listed) AS spans
+    FROM spans GROUP BY rid)
+SELECT doc_id, coalesce(n_assign, 0) AS n_assign, coalesce(n_access, 0) AS n_access,
+    coalesce(n_hex, 0) AS n_hex, sha256(coalesce(base, '')) AS base_sha256,
+    coalesce(spans, '') AS spans
+FROM docs LEFT JOIN listed USING (rid)
+"""
+
 ORACLE: dict[str, str] = {
     "op3_decontamination": _DECONTAMINATION,
+    "op10_secret_scan": _SECRETS,
 }
