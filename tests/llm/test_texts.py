@@ -1,0 +1,260 @@
+"""Licenses, quality rules, packing and span removal against brute force."""
+
+from __future__ import annotations
+
+import re
+import zlib
+from collections import Counter
+
+import numpy as np
+import pytest
+import public_tokenizers
+from hypothesis import given, settings
+from hypothesis import strategies as st
+from tokenizers import Tokenizer
+
+from casewise.llm import substring_dedup
+from casewise.llm.license_scan import BASE, catalogue, scan
+from casewise.llm.packing import RANKS, OpenSequences, best_fit, pack, tokens
+from casewise.llm.queries import QUERIES
+from casewise.llm.substring_dedup import drop_repeated_spans, runs, sentences
+from casewise.llm.textops import folded_words
+
+SMALL = "/root/testdata/sf0.001"
+
+
+def _words(text):
+    return re.findall(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+", re.sub("[A-Z]", lambda m: m[0].lower(), text or ""))
+
+
+def _edits(a, b):
+    row = list(range(len(b) + 1))
+    for i, x in enumerate(a, 1):
+        row, last = [i], row
+        for j, y in enumerate(b, 1):
+            row.append(min(last[j] + 1, row[-1] + 1, last[j - 1] + (x != y)))
+    return row[-1]
+
+
+# --- licenses ----------------------------------------------------------------------
+
+
+def test_license_query(spark, documents):
+    for row in QUERIES["op2_license_scan"](spark, SMALL).collect():
+        words = _words(documents[row.doc_id])
+        places = [
+            (i, label)
+            for phrase, label in BASE
+            for own in [phrase.split()]
+            for i in range(len(words))
+            if words[i : i + len(own)] == own
+        ]
+        starts = [i for i, _ in places]
+        labels = sorted({label for _, label in places})
+        assert (row.n_words, row.n_base) == (len(words), len(places))
+        assert (row.first_word, row.last_word) == (min(starts, default=None), max(starts, default=None))
+        assert row.base_labels == ",".join(labels)
+        assert set(labels) <= set(row.labels.split(","))  if labels else True
+        assert row.score == 1.0 if labels else 0 <= row.score <= 1
+
+
+@pytest.mark.parametrize("notice", catalogue(), ids=lambda n: n.phrase)
+def test_edited_notices_are_found(notice):
+    rng = np.random.default_rng(len(notice.phrase))
+    for _ in range(20):
+        text = notice.phrase
+        for _ in range(notice.edits):
+            at = int(rng.integers(1, len(text) - 1))
+            kind = int(rng.integers(0, 3))
+            text = text[:at] + ("é" if kind else "") + text[at + (kind < 2) :]
+        found = scan(folded_words(f"Some words, {text}. And more".encode()), catalogue())
+        allowed = notice.edits
+        if _edits(" ".join(_words(text)), notice.phrase) <= allowed:
+            assert notice.label in {span["label"] for span in found}, text
+
+
+def test_spans_are_within_their_edits():
+    text = "The MIT Licens; GNU generall public licence v2, apache  license. mit license mit license"
+    found = scan(folded_words(text.encode()), catalogue())
+    phrases = {}
+    for notice in catalogue():
+        phrases.setdefault(notice.label, []).append(notice.phrase)
+    for span in found:
+        assert min(_edits(span["text"], phrase) for phrase in phrases[span["label"]]) <= span["edits"]
+        words = _words(text)[span["first_word"] : span["first_word"] + span["words"]]
+        assert " ".join(words) == span["text"]
+    assert Counter(span["label"] for span in found if span["base"]) == {"apache": 1, "mit": 2}
+
+
+# --- quality rules -----------------------------------------------------------------
+
+
+def test_quality_rules_query(spark, documents):
+    rows = QUERIES["op4_quality_rules"](spark, SMALL).collect()
+    for row in rows:
+        text = documents[row.doc_id] or ""
+        words = re.findall(r"[^\x20\x09-\x0D]+", text)
+        windows = [tuple(words[i : i + 3]) for i in range(len(words) - 2)]
+        counts, hit, seen, again = Counter(windows), set(), set(), 0
+        for i, window in enumerate(windows):
+            if counts[window] > 1:
+                hit |= {i, i + 1, i + 2}
+        for line in text.split("\n"):
+            if re.search(r"[^\x20\x09-\x0D]", line):
+                again += line in seen
+                seen.add(line)
+        failed = len(words) < 50 or 100 * len(hit) > 50 * len(words)
+        assert (row.n_words, row.word_chars) == (len(words), sum(map(len, words)))
+        assert row.n_symbols == len(re.findall(r"[#*$%&|<>]", text))
+        assert (row.n_dup_lines, row.n_repeat_words) == (again, len(hit))
+        assert row.base_failed == failed
+        assert not (row.kept and failed)
+    assert len(rows) == len(documents)
+
+
+# --- packing -----------------------------------------------------------------------
+
+
+def _tokenizer():
+    own = Tokenizer.from_file(public_tokenizers.path("byte_bpe_50k.json"))
+    own.encode_special_tokens = True
+    return own
+
+
+@settings(max_examples=80, deadline=None)
+@given(st.lists(st.text(alphabet="ab'sé1.,! \n\t  ½你", max_size=40), max_size=6))
+def test_ids_are_the_tokenizers(texts):
+    expected = [one.ids for one in _tokenizer().encode_batch(texts, add_special_tokens=False)]
+    found = tokens(RANKS).encode([text.encode() for text in texts])
+    assert [ids.tolist() for ids in found] == expected
+
+
+def test_special_strings_are_text():
+    text = "a <|endoftext|> b"
+    assert tokens(RANKS).encode([text.encode()])[0].tolist() == _tokenizer().encode(text).ids
+
+
+@settings(max_examples=60, deadline=None)
+@given(st.lists(st.integers(1, 64), max_size=60))
+def test_best_fit(lengths):
+    """The tree takes the tightest open sequence, as a search over all of them does."""
+    opened, offsets = best_fit(np.array(lengths, np.int64), 64)
+    room, expected = [], {}
+    for tail in np.argsort(-np.array(lengths, np.int64), kind="stable").tolist():
+        fits = [space for space in room if space >= lengths[tail]]
+        tightest = min(fits, default=64)
+        if fits:
+            room.remove(tightest)
+        room.append(tightest - lengths[tail])
+        expected[tail] = 64 - tightest
+    assert {tail: int(offset) for tail, offset in enumerate(offsets)} == expected
+    used = Counter()
+    for sequence, length in zip(opened.tolist(), lengths, strict=True):
+        used[sequence] += length
+    assert all(total <= 64 for total in used.values()) and len(used) == len(room)
+
+
+def test_no_open_sequence():
+    places = OpenSequences(10)
+    assert places.take(1) is None
+    places.put(4, 0)
+    places.put(7, 1)
+    assert places.take(5) == (1, 7) and places.take(5) is None and places.take(4) == (0, 4)
+
+
+def test_packing_query(spark, documents):
+    expected = {
+        i: ids.ids + [1]
+        for i, ids in zip(
+            documents,
+            _tokenizer().encode_batch([t or "" for t in documents.values()], add_special_tokens=False),
+            strict=True,
+        )
+    }
+    pieces = QUERIES["op5_packing"](spark, SMALL).collect()
+    covered, sequences = Counter(), {}
+    for row in pieces:
+        ids = expected[row.doc_id][row.start : row.start + row.length]
+        assert row.doc_tokens == len(expected[row.doc_id]) and len(ids) == row.length
+        assert row.ids_crc32 == zlib.crc32(np.array(ids, "<u4").tobytes())
+        covered[row.doc_id] += row.length
+        sequences.setdefault(row.sequence_id, []).append((row.offset, row.length))
+    assert covered == {i: len(ids) for i, ids in expected.items()}
+    for parts in sequences.values():
+        at = 0
+        for offset, length in sorted(parts):
+            assert offset == at
+            at += length
+        assert at <= 2048
+    assert sum(covered.values()) > 0.97 * 2048 * len(sequences)
+
+
+def test_packing_in_blocks(spark):
+    docs = spark.createDataFrame(
+        [(i, "word " * (i % 40)) for i in range(300)], "doc_id bigint, text string"
+    ).coalesce(1)
+    small = pack(docs, size=64, block_tokens=500).collect()
+    assert len({row.sequence_id for row in small}) > 1
+    used = Counter()
+    for row in small:
+        used[row.sequence_id] += row.length
+    assert max(used.values()) <= 64
+
+
+# --- spans -------------------------------------------------------------------------
+
+
+def _spans_by_brute_force(documents, several=3, words=20):
+    """Covered sentences per document, from every run of all texts."""
+    found, owners = {}, {}
+    for i, text in documents.items():
+        cut = sentences((text or "").encode())
+        found[i] = cut, list(runs(cut, several, words))
+        for *_, key in found[i][1]:
+            owners.setdefault(key, set()).add(i)
+    gone = {}
+    for i, (cut, spans) in found.items():
+        seen, covered = set(), set()
+        for start, stop, key in spans:
+            if key in seen or min(owners[key]) < i:
+                covered |= set(range(start, stop))
+            seen.add(key)
+        gone[i] = len(cut), len(covered)
+    return gone
+
+
+def test_spans_query(spark, documents):
+    rows = QUERIES["op6_substring_dedup"](spark, SMALL).collect()
+    assert {row.doc_id: (row.n_sentences, row.n_removed) for row in rows} == _spans_by_brute_force(documents)
+    assert all(row.n_removed or row.text == documents[row.doc_id] for row in rows)
+    assert any(row.n_removed for row in rows)
+
+
+def test_passages_across_documents(spark):
+    passage = " ".join(f"Sentence number {i} of the passage says something else." for i in range(8))
+    own = [" ".join(f"Text {n} has line {i} for itself alone, no other." for i in range(6)) for n in range(4)]
+    texts = {n: f"{own[n]} {passage}\n{own[n].upper()}" for n in range(3)} | {3: own[3]}
+    docs = spark.createDataFrame(list(texts.items()), "doc_id bigint, text string")
+    kept = {row.doc_id: row for row in drop_repeated_spans(docs).collect()}
+    assert "number 4 of the passage" in kept[0].text and kept[3].text == texts[3]
+    for n in (1, 2):
+        assert "passage" not in kept[n].text and own[n][:60] in kept[n].text
+    # A text that repeats itself loses the later copy.
+    assert all("HAS LINE 3" not in kept[n].text for n in range(3))
+
+
+def test_stretch_without_sentence_ends(spark):
+    stretch = " ".join(f"w{i * 7919 % 1000}" for i in range(120))
+    texts = [(1, f"alpha beta {stretch}"), (2, f"{' '.join(f'own{i}' for i in range(60))} {stretch} end")]
+    docs = spark.createDataFrame(texts, "doc_id bigint, text string")
+    kept = {row.doc_id: row.text for row in drop_repeated_spans(docs).collect()}
+    assert kept[1] == texts[0][1] and len(kept[2].split()) < 100
+
+
+def test_runs_slide_and_reach_the_end():
+    cut = sentences(b"One two three. Four five! Six seven?\nEight nine ten. Eleven")
+    assert [words for _, words, _ in cut] == [3, 2, 2, 3, 1]
+    spans = [(start, stop) for start, stop, _ in runs(cut, 2, 5)]
+    assert spans == [(0, 2), (1, 4), (2, 4), (2, 5)]
+    assert not list(runs(cut, 9, 1)) and not list(runs([], 1, 1))
+    assert substring_dedup.sentences(b"") == []
