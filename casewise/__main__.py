@@ -21,12 +21,13 @@ from casewise.streaming import batch_options, file_messages, kafka_messages, lan
 
 
 def _land(spark, args) -> dict:
-    documents, _ = split_corrupt(read_bronze(spark, args.source))
+    documents, broken = split_corrupt(read_bronze(spark, args.source))
     received = parse_partial_date(F.col("receivedate"), F.col("receivedateformat"))
     cap = args.max_records_per_window or None
     start, end = (F.lit(text).cast("date") for text in (args.start, args.end))
     start, end = spark.range(1).select(start, end).first()
-    order = [F.col("safetyreportid").asc()]
+    names = ("safetyreportid", "safetyreportversion", "receiptdate", "receivedate")
+    order = [*map(F.col, names), F.xxhash64("*").alias("content")]
     manifest = land(
         documents,
         received,
@@ -37,6 +38,7 @@ def _land(spark, args) -> dict:
         ingest_date=args.ingest_date,
         window_days=args.window_days,
         max_records_per_window=cap,
+        broken=broken,
     )
     return manifest.first().asDict()
 
@@ -92,7 +94,7 @@ def _parser() -> argparse.ArgumentParser:
     job.add_argument("--end", required=True)
     job.add_argument("--ingest-date")
     job.add_argument("--window-days", type=int, default=7)
-    job.add_argument("--max-records-per-window", type=int, default=500, help="0 for no cap")
+    job.add_argument("--max-records-per-window", type=int, default=0, help="0, the default, for no cap")
     job.set_defaults(run=_land)
 
     job = jobs.add_parser("transform", help="bronze to silver, cases and signals")

@@ -3,7 +3,7 @@
 from .bronze import decode_lines, read_bronze, split_corrupt, union_bronze
 from .landed import read_assessments, read_cases, read_ndjson, read_silver
 from .sinks import write_ndjson, write_partitioned_ndjson, write_summary, write_table
-from .workspace import fresh_path, materialize, shared_root
+from .workspace import fresh_path, materialize, run_folder, shared_root
 
 __all__ = [
     "decode_lines",
@@ -14,6 +14,7 @@ __all__ = [
     "read_cases",
     "read_ndjson",
     "read_silver",
+    "run_folder",
     "shared_root",
     "split_corrupt",
     "union_bronze",

@@ -3,17 +3,22 @@
 A written table survives the loss of any executor, and what reads it gets column
 pruning and real file statistics. The folder is the one the cluster names in
 ``spark.checkpoint.dir``; a folder of our own is made only on a local master with
-that setting unset.
+that setting unset. A job puts all of its tables into one folder and removes that
+when it ends.
 """
 
 from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
+from contextvars import ContextVar
 
 from pyspark.sql import DataFrame, SparkSession
 
 _SETTING = "spark.checkpoint.dir"
+_run_folder: ContextVar[str | None] = ContextVar("run_folder", default=None)
 
 
 def shared_root(spark: SparkSession) -> str:
@@ -28,8 +33,29 @@ def shared_root(spark: SparkSession) -> str:
 
 
 def fresh_path(spark: SparkSession, label: str) -> str:
-    """A path under the work folder that nothing has used yet."""
-    return f"{shared_root(spark)}/casewise/{label}-{uuid.uuid4().hex}"
+    """A path under the work folder, or the run's part of it, that nothing has used yet."""
+    folder = _run_folder.get() or f"{shared_root(spark)}/casewise"
+    return f"{folder}/{label}-{uuid.uuid4().hex}"
+
+
+@contextmanager
+def run_folder(spark: SparkSession) -> Iterator[str]:
+    """A folder for the tables of one run; it goes when the run ends, failed or not.
+
+    Nothing that reads these tables may leave the block. A run inside a run shares its
+    folder.
+    """
+    if outer := _run_folder.get():
+        yield outer
+        return
+    folder = fresh_path(spark, "run")
+    token = _run_folder.set(folder)
+    try:
+        yield folder
+    finally:
+        _run_folder.reset(token)
+        path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+        path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
 
 
 def materialize(df: DataFrame, label: str) -> DataFrame:

@@ -384,7 +384,7 @@ def run_chain(spark: SparkSession, sf_dir: str) -> DataFrame:
     document = tables.documents(spark, sf_dir)
     received = fn.parse_partial_date(F.col("receivedate"), F.col("receivedateformat"))
     start, end = document.select(received.alias("day")).agg(F.min("day"), F.max("day")).first()
-    order = [F.col("safetyreportid").asc(), F.col("companynumb").asc()]
+    order = [F.col("safetyreportid"), F.col("companynumb")]
     result = run_all(
         document,
         received,
@@ -617,8 +617,8 @@ def window_capped(spark: SparkSession, sf_dir: str) -> DataFrame:
         bounds.select("start").scalar(),
         bounds.select("end").scalar(),
     )
-    order = [F.col("ts").asc(), F.col("event_id").asc()]
-    return windows.cap_per_window(assigned, order).select(
+    order = [F.col("ts"), F.col("event_id")]
+    return windows.cap_per_window(assigned, order, 500).select(
         "event_id", "user_id", "window_start", "window_end"
     )
 
@@ -631,7 +631,7 @@ def run_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
     manifest = land(
         event.withColumn("day", F.col("ts").cast("date").cast("string")).drop("ts"),
         F.col("day").cast("date"),
-        [F.col("event_id").asc()],
+        [F.col("event_id")],
         *bounds,
         root=fresh_path(spark, "landing"),
         dataset="events",
