@@ -5,19 +5,28 @@ from __future__ import annotations
 import argparse
 import json
 import sys
+import time
 
 from pyspark.sql import functions as F
 
 from casewise.functions import parse_partial_date
 from casewise.operators.assessors import rule_assessor
-from casewise.operators.nesting import DEFAULT_CAP
 from casewise.plans.enrichment import run_enrichment
 from casewise.plans.evaluation import run_evaluation
 from casewise.plans.landing import land
 from casewise.plans.transform import run_transform
 from casewise.session import build_session
 from casewise.sources import decode_lines, read_bronze, read_cases, split_corrupt
-from casewise.streaming import batch_options, file_messages, kafka_messages, land_stream
+from casewise.streaming import (
+    batch_options,
+    file_messages,
+    kafka_messages,
+    keyed_messages,
+    land_stream,
+    publish_to_files,
+    publish_to_kafka,
+    replay_trigger,
+)
 
 
 def _land(spark, args) -> dict:
@@ -73,14 +82,54 @@ def _evaluate(spark, args) -> dict:
 
 def _stream(spark, args) -> dict:
     if args.bootstrap:
-        options = batch_options(args.max_records, args.max_seconds)
+        options = batch_options(args.least_records, args.max_seconds, args.most_records)
         messages = kafka_messages(spark, args.bootstrap, args.source, options)
     else:
-        messages = file_messages(spark, args.source)
-    query = land_stream(decode_lines(messages), args.out, args.checkpoint)
+        messages = file_messages(spark, args.source, args.files_per_batch)
+    trigger = {"processingTime": f"{args.interval} seconds"} if args.interval else None
+    day = F.lit(args.ingest_date) if args.ingest_date else None
+    query = land_stream(decode_lines(messages), args.out, args.checkpoint, day, trigger)
+    return _drained(query, args.interval, args.idle, args.max_batches)
+
+
+def _drained(query, interval: float | None, idle: float, max_batches: int | None) -> dict:
+    """Wait for a query to end, or for a running one to be idle or to have done enough."""
+    batches: dict[int, int] = {}
+    quiet = time.monotonic()
+
+    def note() -> None:
+        for progress in query.recentProgress:
+            if progress["numInputRows"]:
+                batches[progress["batchId"]] = progress["numInputRows"]
+
+    while interval and query.isActive:
+        before = len(batches)
+        note()
+        if len(batches) > before:
+            quiet = time.monotonic()
+        if (max_batches and len(batches) >= max_batches) or time.monotonic() - quiet > idle:
+            query.stop()
+        else:
+            query.awaitTermination(min(1, idle))
     query.awaitTermination()
-    done = [progress["numInputRows"] for progress in query.recentProgress]
-    return {"batches": sum(rows > 0 for rows in done), "records": sum(done)}
+    note()
+    return {"batches": len(batches), "records": sum(batches.values())}
+
+
+def _publish(spark, args) -> dict:
+    """Documents of a folder as keyed messages, to a topic or a folder, at a rate."""
+    lines = file_messages(spark, args.source, args.files_per_batch, args.limit)
+    documents, _ = split_corrupt(decode_lines(lines))
+    trigger = None
+    if args.rate:
+        per_file = args.records_per_file
+        trigger = replay_trigger(per_file, args.files_per_batch or 1, args.rate)
+    messages = keyed_messages(documents, args.key)
+    if args.bootstrap:
+        query = publish_to_kafka(messages, args.bootstrap, args.topic, args.checkpoint, trigger)
+    else:
+        query = publish_to_files(messages, args.topic, args.checkpoint, trigger)
+    return _drained(query, 1.0 if trigger else None, args.idle, None)
 
 
 def _parser() -> argparse.ArgumentParser:
@@ -110,7 +159,7 @@ def _parser() -> argparse.ArgumentParser:
     job.add_argument("--cases", required=True)
     job.add_argument("--gold", required=True)
     job.add_argument("--cache")
-    job.add_argument("--limit", type=int, default=DEFAULT_CAP, help="0 for no cap")
+    job.add_argument("--limit", type=int, default=0, help="0, the default, for all")
     job.add_argument("--ingest-date")
     job.set_defaults(run=_enrich)
 
@@ -119,13 +168,32 @@ def _parser() -> argparse.ArgumentParser:
     job.add_argument("--out", required=True)
     job.set_defaults(run=_evaluate)
 
-    job = jobs.add_parser("stream", help="land what a topic or folder holds, then stop")
+    job = jobs.add_parser("publish", help="replay documents as keyed messages")
+    job.add_argument("--source", required=True)
+    job.add_argument("--topic", required=True, help="a topic with --bootstrap, else a folder")
+    job.add_argument("--bootstrap")
+    job.add_argument("--checkpoint", required=True)
+    job.add_argument("--key", default="safetyreportid")
+    job.add_argument("--limit", type=int)
+    job.add_argument("--rate", type=float, help="records per second; without, all at once")
+    job.add_argument("--records-per-file", type=int, default=500)
+    job.add_argument("--files-per-batch", type=int)
+    job.add_argument("--idle", type=float, default=30, help="a rated replay ends so many seconds after its last batch")
+    job.set_defaults(run=_publish)
+
+    job = jobs.add_parser("stream", help="land what a topic or folder holds")
     job.add_argument("--source", required=True, help="a topic with --bootstrap, else a folder")
     job.add_argument("--bootstrap")
     job.add_argument("--out", required=True)
     job.add_argument("--checkpoint", required=True)
-    job.add_argument("--max-records", type=int, default=200)
+    job.add_argument("--least-records", type=int, default=200)
+    job.add_argument("--most-records", type=int)
     job.add_argument("--max-seconds", type=int, default=10)
+    job.add_argument("--files-per-batch", type=int)
+    job.add_argument("--ingest-date")
+    job.add_argument("--interval", type=float, help="seconds between batches; without, take what is there and stop")
+    job.add_argument("--idle", type=float, default=30, help="seconds without data after which a running stream ends")
+    job.add_argument("--max-batches", type=int)
     job.set_defaults(run=_stream)
     return parser
 

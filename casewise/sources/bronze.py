@@ -12,6 +12,8 @@ from casewise.schema import BRONZE_SCHEMA
 # reads back as null.
 _PARSER_CORRUPT = "_corrupt_record"
 RAW_LINE = "raw_line"
+# The text of a line of which a part could not be read, beside what could.
+PARTLY_READ = "partly_read"
 
 
 def _parse_schema(schema: T.StructType) -> T.StructType:
@@ -21,11 +23,16 @@ def _parse_schema(schema: T.StructType) -> T.StructType:
 def _verdict(parsed: DataFrame, schema: T.StructType, suspicious: Column, line: str) -> DataFrame:
     """The fields, and the line's text where no field of it could be read.
 
-    A document with a field of the wrong type stays one, with that field null.
+    A document with a field of the wrong type stays one, with that field null and the
+    line's text beside it, so that nothing is lost unseen.
     """
     readable = F.coalesce(*(F.when(F.col(n).isNotNull(), True) for n in schema.fieldNames()))
     broken = suspicious & readable.isNull()
-    return parsed.select(*schema.fieldNames(), F.when(broken, F.col(line)).alias(RAW_LINE))
+    return parsed.select(
+        *schema.fieldNames(),
+        F.when(broken, F.col(line)).alias(RAW_LINE),
+        F.when(suspicious & ~broken, F.col(line)).alias(PARTLY_READ),
+    )
 
 
 def read_bronze(
@@ -59,7 +66,13 @@ def decode_lines(lines: DataFrame, schema: T.StructType = BRONZE_SCHEMA) -> Data
 def split_corrupt(scan: DataFrame) -> tuple[DataFrame, DataFrame]:
     """(documents, broken lines) of a scan; every scanned line is in one of the two."""
     broken = F.col(RAW_LINE).isNotNull()
-    return scan.filter(~broken).drop(RAW_LINE), scan.filter(broken).select(RAW_LINE)
+    return scan.filter(~broken).drop(RAW_LINE, PARTLY_READ), scan.filter(broken).select(RAW_LINE)
+
+
+def lost_lines(scan: DataFrame) -> DataFrame:
+    """The text of every line that could not be read, or not as a whole."""
+    line = F.coalesce(RAW_LINE, PARTLY_READ)
+    return scan.filter(line.isNotNull()).select(line.alias(RAW_LINE))
 
 
 def union_bronze(*parts: DataFrame) -> DataFrame:

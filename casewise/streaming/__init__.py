@@ -3,14 +3,19 @@
 from .ingest import (
     BROKEN,
     DOCUMENT,
+    IN_TIME,
+    LATE,
     batch_options,
-    drop_replays,
+    compact_landed,
     file_messages,
     kafka_messages,
     keyed_messages,
+    land_distinct,
     land_stream,
     max_offsets,
+    publish_to_files,
     publish_to_kafka,
+    read_distinct,
     read_landed,
     replay_trigger,
 )
@@ -18,14 +23,19 @@ from .ingest import (
 __all__ = [
     "BROKEN",
     "DOCUMENT",
+    "IN_TIME",
+    "LATE",
     "batch_options",
-    "drop_replays",
+    "compact_landed",
     "file_messages",
     "kafka_messages",
     "keyed_messages",
+    "land_distinct",
     "land_stream",
     "max_offsets",
+    "publish_to_files",
     "publish_to_kafka",
+    "read_distinct",
     "read_landed",
     "replay_trigger",
 ]

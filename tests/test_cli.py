@@ -29,16 +29,39 @@ def test_jobs(spark, tmp_path, capsys):
     assert (streamed["batches"], streamed["records"]) == (1, 1)
 
     places = ("--silver", silver, "--gold", gold)
-    stats = run(capsys, "transform", "--bronze", bronze, tmp_path / "stream/kind=document", *places)
+    stats = run(capsys, "transform", "--bronze", bronze, tmp_path / "stream", *places)
     assert (stats["bronze_rows"], stats["silver_report_rows"]) == (5, 5)
 
     metrics = run(capsys, "enrich", "--cases", silver / "enrichment_input", "--gold", gold, "--limit", 3)
     assert (metrics["attempted"], metrics["enriched"]) == (3, 3)
+    assert (metrics["available"], metrics["withheld"]) == (5, 2)
 
     scores = run(capsys, "evaluate", "--assessments", gold / "assessments", "--out", gold / "_eval")
     assert (scores["code"], scores["n_scored"]) == (0, 3)
 
 
+def test_publish_and_a_running_stream(spark, tmp_path, capsys):
+    for i in range(3):
+        write_lines(tmp_path / "in" / f"{i}.json", [report(f"R{i}")])
+    topic = ("--source", tmp_path / "in", "--topic", tmp_path / "topic", "--checkpoint", tmp_path / "cp-p")
+    published = run(capsys, "publish", *topic, "--rate", 50, "--records-per-file", 1, "--files-per-batch", 1, "--idle", 3)
+    assert (published["batches"], published["records"]) == (3, 3)
+
+    stream = ("--source", tmp_path / "topic", "--out", tmp_path / "out", "--checkpoint", tmp_path / "cp")
+    running = ("--interval", 0.1, "--files-per-batch", 1, "--ingest-date", "2024-05-01")
+    first = run(capsys, "stream", *stream, *running, "--max-batches", 1)
+    rest = run(capsys, "stream", *stream, *running, "--idle", 3)
+    assert first["records"] >= 1 and first["records"] + rest["records"] == 3
+    assert len(list(tmp_path.glob("out/documents/*/*/ingest_date=2024-05-01/part-*"))) == 3
+
+
+def test_landing_accounts_for_broken_lines(spark, tmp_path, capsys):
+    write_lines(tmp_path / "in" / "a.json", [report("R1"), "{torn", report("R2", receivedate=None)])
+    days = ("--start", "2024-01-01", "--end", "2024-01-31")
+    landed = run(capsys, "land", "--source", tmp_path / "in", "--root", tmp_path / "root", *days)
+    assert [landed[n] for n in ("rows_in", "record_count", "broken_count", "undated_count")] == [3, 1, 1, 1]
+
+
 def test_no_input(spark, tmp_path, capsys):
     write_lines(tmp_path / "cases" / "a.json", [""])
     result = run(capsys, "enrich", "--cases", tmp_path / "cases", "--gold", tmp_path / "gold")

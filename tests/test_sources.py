@@ -9,6 +9,7 @@ from conftest import enriched, report, write_lines
 from casewise.schema import BRONZE_SCHEMA, CASE_SCHEMA, ENRICHED_SCHEMA, TRANSFORM_SCHEMA
 from casewise.sources import (
     decode_lines,
+    lost_lines,
     materialize,
     read_assessments,
     read_bronze,
@@ -56,6 +57,30 @@ def test_a_field_of_the_wrong_type_is_null_and_the_rest_is_kept(spark, tmp_path)
     row = documents.first()
     assert (row.safetyreportid, row.patient) == ("R1", None)
     assert broken.count() == 0
+    (line,) = lost_lines(read_bronze(spark, path)).collect()
+    assert json.loads(line.raw_line)["patient"] == "none"
+
+
+@pytest.mark.parametrize("line", ['{"safetyreportid": "R9"', "torn"])
+def test_a_torn_line_fails_a_strict_read(spark, tmp_path, line):
+    path = write_lines(tmp_path / "a.json", [{"safetyreportid": "R1"}, line])
+    frame = read_ndjson(spark, path, CASE_SCHEMA)
+    for action in (frame.collect, frame.count, frame.select("drugs").collect):
+        with pytest.raises(Exception, match="unreadable line"):
+            action()
+
+
+def test_a_wrong_type_fails_a_strict_read(spark, tmp_path):
+    path = write_lines(tmp_path / "a.json", [{"safetyreportid": "R1", "drugs": "none"}])
+    with pytest.raises(Exception, match="unreadable line"):
+        read_ndjson(spark, path, CASE_SCHEMA).collect()
+
+
+def test_a_torn_assessment_fails_the_read(spark, tmp_path):
+    with gzip.open(tmp_path / "a.json.gz", "wt") as out:
+        out.write('{"safetyreportid": "R1"')
+    with pytest.raises(Exception, match="unreadable line"):
+        read_assessments(spark, str(tmp_path)).collect()
 
 
 def test_batch_and_stream_decoding_agree(spark, tmp_path):

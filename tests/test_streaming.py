@@ -2,22 +2,30 @@ from __future__ import annotations
 
 import datetime
 import json
+import os
 
 import pytest
 from conftest import report, write_lines
 from pyspark.sql import functions as F
 
+from casewise.operators.gates import GateFailed
 from casewise.operators.silver import latest_versions, report_table
+from casewise.plans.transform import run_transform
 from casewise.schema import BRONZE_SCHEMA
-from casewise.sources import decode_lines, fresh_path, read_bronze, split_corrupt, union_bronze
+from casewise.sources import decode_lines, read_bronze, split_corrupt, union_bronze
 from casewise.streaming import (
     BROKEN,
+    IN_TIME,
+    LATE,
     batch_options,
-    drop_replays,
+    compact_landed,
     file_messages,
     keyed_messages,
+    land_distinct,
     land_stream,
     max_offsets,
+    publish_to_files,
+    read_distinct,
     read_landed,
     replay_trigger,
 )
@@ -35,12 +43,12 @@ def keys(frame):
 
 
 def test_batch_by_count_or_age():
-    assert batch_options() == {
-        "minOffsetsPerTrigger": "200",
-        "maxOffsetsPerTrigger": "200",
-        "maxTriggerDelay": "10s",
+    assert batch_options() == {"minOffsetsPerTrigger": "200", "maxTriggerDelay": "10s"}
+    assert batch_options(3, 1, 9) == {
+        "minOffsetsPerTrigger": "3",
+        "maxTriggerDelay": "1s",
+        "maxOffsetsPerTrigger": "9",
     }
-    assert batch_options(3, 1)["maxTriggerDelay"] == "1s"
 
 
 def test_replay_rate():
@@ -75,6 +83,8 @@ def test_stream_equals_batch(spark, tmp_path):
     documents, broken = split_corrupt(read_bronze(spark, str(source)))
     landed = read_landed(spark, str(tmp_path / "out"))
     assert landed.schema == documents.schema
+    whole = read_bronze(spark, str(tmp_path / "out"))
+    assert whole.where("raw_line IS NOT NULL").count() == 1 and whole.count() == 4
     assert sorted(map(repr, landed.collect())) == sorted(map(repr, documents.collect()))
     poison = read_landed(spark, str(tmp_path / "out"), kind=BROKEN)
     assert [r.raw_line for r in poison.collect()] == [r.raw_line for r in broken.collect()] == ["poison"]
@@ -91,15 +101,16 @@ def test_layout_and_one_folder_per_batch(spark, tmp_path):
         write_lines(tmp_path / "topic" / f"{i}.json", [report(f"R{i}")])
     day = F.lit("2024-05-01")
     stream_once(spark, tmp_path / "topic", tmp_path / "out", tmp_path / "cp", ingest_date=day, files_per_batch=1)
-    folders = sorted(p.name for p in tmp_path.glob("out/kind=document/ingest_date=2024-05-01/*"))
+    folders = sorted(p.name for p in tmp_path.glob("out/documents/stream=*/batch=*"))
     assert folders == ["batch=0", "batch=1", "batch=2"]
-    assert all(p.name.endswith(".json.gz") for p in tmp_path.glob("out/kind=*/*/*/part-*"))
+    parts = list(tmp_path.glob("out/documents/*/*/ingest_date=2024-05-01/part-*"))
+    assert len(parts) == 3 and all(p.name.endswith(".json.gz") for p in parts)
 
 
 def test_default_date_is_that_of_the_batch(spark, tmp_path):
     write_lines(tmp_path / "topic" / "a.json", [report()])
     stream_once(spark, tmp_path / "topic", tmp_path / "out", tmp_path / "cp")
-    (folder,) = (tmp_path / "out" / "kind=document").iterdir()
+    (folder,) = tmp_path.glob("out/documents/*/*/ingest_date=*")
     day = datetime.date.fromisoformat(folder.name.removeprefix("ingest_date="))
     assert abs((datetime.datetime.now(datetime.UTC).date() - day).days) <= 1
 
@@ -174,17 +185,98 @@ def test_max_offsets(spark):
     assert {tuple(r) for r in max_offsets(frame).collect()} == {("t", 0, 9), ("t", 1, 7), ("u", 0, 1)}
 
 
-def test_repeats_within_the_delay_are_dropped(spark, tmp_path):
-    lines = [{"safetyreportid": k, "receiptdate": t} for k, t in
-             [("A", "2024-01-01 00:00:00"), ("A", "2024-01-01 00:05:00"), ("B", "2024-01-01 00:01:00")]]
-    write_lines(tmp_path / "topic" / "a.json", lines)
-    decoded = decode_lines(file_messages(spark, str(tmp_path / "topic")))
-    timed = decoded.withColumn("at", F.to_timestamp("receiptdate"))
-    kept = drop_replays(timed, "safetyreportid", "at", "1 hour").select("safetyreportid")
-    out = fresh_path(spark, "kept")
-    query = (
-        kept.writeStream.format("parquet").option("checkpointLocation", fresh_path(spark, "cp"))
-        .trigger(availableNow=True).start(out)
-    )
-    query.awaitTermination()
-    assert keys(spark.read.parquet(out)) == ["A", "B"]
+def test_streams_into_one_folder_do_not_meet(spark, tmp_path):
+    """Another source, and the same source with a new checkpoint."""
+    write_lines(tmp_path / "a" / "a.json", [report("R1")])
+    write_lines(tmp_path / "b" / "b.json", [report("R2")])
+    stream_once(spark, tmp_path / "a", tmp_path / "out", tmp_path / "cp-a")
+    stream_once(spark, tmp_path / "b", tmp_path / "out", tmp_path / "cp-b")
+    assert keys(read_landed(spark, str(tmp_path / "out"))) == ["R1", "R2"]
+    stream_once(spark, tmp_path / "a", tmp_path / "out", tmp_path / "cp-new")
+    assert keys(read_landed(spark, str(tmp_path / "out"))) == ["R1", "R1", "R2"]
+
+
+def test_a_batch_run_again_on_another_day_lands_once(spark, tmp_path):
+    source, out, checkpoint = tmp_path / "topic", tmp_path / "out", tmp_path / "cp"
+    write_lines(source / "a.json", [report("R1")])
+    stream_once(spark, source, out, checkpoint, ingest_date=F.lit("2024-05-01"))
+    for entry in (checkpoint / "commits").iterdir():
+        entry.unlink()
+    stream_once(spark, source, out, checkpoint, ingest_date=F.lit("2024-05-02"))
+    assert keys(read_landed(spark, str(out))) == ["R1"]
+
+
+def test_partly_read_messages_are_kept_as_they_are(spark, tmp_path):
+    write_lines(tmp_path / "topic" / "a.json", [report("R1"), {"safetyreportid": "R2", "patient": "oops"}])
+    stream_once(spark, tmp_path / "topic", tmp_path / "out", tmp_path / "cp")
+    assert keys(read_landed(spark, str(tmp_path / "out"))) == ["R1"]
+    (line,) = read_landed(spark, str(tmp_path / "out"), kind=BROKEN).collect()
+    assert json.loads(line.raw_line)["patient"] == "oops"
+
+
+def test_a_landed_folder_with_torn_messages_can_be_transformed(spark, tmp_path):
+    write_lines(tmp_path / "topic" / "a.json", [report("R1"), report("R2"), "{torn"])
+    stream_once(spark, tmp_path / "topic", tmp_path / "out", tmp_path / "cp")
+    places = (str(tmp_path / "silver"), str(tmp_path / "gold"))
+    with pytest.raises(GateFailed, match="corrupt_rate"):
+        run_transform(spark, str(tmp_path / "out"), *places)
+    assert run_transform(spark, str(tmp_path / "out"), *places, max_corrupt_rate=0.5)["bronze_rows"] == 3
+    assert run_transform(spark, str(tmp_path / "out" / "documents"), *places)["bronze_rows"] == 2
+
+
+def test_compaction_keeps_every_line(spark, tmp_path):
+    for i in range(3):
+        write_lines(tmp_path / "topic" / f"{i}.json", [report(f"R{i}"), "{torn"])
+    stream_once(spark, tmp_path / "topic", tmp_path / "out", tmp_path / "cp", files_per_batch=1)
+    compact_landed(spark, str(tmp_path / "out"), str(tmp_path / "small"), 100)
+    assert keys(read_landed(spark, str(tmp_path / "small"))) == ["R0", "R1", "R2"]
+    assert read_landed(spark, str(tmp_path / "small"), kind=BROKEN).count() == 3
+    assert len(list(tmp_path.glob("small/documents/compacted/part-*"))) == 1
+
+
+def _distinct(spark, tmp_path, batches, delay="1 HOUR"):
+    """Every entry of ``batches`` is one micro-batch of (key, time) rows."""
+    for i, rows in enumerate(batches):
+        lines = [{"safetyreportid": k, "receiptdate": t} for k, t in rows]
+        path = write_lines(tmp_path / "topic" / f"{i}.json", lines)
+        os.utime(path, (1_700_000_000 + i, 1_700_000_000 + i))
+    decoded = decode_lines(file_messages(spark, str(tmp_path / "topic"), files_per_batch=1))
+    timed = decoded.select("safetyreportid", F.to_timestamp("receiptdate").alias("at"))
+    out, checkpoint = str(tmp_path / "kept"), str(tmp_path / "cp")
+    land_distinct(timed, "safetyreportid", "at", delay, out, checkpoint).awaitTermination()
+    found = read_distinct(spark, out, timed.schema).collect()
+    return sorted((r.kind, r.safetyreportid or "-") for r in found)
+
+
+def test_repeats_are_dropped_and_late_first_arrivals_are_not(spark, tmp_path):
+    batches = [
+        [("A", "2024-01-01 10:00:00"), ("A", "2024-01-01 10:05:00"), ("B", "2024-01-01 10:01:00")],
+        [("A", "2024-01-01 10:06:00"), ("C", "2024-01-01 02:00:00"), ("D", "2024-01-01 09:30:00")],
+        [("C", "2024-01-01 02:00:00"), ("B", "2023-12-01 00:00:00"), ("E", None)],
+    ]
+    expected = [(IN_TIME, k) for k in "ABD"] + [(LATE, k) for k in "CE"]
+    assert _distinct(spark, tmp_path, batches) == expected
+
+
+def test_rows_without_a_key_are_kept(spark, tmp_path):
+    rows = [(None, "2024-01-01 10:00:00")] * 2
+    assert _distinct(spark, tmp_path, [rows, rows]) == [(IN_TIME, "-")] * 4
+
+
+def test_a_distinct_batch_run_again_changes_nothing(spark, tmp_path):
+    batches = [[("A", "2024-01-01 10:00:00")], [("B", "2024-01-01 10:00:00")]]
+    first = _distinct(spark, tmp_path, batches)
+    for entry in (tmp_path / "cp" / "commits").glob("*1*"):
+        entry.unlink()
+    assert _distinct(spark, tmp_path, batches) == first == [(IN_TIME, "A"), (IN_TIME, "B")]
+
+
+def test_published_messages_come_back(spark, tmp_path):
+    write_lines(tmp_path / "in" / "a.json", [report("R1"), report("R2")])
+    documents, _ = split_corrupt(decode_lines(file_messages(spark, str(tmp_path / "in"))))
+    topic = str(tmp_path / "topic")
+    publish_to_files(keyed_messages(documents), topic, str(tmp_path / "cp-p")).awaitTermination()
+    stream_once(spark, topic, tmp_path / "out", tmp_path / "cp")
+    landed = read_landed(spark, str(tmp_path / "out"))
+    original, _ = split_corrupt(read_bronze(spark, str(tmp_path / "in")))
+    assert sorted(map(repr, landed.collect())) == sorted(map(repr, original.collect()))
