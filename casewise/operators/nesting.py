@@ -12,8 +12,6 @@ from casewise.schema import CASE_SCHEMA, SERIOUS_CODES, SEX_CODES
 _DRUG_PARTS = ("active_substance", "medicinal_product", "drug_role", "indication")
 _REACTION_PARTS = ("reaction_term", "reaction_outcome")
 
-DEFAULT_CAP = 50  # fixed value: records per assessment run
-
 
 def _packed(array: Column, fields, parts: tuple[str, ...]) -> Column:
     kept = F.filter(array, lambda item: item.isNotNull())
@@ -70,8 +68,8 @@ def cases_from_tables(
     )
 
 
-def cap_cases(cases: DataFrame, limit: int | None = DEFAULT_CAP) -> DataFrame:
-    """The first ``limit`` cases by report id: the billing guard of a run.
+def cap_cases(cases: DataFrame, limit: int | None = None) -> DataFrame:
+    """The first ``limit`` cases by report id: the billing guard of a run that asks for one.
 
     Sort and limit together are a top-k: every task keeps its own first few.
     """

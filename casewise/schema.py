@@ -8,8 +8,8 @@ from __future__ import annotations
 
 from pyspark.sql import types as T
 
-def _texts(names: str) -> list[T.StructField]:
-    return [T.StructField(name, T.StringType()) for name in names.split()]
+def _texts(*names: str) -> list[T.StructField]:
+    return [T.StructField(name, T.StringType()) for name in names]
 
 
 def _record(*fields: T.StructField) -> T.StructType:
@@ -25,8 +25,8 @@ TEXT_LIST = T.ArrayType(T.StringType())
 # Field names of the public case-report format.
 DRUG_SCHEMA = _record(
     _field("activesubstance", _record(*_texts("activesubstancename"))),
-    *_texts("drugcharacterization drugdosagetext drugindication"),
-    *_texts("drugstartdate drugstartdateformat drugenddate drugenddateformat"),
+    *_texts("drugcharacterization", "drugdosagetext", "drugindication"),
+    *_texts("drugstartdate", "drugstartdateformat", "drugenddate", "drugenddateformat"),
     *_texts("medicinalproduct"),
     _field(
         "openfda",
@@ -39,18 +39,18 @@ DRUG_SCHEMA = _record(
         ),
     ),
 )
-REACTION_SCHEMA = _record(*_texts("reactionmeddrapt reactionmeddraversionpt reactionoutcome"))
+REACTION_SCHEMA = _record(*_texts("reactionmeddrapt", "reactionmeddraversionpt", "reactionoutcome"))
 PATIENT_SCHEMA = _record(
-    *_texts("patientonsetage patientonsetageunit patientsex"),
+    *_texts("patientonsetage", "patientonsetageunit", "patientsex"),
     _field("drug", T.ArrayType(DRUG_SCHEMA)),
     _field("reaction", T.ArrayType(REACTION_SCHEMA)),
 )
 BRONZE_SCHEMA = _record(
-    *_texts("safetyreportid safetyreportversion"),
-    *_texts("receivedate receivedateformat receiptdate receiptdateformat"),
-    *_texts("serious seriousnessdeath seriousnesshospitalization seriousnesslifethreatening"),
-    *_texts("occurcountry companynumb duplicate"),
-    _field("primarysource", _record(*_texts("qualification reportercountry"))),
+    *_texts("safetyreportid", "safetyreportversion"),
+    *_texts("receivedate", "receivedateformat", "receiptdate", "receiptdateformat"),
+    *_texts("serious", "seriousnessdeath", "seriousnesshospitalization", "seriousnesslifethreatening"),
+    *_texts("occurcountry", "companynumb", "duplicate"),
+    _field("primarysource", _record(*_texts("qualification", "reportercountry"))),
     _field("patient", PATIENT_SCHEMA),
 )
 
@@ -97,14 +97,14 @@ REACTION_OUTCOME_CODES = {
 
 # The case handed to an assessor: one nested row per report, label alongside.
 CASE_SCHEMA = _record(
-    *_texts("safetyreportid patient_sex"),
+    *_texts("safetyreportid", "patient_sex"),
     _field("patient_onset_age", T.DoubleType()),
     *_texts("occur_country"),
     _field(
         "drugs",
-        T.ArrayType(_record(*_texts("active_substance medicinal_product drug_role indication"))),
+        T.ArrayType(_record(*_texts("active_substance", "medicinal_product", "drug_role", "indication"))),
     ),
-    _field("reactions", T.ArrayType(_record(*_texts("reaction_term reaction_outcome")))),
+    _field("reactions", T.ArrayType(_record(*_texts("reaction_term", "reaction_outcome")))),
     *_texts("label_seriousness"),
 )
 
@@ -115,20 +115,20 @@ MAX_KEY_REACTIONS = 5
 MAX_RATIONALE_CHARS = 400
 
 ASSESSMENT_SCHEMA = _record(
-    *_texts("seriousness primary_suspect"),
+    *_texts("seriousness", "primary_suspect"),
     _field("key_reactions", TEXT_LIST),
-    *_texts("confidence rationale"),
+    *_texts("confidence", "rationale"),
 )
 
 ENRICHED_SCHEMA = _record(
     *_texts("safetyreportid"),
     _field("assessment", ASSESSMENT_SCHEMA),
-    *_texts("model_id prompt_version"),
+    *_texts("model_id", "prompt_version"),
     _field("input_tokens", T.LongType()),
     _field("output_tokens", T.LongType()),
     _field("latency_ms", T.IntegerType()),
     _field("cached", T.BooleanType()),
-    *_texts("label_seriousness label_primary_suspect"),
+    *_texts("label_seriousness", "label_primary_suspect"),
     _field("input_substances", TEXT_LIST),
 )
 

@@ -3,16 +3,17 @@
 from __future__ import annotations
 
 from collections.abc import Callable
-from datetime import date
+from datetime import date, timedelta
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from casewise import functions as fn
 from casewise.operators import assessment, gates, nesting, scoring, signals, silver, windows
-from casewise.operators.assessors import calling_assessor, case_text, rule_assessor
+from casewise.operators.assessors import calling_assessor, case_text, rule_assessor, with_reply
 from casewise.plans.chain import run_all
-from casewise.plans.landing import land
+from casewise.plans.landing import bronze_path, land, landed_path, rejected_path
 from casewise.plans.transform import run_transform
 from casewise.schema import (
     DRUG_ROLE_CODES,
@@ -26,19 +27,24 @@ from casewise.sources import (
     materialize,
     read_assessments,
     read_bronze,
-    read_ndjson,
+    read_cases,
+    read_silver,
     split_corrupt,
     union_bronze,
     write_ndjson,
     write_partitioned_ndjson,
 )
+from casewise.sources.bronze import PARTLY_READ, RAW_LINE
 from casewise.streaming import (
     BROKEN,
-    drop_replays,
+    compact_landed,
     file_messages,
     keyed_messages,
+    land_distinct,
     land_stream,
     max_offsets,
+    publish_to_files,
+    read_distinct,
     read_landed,
 )
 from casewise.workload import tables
@@ -83,18 +89,18 @@ def bronze_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def ndjson_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Plain and gzipped files with blank lines between, in one folder."""
+    """Plain and gzipped files with blank lines between the events and a torn line behind
+    each event of type ``error``, in one folder; every line that is not blank comes back."""
     path = fresh_path(spark, "ndjson")
     event = tables.event_documents(spark, sf_dir)
-    blank = F.col("event_type") == "error"
-    line = event.select(
-        "event_type", F.when(blank, "").otherwise(F.to_json(F.struct("*"))).alias("value")
-    )
+    torn = F.when(F.col("event_type") == "error", tables.torn_line())
+    text = F.array_compact(F.array(F.to_json(F.struct("*")), F.lit(""), torn))
+    line = event.select("event_type", F.explode(text).alias("value"))
     zipped = F.col("event_type") == "click"
     line.filter(~zipped).select("value").write.text(path)
     line.filter(zipped).select("value").write.mode("append").option("compression", "gzip").text(path)
-    return read_ndjson(spark, path, tables.EVENT_SCHEMA).select(
-        "event_id", "user_id", "event_type", "value"
+    return read_bronze(spark, path, tables.EVENT_SCHEMA).select(
+        "event_id", "user_id", "event_type", "value", RAW_LINE
     )
 
 
@@ -260,7 +266,7 @@ def nest_cases_from_tables(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def capped_input(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _flat_cases(nesting.cap_cases(_cases(spark, sf_dir)))
+    return _flat_cases(nesting.cap_cases(_cases(spark, sf_dir), 50))
 
 
 # --- signals ---------------------------------------------------------------------
@@ -378,6 +384,39 @@ def stage_stats(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.createDataFrame(list(stats.items()), "stage STRING, n BIGINT")
 
 
+def _transformed(spark: SparkSession, sf_dir: str) -> tuple[str, str]:
+    """Silver and gold folders that the whole transform has written."""
+    bronze, out, gold = (fresh_path(spark, name) for name in ("bronze", "silver", "gold"))
+    write_ndjson(tables.documents(spark, sf_dir), bronze, compression="gzip")
+    run_transform(spark, bronze, out, gold, max_null_rate=0.6)
+    return out, gold
+
+
+@query
+def written_report(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return read_silver(spark, _transformed(spark, sf_dir)[0])[0]
+
+
+@query
+def written_drugs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return read_silver(spark, _transformed(spark, sf_dir)[0])[1]
+
+
+@query
+def written_reactions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return read_silver(spark, _transformed(spark, sf_dir)[0])[2]
+
+
+@query
+def written_cases(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _flat_cases(read_cases(spark, f"{_transformed(spark, sf_dir)[0]}/enrichment_input"))
+
+
+@query
+def written_signals(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spark.read.parquet(f"{_transformed(spark, sf_dir)[1]}/drug_reaction_signals")
+
+
 @query
 def run_chain(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Landing, transform, assessment and scoring of all documents, one after another."""
@@ -394,9 +433,7 @@ def run_chain(spark: SparkSession, sf_dir: str) -> DataFrame:
         fresh_path(spark, "chain"),
         rule_assessor,
         "rules",
-        landing={"max_records_per_window": None},
         transform={"max_null_rate": 0.6},
-        enrichment={"limit": None},
     )
     scores = result["evaluation"]
     counts = {
@@ -456,6 +493,13 @@ def grounding_examples(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@query
+def price_percentiles(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Percentiles of a number that is no integer."""
+    line = tables.table(spark, sf_dir, "lineitem")
+    return scoring.percentiles(line, "l_extendedprice", (0, 5, 50, 95, 100))
+
+
 @query
 def latency_percentiles(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scoring.latency_percentiles(
@@ -518,6 +562,27 @@ def validate_assessments(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@query
+def validate_types(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Replies whose fields have the wrong JSON types: a number, an object, a mixed list."""
+    case = tables.text_cases(spark, sf_dir)
+    number = F.pmod(F.col("safetyreportid").cast("int"), F.lit(5))
+    start = '{"seriousness":"serious","confidence":"low"'
+    reply = (
+        F.when(number == 0, start + ',"rationale":123}')
+        .when(number == 1, start + ',"rationale":"r","primary_suspect":5}')
+        .when(number == 2, start + ',"rationale":"r","key_reactions":[1,{"a":2}]}')
+        .when(number == 3, start + ',"rationale":{"a":"b"},"primary_suspect":["x"],"key_reactions":"x"}')
+        .otherwise(start + ',"rationale":"r","primary_suspect":null,"key_reactions":["a","b"]}')
+    )
+    replied = with_reply(case, reply, F.lit(1), F.lit(1), F.lit(1))
+    return assessment.validate_replies(replied).select(
+        "safetyreportid",
+        _joined(F.col("errors")).alias("errors"),
+        _joined(F.col("assessment.key_reactions")).alias("key_reactions"),
+    )
+
+
 def _outcomes(spark: SparkSession, sf_dir: str, cached: bool = False) -> DataFrame:
     cases = tables.text_cases(spark, sf_dir)
     cache = None
@@ -637,7 +702,6 @@ def run_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
         dataset="events",
         ingest_date="2024-02-01",
         run_id="run-1",
-        max_records_per_window=None,
     )
     return manifest.select(
         "dataset",
@@ -652,6 +716,60 @@ def run_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def _event_records(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Events that can be read as records; every tenth user's have no day."""
+    day = F.when(F.col("user_id") % 10 != 0, F.col("ts").cast("date").cast("string"))
+    event = tables.table(spark, sf_dir, "events").where("event_type <> 'error'")
+    return event.select("event_id", "user_id", "event_type", day.alias("day"))
+
+
+@query
+def land_accounting(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every event with what became of it, as read back from the landed and rejected files."""
+    start, end = _event_range(spark, sf_dir).first()
+    start, end = start + timedelta(days=3), end - timedelta(days=3)
+    torn = tables.event_documents(spark, sf_dir).where("event_type = 'error'")
+    root = fresh_path(spark, "landing")
+    land(
+        _event_records(spark, sf_dir),
+        F.col("day").cast("date"),
+        [F.col("event_id")],
+        start,
+        end,
+        root=root,
+        dataset="events",
+        ingest_date="2024-02-01",
+        max_records_per_window=300,
+        broken=torn.select(tables.torn_line().alias(RAW_LINE)),
+    )
+    place = (root, "events", "2024-02-01", start, end)
+    schema = f"event_id BIGINT, {RAW_LINE} STRING, reason STRING"
+    rejected = spark.read.schema(schema).json(rejected_path(*place))
+    landed = spark.read.schema(schema).json(landed_path(*place)).withColumn("reason", F.lit("landed"))
+    return landed.unionByName(rejected).select("event_id", RAW_LINE, F.col("reason").alias("fate"))
+
+
+@query
+def land_two_ranges(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Two ranges landed on one date, the first of them twice, and all read back."""
+    start, end = _event_range(spark, sf_dir).first()
+    middle = start + (end - start) // 2
+    root = fresh_path(spark, "landing")
+    for first, last in ((start, middle), (middle + timedelta(days=1), end), (start, middle)):
+        land(
+            _event_records(spark, sf_dir),
+            F.col("day").cast("date"),
+            [F.col("event_id")],
+            first,
+            last,
+            root=root,
+            dataset="events",
+            ingest_date="2024-02-01",
+        )
+    schema = T.StructType.fromDDL("event_id BIGINT, user_id BIGINT, event_type STRING, day STRING")
+    return split_corrupt(read_bronze(spark, bronze_path(root, "events"), schema))[0]
+
+
 # --- streaming -------------------------------------------------------------------
 
 
@@ -679,23 +797,77 @@ def stream_ingest(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@query
+def stream_two_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Two streams with checkpoints of their own into one folder."""
+    event = tables.event_documents(spark, sf_dir)
+    landed = fresh_path(spark, "landed")
+    for part in (0, 1):
+        lines = event.where(F.col("event_id") % 2 == part).select(F.to_json(F.struct("*")).alias("value"))
+        decoded = decode_lines(file_messages(spark, _topic_files(spark, lines)), tables.EVENT_SCHEMA)
+        land_stream(decoded, landed, fresh_path(spark, "checkpoint")).awaitTermination()
+    return read_landed(spark, landed, tables.EVENT_SCHEMA)
+
+
+@query
+def stream_to_silver(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents streamed with torn messages among them, then transformed from the landed folder."""
+    line = F.to_json(F.struct("*")).alias("value")
+    documents = tables.documents(spark, sf_dir).select(line)
+    messages = documents.unionByName(tables.event_lines(spark, sf_dir).where("NOT endswith(value, '}')"))
+    landed, out = fresh_path(spark, "landed"), fresh_path(spark, "silver")
+    decoded = decode_lines(file_messages(spark, _topic_files(spark, messages)))
+    land_stream(decoded, landed, fresh_path(spark, "checkpoint")).awaitTermination()
+    gold = fresh_path(spark, "gold")
+    run_transform(spark, landed, out, gold, max_null_rate=0.6, max_corrupt_rate=0.9)
+    report = read_silver(spark, out)[0].select("safetyreportid", "seriousness", "drug_count")
+    lost = spark.read.parquet(f"{out}/quarantine")
+    return report.withColumn(RAW_LINE, F.lit(None).cast("string")).unionByName(
+        lost, allowMissingColumns=True
+    )
+
+
+def _distinct(spark: SparkSession, parts: list[DataFrame], delay: str) -> DataFrame:
+    """The parts sent one after the other, a micro-batch each, landed once per event."""
+    topic = fresh_path(spark, "topic")
+    for part in parts:
+        lines = part.select(F.to_json(F.struct("*")).alias("value"))
+        lines.coalesce(1).write.mode("append").text(topic)
+    decoded = decode_lines(file_messages(spark, topic, files_per_batch=1), tables.EVENT_SCHEMA)
+    timed = decoded.drop(RAW_LINE, PARTLY_READ).withColumn("at", F.to_timestamp("event_ts"))
+    out = fresh_path(spark, "distinct")
+    land_distinct(timed, "event_id", "at", delay, out, fresh_path(spark, "checkpoint")).awaitTermination()
+    return read_distinct(spark, out, timed.schema).drop("at")
+
+
 @query
 def stream_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every event sent twice, each kept once."""
     event = tables.event_documents(spark, sf_dir)
-    sent = event.unionByName(event).select(F.to_json(F.struct("*")).alias("value"))
-    decoded = decode_lines(file_messages(spark, _topic_files(spark, sent)), tables.EVENT_SCHEMA)
-    timed = decoded.withColumn("event_time", F.to_timestamp("event_ts"))
-    kept = drop_replays(timed, "event_id", "event_time", "60 days").drop("event_time", "raw_line")
-    out = fresh_path(spark, "deduplicated")
-    (
-        kept.writeStream.format("parquet")
-        .option("checkpointLocation", fresh_path(spark, "checkpoint"))
-        .trigger(availableNow=True)
-        .start(out)
-        .awaitTermination()
-    )
-    return spark.read.schema(tables.EVENT_SCHEMA).parquet(out)
+    return _distinct(spark, [event.unionByName(event), event], "60 DAYS").drop("kind")
+
+
+@query
+def stream_late(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Half of the events, then all of them: new ones beyond the delay land as late ones."""
+    event = tables.event_documents(spark, sf_dir)
+    return _distinct(spark, [event.where("event_id % 2 = 0"), event], "5 DAYS").select("event_id", "kind")
+
+
+@query
+def publish_land(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Events published as keyed messages, and landed from what was published."""
+    event = tables.event_documents(spark, sf_dir)
+    source = _topic_files(spark, event.select(F.to_json(F.struct("*")).alias("value")))
+    documents, _ = split_corrupt(decode_lines(file_messages(spark, source), tables.EVENT_SCHEMA))
+    topic, landed = fresh_path(spark, "published"), fresh_path(spark, "landed")
+    messages = keyed_messages(documents, "user_id")
+    publish_to_files(messages, topic, fresh_path(spark, "checkpoint")).awaitTermination()
+    decoded = decode_lines(file_messages(spark, topic), tables.EVENT_SCHEMA)
+    land_stream(decoded, landed, fresh_path(spark, "checkpoint")).awaitTermination()
+    compacted = fresh_path(spark, "compacted")
+    compact_landed(spark, landed, compacted, documents_per_file=1_000_000)
+    return read_landed(spark, compacted, tables.EVENT_SCHEMA)
 
 
 @query
@@ -705,7 +877,7 @@ def stream_keyed(spark: SparkSession, sf_dir: str) -> DataFrame:
     decoded = decode_lines(file_messages(spark, _topic_files(spark, lines)), tables.EVENT_SCHEMA)
     out = fresh_path(spark, "published")
     (
-        keyed_messages(decoded.drop("raw_line"), "user_id")
+        keyed_messages(decoded.drop(RAW_LINE, PARTLY_READ), "user_id")
         .writeStream.format("parquet")
         .option("checkpointLocation", fresh_path(spark, "checkpoint"))
         .trigger(availableNow=True)

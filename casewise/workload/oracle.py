@@ -151,20 +151,20 @@ cases AS (
         FROM reaction GROUP BY id) r ON l.id = r.id
 ),
 rendered AS (
-  SELECT *, concat_ws(chr(10), 'Adverse event report', '',
+  SELECT *, concat_ws(chr(10), 'CASE', '',
     CASE WHEN age <> 0 OR sex IS NOT NULL THEN
       'Patient: ' || concat_ws(', ', CASE WHEN age <> 0 THEN 'age ' || printf('%g', age) END, sex) END,
-    'Country: ' || country, '', 'Reported reactions:',
-    CASE WHEN reactions IS NULL THEN '  - none reported' ELSE
+    'Country: ' || country, '', 'What happened:',
+    CASE WHEN reactions IS NULL THEN '  - nothing listed' ELSE
       array_to_string(list_transform(reactions, lambda x: '  - ' || coalesce(x.reaction_term, 'None') ||
         coalesce(' (outcome: ' || x.reaction_outcome || ')', '')), chr(10)) END,
-    '', 'Drugs reported:',
-    CASE WHEN drugs IS NULL THEN '  - none reported' ELSE
+    '', 'What was taken:',
+    CASE WHEN drugs IS NULL THEN '  - nothing listed' ELSE
       array_to_string(list_transform(drugs, lambda x: '  - ' ||
-        coalesce(x.active_substance, x.medicinal_product, 'unnamed') || ' (' ||
-        coalesce(x.drug_role, 'role unknown') || ')' ||
+        coalesce(x.active_substance, x.medicinal_product, 'product without a name') || ' (' ||
+        coalesce(x.drug_role, 'role not stated') || ')' ||
         coalesce(', indication: ' || x.indication, '')), chr(10)) END,
-    '', 'Assess this report using the record_assessment tool.') AS text
+    '', 'Reply with one JSON object that holds your assessment of this case.') AS text
   FROM cases
 )"""
 )
@@ -263,7 +263,7 @@ outcome AS (
     CASE WHEN failed THEN 'dead' WHEN errors = '' THEN 'enriched'
          WHEN second_seriousness IS NULL THEN 'dead' ELSE 'enriched' END AS status,
     CASE WHEN failed THEN 'Throttled: src3'
-         WHEN errors <> '' AND second_seriousness IS NULL THEN 'ValidationError: seriousness' END AS reason,
+         WHEN errors <> '' AND second_seriousness IS NULL THEN 'invalid_reply: seriousness' END AS reason,
     CASE WHEN failed THEN 0 WHEN errors = '' THEN n_chars ELSE 2 * n_chars END AS billed_input,
     CASE WHEN failed THEN 0 WHEN errors = '' THEN len(lines) ELSE len(lines) + 2 END AS billed_output
   FROM first_reply
@@ -313,7 +313,9 @@ ORACLE: dict[str, str] = {
              CASE WHEN reaction_count > 0 THEN lower(n_name) || ' ' END AS first_term
            FROM typed_precision""",
     ),
-    "ndjson_scan": "SELECT event_id, user_id, event_type, value FROM events WHERE event_type <> 'error'",
+    "ndjson_scan": f"""
+        SELECT event_id, user_id, event_type, value, NULL::VARCHAR AS raw_line FROM events
+        UNION ALL SELECT NULL, NULL, NULL, NULL, {_TORN} FROM events WHERE event_type = 'error'""",
     "eval_scan": _with(
         _ENRICHED,
         """SELECT id AS safetyreportid, predicted AS seriousness, suspect AS primary_suspect,
@@ -490,7 +492,7 @@ ORACLE: dict[str, str] = {
     "calibration": _with(
         _ENRICHED,
         """SELECT CASE confidence WHEN 'high' THEN 0 WHEN 'medium' THEN 1 WHEN 'low' THEN 2
-                  ELSE 99 END AS conf_rank,
+                  ELSE 3 END AS conf_rank,
              coalesce(confidence, 'unknown') AS confidence, count(*) AS n,
              count(*) FILTER (actual = predicted) AS correct,
              round(count(*) FILTER (actual = predicted) / count(*), 4) AS accuracy
@@ -562,12 +564,12 @@ ORACLE: dict[str, str] = {
         _REPLIES
         + """,
            seen AS (
-             SELECT id, 'Adverse event report' || chr(10) || chr(10) ||
+             SELECT id, 'CASE' || chr(10) || chr(10) ||
                'Patient: age ' || printf('%g', n_chars::DOUBLE) || chr(10) ||
-               'Country: ' || lang || chr(10) || chr(10) || 'Reported reactions:' || chr(10) ||
+               'Country: ' || lang || chr(10) || chr(10) || 'What happened:' || chr(10) ||
                array_to_string(list_transform(lines, lambda x: '  - ' || x), chr(10)) ||
-               chr(10) || chr(10) || 'Drugs reported:' || chr(10) || '  - ' || source || ' (suspect)' ||
-               chr(10) || chr(10) || 'Assess this report using the record_assessment tool.' AS text
+               chr(10) || chr(10) || 'What was taken:' || chr(10) || '  - ' || source || ' (suspect)' ||
+               chr(10) || chr(10) || 'Reply with one JSON object that holds your assessment of this case.' AS text
              FROM text_case)""",
         """SELECT id AS safetyreportid, sha256(text) AS reply_digest, length(text) AS input_tokens,
              len(string_split(text, chr(10)))::BIGINT AS output_tokens, 0 AS latency_ms,
@@ -601,7 +603,8 @@ ORACLE: dict[str, str] = {
                ELSE '{"primary_suspect":"' ||
                  CASE WHEN label = 'non_serious' THEN '   ' ELSE ' ' || source || ' ' END ||
                  '","key_reactions":["' || source || '","' || lang || '"],"confidence":"' || confidence ||
-                 '","rationale":"' || source || ': ' || lang || '"}' END AS raw_response
+                 '","rationale":"' || source || ': ' || lang || '","notes":"' || rpad(source, 1500, '.') ||
+                 '"}' END AS raw_response
            FROM outcome""",
     ),
     "enrich_metrics": _with(
@@ -673,4 +676,58 @@ ORACLE: dict[str, str] = {
     "max_offsets": """
         SELECT event_type AS topic, hour(ts)::INT AS "partition", max(event_id) AS max_offset
         FROM events GROUP BY ALL""",
+    "stream_two_sources": "SELECT event_id, user_id, event_type, value, ts::VARCHAR AS event_ts FROM events",
+    "publish_land": "SELECT event_id, user_id, event_type, value, ts::VARCHAR AS event_ts FROM events",
+    "stream_late": """
+        SELECT event_id, CASE WHEN event_id % 2 = 0 OR ts >= (
+            SELECT max(ts) FROM events WHERE event_id % 2 = 0) - INTERVAL 5 DAY
+          THEN 'in_time' ELSE 'late' END AS kind
+        FROM events""",
+    "stream_to_silver": _with(
+        _LATEST,
+        f"""SELECT id AS safetyreportid, seriousness, drug_count, NULL::VARCHAR AS raw_line FROM latest
+            UNION ALL SELECT NULL, NULL, NULL, {_TORN} FROM events WHERE event_type = 'error'""",
+    ),
+    "land_accounting": f"""
+        WITH bounds AS (SELECT min(ts)::DATE + 3 AS start, max(ts)::DATE - 3 AS stop FROM events),
+        judged AS (
+          SELECT event_id, (ts::DATE - start) // 7 AS w, CASE WHEN user_id % 10 = 0 THEN 'undated'
+            WHEN ts::DATE BETWEEN start AND stop THEN 'landed' ELSE 'out_of_range' END AS fate
+          FROM events, bounds WHERE event_type <> 'error'),
+        placed AS (
+          SELECT *, row_number() OVER (PARTITION BY fate, w ORDER BY event_id) AS place FROM judged)
+        SELECT event_id, NULL::VARCHAR AS raw_line,
+          CASE WHEN fate = 'landed' AND place > 300 THEN 'capped' ELSE fate END AS fate
+        FROM placed
+        UNION ALL SELECT NULL, {_TORN}, 'broken' FROM events WHERE event_type = 'error'""",
+    "land_two_ranges": """
+        SELECT event_id, user_id, event_type, ts::DATE::VARCHAR AS day
+        FROM events WHERE event_type <> 'error' AND user_id % 10 <> 0""",
+    "price_percentiles": """
+        WITH ranked AS (
+          SELECT l_extendedprice AS price, row_number() OVER (ORDER BY l_extendedprice) AS r,
+            count(*) OVER () AS n FROM lineitem)
+        SELECT """
+    + ", ".join(
+        f"(SELECT price FROM ranked WHERE r = greatest(1, least(n, "
+        f"round_even({p}::DOUBLE / 100 * n + 0.5, 0)))) AS p{p}"
+        for p in (0, 5, 50, 95, 100)
+    ),
+    "validate_types": """
+        SELECT doc_id::VARCHAR AS safetyreportid,
+          CASE doc_id % 5 WHEN 0 THEN 'rationale' WHEN 1 THEN 'primary_suspect'
+            WHEN 2 THEN 'key_reactions' WHEN 3 THEN 'key_reactions;rationale;primary_suspect'
+            ELSE '' END AS errors,
+          CASE doc_id % 5 WHEN 4 THEN 'A;B' END AS key_reactions
+        FROM documents""",
 }
+
+# What the transform has written is what the operators give.
+for _written, _same in (
+    ("written_report", "report_header"),
+    ("written_drugs", "explode_drugs"),
+    ("written_reactions", "explode_reactions"),
+    ("written_cases", "nest_cases"),
+    ("written_signals", "prr_signals"),
+):
+    ORACLE[_written] = ORACLE[_same]

@@ -52,12 +52,8 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def _spread(df: DataFrame) -> DataFrame:
-    """Spread a scan of fewer splits than there are cores; leave a larger one alone.
-
-    A small table can sit in a single file that one task would have to work through.
-    """
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
+    """Deal the rows out evenly, whatever files they come in; the plan is the same at any size."""
+    return df.repartition(int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")))
 
 
 def _by_value(column: Column, values: dict) -> Column:
@@ -261,6 +257,8 @@ def uneven_assessor(cases: DataFrame, attempt: int) -> DataFrame:
             .otherwise("medium")
             .alias("confidence"),
             (F.array_join(terms, "\n") if first else F.concat_ws(": ", source, language)).alias("rationale"),
+            # A second reply is long, so that a dead letter that keeps less than all shows it.
+            F.when(F.lit(not first), F.rpad(source, 1500, ".")).alias("notes"),
         )
     )
     reachable = source != "src3"
@@ -327,9 +325,13 @@ def event_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def torn_line() -> Column:
+    """An event's message, broken off half-way."""
+    return F.concat(F.lit('{"event_id": '), F.col("event_id").cast("string"), F.lit(', "event_type": "er'))
+
+
 def event_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One message text per event; those of type ``error`` break off half-way."""
-    torn = F.concat(F.lit('{"event_id": '), F.col("event_id").cast("string"), F.lit(', "event_type": "er'))
-    line = F.when(F.col("event_type") == "error", torn).otherwise(F.to_json(F.struct("*")))
+    line = F.when(F.col("event_type") == "error", torn_line()).otherwise(F.to_json(F.struct("*")))
     return event_documents(spark, sf_dir).select(line.alias("value"))
 

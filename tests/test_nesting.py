@@ -61,6 +61,6 @@ def test_cap(cases_of):
     from conftest import case
 
     cases = cases_of(*(case(f"R{i:02}") for i in range(60)))
-    assert cap_cases(cases).count() == 50
+    assert cap_cases(cases).count() == 60
     assert [r.safetyreportid for r in cap_cases(cases, 3).collect()] == ["R00", "R01", "R02"]
     assert cap_cases(cases, None).count() == 60

@@ -110,21 +110,21 @@ def test_render_full_case(cases_of):
     ]
     text = text_of(cases_of(case(drugs=drugs, reactions=reactions)))
     assert text.split("\n") == [
-        "Adverse event report",
+        "CASE",
         "",
         "Patient: age 45, female",
         "Country: US",
         "",
-        "Reported reactions:",
+        "What happened:",
         "  - RASH (outcome: fatal)",
         "  - NAUSEA",
         "",
-        "Drugs reported:",
+        "What was taken:",
         "  - X (suspect), indication: PAIN",
-        "  - P (role unknown)",
-        "  - unnamed (concomitant)",
+        "  - P (role not stated)",
+        "  - product without a name (concomitant)",
         "",
-        "Assess this report using the record_assessment tool.",
+        "Reply with one JSON object that holds your assessment of this case.",
     ]
 
 
@@ -132,7 +132,7 @@ def test_render_full_case(cases_of):
 def test_render_without_children_or_demographics(cases_of, empty):
     bare = case(patient_sex=None, patient_onset_age=0.0, occur_country=None, drugs=empty, reactions=empty)
     text = text_of(cases_of(bare))
-    assert text.count("  - none reported") == 2
+    assert text.count("  - nothing listed") == 2
     assert "Patient" not in text and "Country" not in text
 
 
