@@ -31,7 +31,6 @@ from casewise.sources import (
     read_silver,
     split_corrupt,
     union_bronze,
-    write_ndjson,
     write_partitioned_ndjson,
 )
 from casewise.sources.bronze import PARTLY_READ, RAW_LINE
@@ -70,9 +69,7 @@ def _joined(array: Column) -> Column:
 
 @query
 def bronze_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
-    path = fresh_path(spark, "bronze")
-    write_ndjson(tables.documents(spark, sf_dir), path, compression="gzip")
-    documents, _ = split_corrupt(read_bronze(spark, path))
+    documents, _ = split_corrupt(read_bronze(spark, tables.document_files(spark, sf_dir)))
     return documents.select(
         "safetyreportid",
         "safetyreportversion",
@@ -376,8 +373,7 @@ def gate_ordering(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def stage_stats(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The whole transform over landed documents; one row per stage."""
-    bronze = fresh_path(spark, "bronze")
-    write_ndjson(tables.documents(spark, sf_dir), bronze, compression="gzip")
+    bronze = tables.document_files(spark, sf_dir)
     stats = run_transform(
         spark, bronze, fresh_path(spark, "silver"), fresh_path(spark, "gold"), max_null_rate=0.6
     )
@@ -386,9 +382,8 @@ def stage_stats(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def _transformed(spark: SparkSession, sf_dir: str) -> tuple[str, str]:
     """Silver and gold folders that the whole transform has written."""
-    bronze, out, gold = (fresh_path(spark, name) for name in ("bronze", "silver", "gold"))
-    write_ndjson(tables.documents(spark, sf_dir), bronze, compression="gzip")
-    run_transform(spark, bronze, out, gold, max_null_rate=0.6)
+    out, gold = fresh_path(spark, "silver"), fresh_path(spark, "gold")
+    run_transform(spark, tables.document_files(spark, sf_dir), out, gold, max_null_rate=0.6)
     return out, gold
 
 

@@ -18,6 +18,7 @@ from pyspark.sql import types as T
 from casewise.operators.assessors import with_reply
 from casewise.operators.silver import latest_versions
 from casewise.schema import BRONZE_SCHEMA
+from casewise.sources import fresh_path, write_ndjson
 
 EVENT_SCHEMA = T.StructType(
     [
@@ -191,6 +192,19 @@ def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+_FILES: dict[tuple[str, str], str] = {}
+
+
+def document_files(spark: SparkSession, sf_dir: str) -> str:
+    """The documents as gzipped files in the work folder, written once per application."""
+    key = spark.sparkContext.applicationId, sf_dir
+    if key not in _FILES:
+        path = fresh_path(spark, "documents")
+        write_ndjson(documents(spark, sf_dir), path, compression="gzip")
+        _FILES[key] = path
+    return _FILES[key]
+
+
 def latest(spark: SparkSession, sf_dir: str) -> DataFrame:
     return latest_versions(documents(spark, sf_dir))
 
