@@ -1,13 +1,16 @@
 """Session defaults.
 
 Only settings a Spark user would set: adaptive execution with skew handling on,
-UTC, and the worker interpreter pinned to the driver's.
+UTC, the worker interpreter pinned to the driver's, and the package on the workers' path.
 """
 
 from __future__ import annotations
 
 import os
 import sys
+import tempfile
+import zipfile
+from pathlib import Path
 
 from pyspark.sql import SparkSession
 
@@ -24,10 +27,31 @@ _RUNTIME_DEFAULTS = {
 }
 
 
+_shipped: set[str] = set()
+
+
+def ship(spark: SparkSession) -> None:
+    """Let the workers import this package, wherever they run; once per application.
+
+    Spark serves the archive to the executors, so only the driver reads the local file.
+    """
+    application = spark.sparkContext.applicationId
+    package = Path(__file__).resolve().parent
+    if application in _shipped or not package.is_dir():
+        return
+    archive = Path(tempfile.mkdtemp(prefix="casewise-")) / f"{package.name}.zip"
+    with zipfile.ZipFile(archive, "w") as out:
+        for source in sorted(package.rglob("*.py")):
+            out.write(source, source.relative_to(package.parent))
+    spark.sparkContext.addPyFile(str(archive))
+    _shipped.add(application)
+
+
 def tune(spark: SparkSession) -> SparkSession:
     """Apply the runtime defaults to a session somebody else built."""
     for key, value in _RUNTIME_DEFAULTS.items():
         spark.conf.set(key, value)
+    ship(spark)
     return spark
 
 
