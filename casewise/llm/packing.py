@@ -24,6 +24,7 @@ from functools import lru_cache
 import numpy as np
 import public_tokenizers
 import pyarrow as pa
+import pyarrow.compute as pc
 import tiktoken
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
@@ -41,24 +42,40 @@ PIECES = (
 )
 
 # Words that a worker remembers with their tokens; then it starts afresh.
-_REMEMBERED = 400_000
-# Around these, a single space does not start a word of its own.
-_ODD_SPACES = [
-    mark.encode()
-    for mark in (
-        "  ", " \n", "\n ", "\t", "\r", "\v", "\f", "\x1c", "\x1d", "\x1e", "\x1f",
-        "\x85", "\xa0", " ", " ", "　",
+_REMEMBERED = 700_000
+# Spaces other than a single space or line end between words: a token may cross them.
+_ODD_BYTES = b"\t\v\f\r\x1c\x1d\x1e\x1f"
+_ODD_SPACES = [b"  ", b" \n", b"\n ", b"\xe2\x80", *(c.encode() for c in "\x85\xa0\u1680\u205f\u3000")]
+
+
+def _plain(text: bytes) -> bool:
+    return not (
+        text[:1] == b" "
+        or text[-1:] == b" "
+        or len(text.translate(None, _ODD_BYTES)) != len(text)
+        or any(odd in text for odd in _ODD_SPACES)
     )
-] + [b"\xe2\x80"]
+
+
+def _slices(column: pa.LargeBinaryArray) -> list[bytes]:
+    """The values of a column without nulls, faster than one by one."""
+    _, offsets, data = column.buffers()
+    if not len(column):
+        return []
+    places = np.frombuffer(offsets, np.int64, len(column) + 1, 8 * column.offset).tolist()
+    joined = data.to_pybytes() if data else b""
+    return [joined[a:b] for a, b in zip(places, places[1:], strict=False)]
 
 
 class Tokens:
     """Token ids of texts; words that came before are not encoded again.
 
     Where a text has only single spaces between its words, no token crosses from one word
-    into the next, so the text's tokens are those of its words. The words that are new in a
-    batch are encoded as one text and told apart by the lengths of their tokens. Any other
-    text is encoded whole.
+    into the next, so the text's tokens are those of its words. The words of a batch are
+    made distinct, those that are new are encoded as one text and told apart by the lengths
+    of their tokens, and every text is put together from a pool of tokens. A text's first
+    word has no space before it and is encoded on its own. Texts with other spaces are
+    encoded whole.
     """
 
     def __init__(self, path: str):
@@ -73,39 +90,52 @@ class Tokens:
         self.lengths = np.zeros(max(ranks.values()) + 1, np.int64)
         for token, rank in ranks.items():
             self.lengths[rank] = len(token)
-        self.known: dict[bytes, bytes] = {}
+        self._forget()
+
+    def _forget(self) -> None:
+        self.places: dict[bytes, int] = {}
+        self.pool, self.starts = np.empty(0, "<u4"), np.zeros(1, np.int64)
 
     def whole(self, text: bytes) -> np.ndarray:
         return np.array(self.encoding.encode_ordinary(text.decode("utf-8", "replace")), "<u4")
 
-    def learn(self, words: list[bytes]) -> None:
+    def _learn(self, words: list[bytes]) -> None:
         ids = self.whole(b"".join([b" " + word for word in words]))
         ends = np.cumsum(np.fromiter(map(len, words), np.int64, len(words)) + 1)
         stops = np.searchsorted(np.cumsum(self.lengths[ids]), ends) + 1
-        packed, at = ids.tobytes(), 0
-        for word, stop in zip(words, (4 * stops).tolist(), strict=True):
-            self.known[word] = packed[at:stop]
-            at = stop
-
-    def encode(self, texts: list[bytes]) -> list[bytes]:
-        """Little-endian 32-bit ids of every text."""
-        plain = [
-            text[:1] != b" " and text[-1:] != b" " and not any(odd in text for odd in _ODD_SPACES)
-            for text in texts
-        ]
-        words = [text.split(b" ") if p else [] for text, p in zip(texts, plain, strict=True)]
-        if len(self.known) > _REMEMBERED:
-            self.known.clear()
-        new = set().union(*(one[1:] for one in words)).difference(self.known)
+        known = len(self.places)
+        self.places.update(zip(words, range(known, known + len(words)), strict=True))
+        self.starts = np.concatenate([self.starts, len(self.pool) + stops])
+        self.pool = np.concatenate([self.pool, ids])
+
+    def _from_words(self, texts: list[bytes]) -> list[np.ndarray]:
+        lists = pc.split_pattern(pa.array(texts, pa.large_binary()), pattern=b" ")
+        coded = lists.flatten().dictionary_encode()
+        words, use = _slices(coded.dictionary), coded.indices.to_numpy()
+        firsts = lists.offsets.to_numpy()
+        leads = [words[i] for i in use[firsts[:-1]].tolist()]
+        if len(self.places) > _REMEMBERED:
+            self._forget()
+        new = [word for word in words if word not in self.places]
         if new:
-            self.learn(sorted(new))
-        known = self.known.__getitem__
-        return [
-            self.whole(one[0]).tobytes() + b"".join(map(known, one[1:]))
-            if one
-            else self.whole(text).tobytes()
-            for text, one in zip(texts, words, strict=True)
-        ]
+            self._learn(new)
+        places = np.fromiter(map(self.places.__getitem__, words), np.int64, len(words))
+        begin = self.starts[places][use]
+        count = (self.starts[places + 1] - self.starts[places])[use]
+        lead_ids = [self.whole(word) for word in leads]
+        sizes = np.array([len(ids) for ids in lead_ids], np.int64)
+        begin[firsts[:-1]] = len(self.pool) + np.cumsum(sizes) - sizes
+        count[firsts[:-1]] = sizes
+        out = np.concatenate([self.pool, *lead_ids])[ranges(begin, count)]
+        ends = np.cumsum(count)[firsts[1:] - 1]
+        return np.split(out, ends[:-1])
+
+    def encode(self, texts: list[bytes]) -> list[np.ndarray]:
+        """The ids of every text."""
+        plain = list(map(_plain, texts))
+        some = [text for text, one in zip(texts, plain, strict=True) if one]
+        done = iter(self._from_words(some) if some else [])
+        return [next(done) if one else self.whole(text) for text, one in zip(texts, plain, strict=True)]
 
 
 @lru_cache(maxsize=2)
@@ -215,7 +245,8 @@ def pack(
         encoder = tokens(ranks)
         held, count, next_sequence = [], 0, TaskContext.get().partitionId() << 40
         for batch in batches:
-            ids = [one + closing for one in encoder.encode(byte_lists(batch.column("text")))]
+            found = encoder.encode(byte_lists(batch.column("text")))
+            ids = [one.tobytes() + closing for one in found]
             held.append((batch.column("doc_id"), ids))
             count += sum(map(len, ids)) // 4
             if count >= block_tokens:
