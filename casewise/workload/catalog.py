@@ -346,14 +346,12 @@ def gates_(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def gate_unique(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Uniqueness before and after the version cut."""
-    documents = tables.documents(spark, sf_dir)
-    before = gates.check_frame(documents, [gates.unique("safetyreportid")])
-    by_code = gates.check_frame(documents, [gates.unique("safetyreportid", "receiptdateformat")])
-    after = gates.check_frame(tables.latest(spark, sf_dir), [gates.unique("safetyreportid")])
-    return (
-        before.withColumn("stage", F.lit("bronze"))
-        .unionByName(by_code.withColumn("stage", F.lit("bronze")))
-        .unionByName(after.withColumn("stage", F.lit("latest")))
+    documents = materialize(tables.documents(spark, sf_dir), "documents")
+    keys = [gates.unique("safetyreportid"), gates.unique("safetyreportid", "receiptdateformat")]
+    before = gates.check_frame(documents, keys)
+    after = gates.check_frame(silver.latest_versions(documents), keys[:1])
+    return before.withColumn("stage", F.lit("bronze")).unionByName(
+        after.withColumn("stage", F.lit("latest"))
     )
 
 

@@ -2,6 +2,7 @@ from __future__ import annotations
 
 import gzip
 import json
+import time
 
 import pytest
 from conftest import enriched, report, write_lines
@@ -11,6 +12,7 @@ from casewise.sources import (
     decode_lines,
     lost_lines,
     materialize,
+    newest_assessments,
     read_assessments,
     read_bronze,
     read_ndjson,
@@ -183,3 +185,14 @@ class _Cluster:
 def test_no_machine_local_folder_on_a_cluster():
     with pytest.raises(RuntimeError, match="spark.checkpoint.dir"):
         shared_root(_Cluster)
+
+
+def test_the_newest_assessment_of_a_report(spark, enriched_of, tmp_path):
+    """Two runs over one case: the later one counts."""
+    for run, said in (("z", "serious"), ("a", "non_serious")):
+        place = {"ingest_date": "2024-01-01", "run_id": run}
+        write_partitioned_ndjson(enriched_of(enriched("R1", predicted=said), enriched(run)), str(tmp_path), place)
+        time.sleep(1.1)
+    rows = {r.safetyreportid: r.assessment.seriousness for r in newest_assessments(spark, str(tmp_path)).collect()}
+    assert rows["R1"] == "non_serious" and set(rows) == {"R1", "a", "z"}
+    assert read_assessments(spark, str(tmp_path)).count() == 4
