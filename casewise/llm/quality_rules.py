@@ -80,20 +80,32 @@ class Regression:
 
 
 class _Rows:
-    """Sparse rows, one after the other."""
-
-    def __init__(self, places: list[np.ndarray], values: list[np.ndarray]):
-        sizes = np.array([len(one) for one in places], np.int64)
-        self.places = np.concatenate(places).astype(np.int64)
-        self.values = np.concatenate(values).astype(np.float32)
-        self.owner = np.repeat(np.arange(len(sizes)), sizes)
-        self.count = len(sizes)
+    """Sparse rows in blocks, so that what is expanded for a product stays small."""
+
+    def __init__(self, places: list[np.ndarray], values: list[np.ndarray], block: int = 250):
+        self.blocks = [
+            (
+                np.concatenate(places[at : at + block]),
+                np.concatenate(values[at : at + block]),
+                np.array([len(one) for one in places[at : at + block]], np.int64),
+            )
+            for at in range(0, len(places), block)
+        ]
 
     def times(self, weights: np.ndarray) -> np.ndarray:
-        return np.bincount(self.owner, self.values * weights[self.places], self.count)
+        parts = [
+            np.bincount(np.repeat(np.arange(len(sizes)), sizes), values * weights[places], len(sizes))
+            for places, values, sizes in self.blocks
+        ]
+        return np.concatenate(parts)
 
     def transposed(self, rows: np.ndarray) -> np.ndarray:
-        return np.bincount(self.places, self.values * rows[self.owner], 2 * _SIZE)
+        total, at = np.zeros(2 * _SIZE), 0
+        for places, values, sizes in self.blocks:
+            own = np.repeat(rows[at : at + len(sizes)], sizes)
+            total += np.bincount(places, values * own, 2 * _SIZE)
+            at += len(sizes)
+        return total
 
 
 def _logistic(margin: np.ndarray) -> np.ndarray:
