@@ -299,6 +299,15 @@ def components(edges: DataFrame) -> DataFrame:
             return pairs.select(F.col("high").alias("member"), F.col("low").alias("root"))
 
 
+def rooted(classes: DataFrame, roots: DataFrame) -> DataFrame:
+    """``print``, ``root`` and the ``first`` document of the whole component, per class."""
+    found = classes.join(roots, classes["print"] == roots["member"], "left").select(
+        "print", "first", F.coalesce("root", "print").alias("root")
+    )
+    firsts = found.groupBy("root").agg(F.min("first").alias("first"))
+    return found.select("print", "root").join(firsts, "root")
+
+
 def _classes(docs: DataFrame, **options) -> tuple[DataFrame, DataFrame]:
     """Documents with their fingerprints, and per fingerprint its component."""
     shingle = options.pop("shingle", SHINGLE)
@@ -306,11 +315,7 @@ def _classes(docs: DataFrame, **options) -> tuple[DataFrame, DataFrame]:
     first = F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "text_key"))
     classes = materialize(documents.groupBy("print").agg(first.alias("first")), "simhash-classes")
     roots = components(links(classes.select("print"), **options))
-    rooted = classes.join(roots, classes["print"] == roots["member"], "left").select(
-        "print", "first", F.coalesce("root", "print").alias("root")
-    )
-    firsts = rooted.groupBy("root").agg(F.min("first").alias("first"))
-    return documents, rooted.select("print", "root").join(firsts, "root")
+    return documents, rooted(classes, roots)
 
 
 def near_duplicates(docs: DataFrame, **options) -> DataFrame:
@@ -323,7 +328,11 @@ def near_duplicates(docs: DataFrame, **options) -> DataFrame:
 
 def drop_near_duplicates(docs: DataFrame, **options) -> DataFrame:
     """The rows of ``docs`` that stand first in their component, one for each."""
-    _, classes = _classes(docs, **options)
+    return keep_firsts(docs, _classes(docs, **options)[1])
+
+
+def keep_firsts(docs: DataFrame, classes: DataFrame) -> DataFrame:
+    """The rows of ``docs`` that are the first document of a component, each once."""
     kept = classes.where("print = root").select(
         F.col("first.doc_id").alias("kept_id"), F.col("first.text_key").alias("kept_key")
     )
