@@ -16,12 +16,13 @@ are no items. Repeated documents give a row each, repeated items count once.
 from __future__ import annotations
 
 from collections.abc import Iterator
+from functools import reduce
 from itertools import repeat
 
 import numpy as np
 import pyarrow as pa
 from pyspark import Broadcast
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from casewise.llm.textops import byte_lists, fold, folded_words, small_batches
@@ -103,17 +104,22 @@ def _cut(text: bytes, hits: list[dict[str, int]]) -> bytes:
     return b"".join([*kept, text[at:]])
 
 
-def _blocks(docs: DataFrame, benchmark: DataFrame, block_bytes: int) -> Iterator[Broadcast]:
-    """The items, broadcast in blocks by their hashed ids."""
-    context = docs.sparkSession.sparkContext
+def _blocks(docs: DataFrame, benchmark: DataFrame, block_bytes: int) -> list[DataFrame]:
+    """The items, dealt into blocks by their hashed ids."""
     items = benchmark.select(
         F.col("item_id").cast("string").alias("item"), F.col("text").cast("string").alias("text")
     ).where("item IS NOT NULL AND text IS NOT NULL")
     size = items.agg(F.coalesce(F.sum(F.octet_length("text")), F.lit(0))).first()[0]
     blocks = max(1, -(-size // block_bytes))
-    for block in range(blocks):
-        chosen = items.where(F.pmod(F.xxhash64("item"), F.lit(blocks)) == block)
-        yield context.broadcast([(row.item, row.text.encode()) for row in chosen.toLocalIterator()])
+    if blocks > 1:
+        items = materialize(items, "decontamination-items")
+    place = F.pmod(F.xxhash64("item"), F.lit(blocks))
+    return [items.where(place == block) for block in range(blocks)]
+
+
+def _shared(items: DataFrame) -> Broadcast:
+    rows = [(row.item, row.text.encode()) for row in items.toLocalIterator()]
+    return items.sparkSession.sparkContext.broadcast(rows)
 
 
 def find_windows(
@@ -129,10 +135,10 @@ def find_windows(
         F.array().cast(_HITS).alias("hits"),
         F.array().cast("array<string>").alias("items"),
     )
-    for block, shared in enumerate(_blocks(docs, benchmark, block_bytes)):
+    for block, items in enumerate(_blocks(docs, benchmark, block_bytes)):
         if block:
             found = materialize(found, "decontamination-block")
-        found = found.mapInArrow(_scanner(shared, width), found.schema)
+        found = found.mapInArrow(_scanner(_shared(items), width), found.schema)
     return found
 
 
@@ -192,23 +198,74 @@ def decontaminate(
 ) -> DataFrame:
     """``docs`` without test passages; clean rows stay as they are.
 
-    A document of which more than ``drop_share`` is test text (of one block) goes whole;
-    from the others the hit words go. Columns other than the text stay in the JVM.
+    A document of which more than ``drop_share`` is test text goes whole; from the others the
+    hit words go. Share and cuts come from the hits of all blocks together, so they do not
+    depend on the number of blocks. Columns other than the text stay in the JVM.
     """
     small_batches(docs.sparkSession)
-    columns = docs.columns
-    for block, shared in enumerate(_blocks(docs, benchmark, block_bytes)):
-        if block:
-            docs = materialize(docs, "decontamination-block")
-        rows = docs.select(
-            F.struct("*").alias("row"),
-            _cleaner(shared, width)(F.col("text").cast("string")).alias("clean"),
-        ).where(F.col("clean.share") <= drop_share)
+    blocks = _blocks(docs, benchmark, block_bytes)
+    rows = docs.select(F.struct("*").alias("row"), F.col("text").cast("string").alias("text"))
+    if len(blocks) == 1:
+        rows = rows.select("row", _cleaner(_shared(blocks[0]), width)("text").alias("clean"))
+        rows = rows.where(F.col("clean.share") <= drop_share)
         text = F.when(F.col("clean.share") > 0, F.col("clean.text")).otherwise(F.col("row.text"))
-        docs = rows.select(
-            *(text.alias("text") if name == "text" else F.col(f"row.`{name}`") for name in columns)
-        )
-    return docs
+        return _with_text(rows, text, docs.columns)
+    found = _marked(rows, blocks, width).where(F.col("marks.share") <= drop_share)
+    done = [_with_text(found.where("size(marks.hits) = 0"), F.col("row.text"), docs.columns)]
+    while True:
+        # What a cut joins is searched again in all blocks, so that no window survives.
+        hit = found.where("size(marks.hits) > 0")
+        if hit.isEmpty():
+            return reduce(DataFrame.unionByName, done)
+        cut = hit.select("row", _cutter()("text", "marks.hits").alias("text"))
+        found = _marked(cut, blocks, width)
+        done.append(_with_text(found.where("size(marks.hits) = 0"), F.col("text"), docs.columns))
+
+
+def _with_text(rows: DataFrame, text: Column, columns: list[str]) -> DataFrame:
+    return rows.select(
+        *(text.alias("text") if name == "text" else F.col(f"row.`{name}`") for name in columns)
+    )
+
+
+def _marked(rows: DataFrame, blocks: list[DataFrame], width: int) -> DataFrame:
+    """``rows`` with ``marks``: the hits of all blocks in the text, and their share of its words."""
+    kind = f"struct<hits:{_HITS},share:double>"
+    rows = rows.withColumn("marks", F.lit(None).cast(kind))
+    for items in blocks:
+        mark = _marker(_shared(items), width)("text", "marks.hits")
+        rows = materialize(rows.withColumn("marks", mark), "decontamination-block")
+    return rows
+
+
+def _marker(shared: Broadcast, width: int):
+    @F.arrow_udf(f"hits {_HITS}, share double")
+    def mark(columns: Iterator[tuple[pa.Array, pa.Array]]) -> Iterator[pa.Array]:
+        windows = WindowSet(shared.value, width)
+        kind = pa.list_(pa.struct([("start", pa.int64()), ("stop", pa.int64())]))
+        for texts, before in columns:
+            hits, shares = [], []
+            for text, runs in zip(byte_lists(texts), before.to_pylist(), strict=True):
+                hit, _ = windows.search(folded_words(text))
+                for one in runs or []:
+                    hit[one["start"] : one["stop"]] = True
+                hits.append(_flagged_runs(hit))
+                shares.append(float(hit.mean()) if len(hit) else 0.0)
+            yield pa.StructArray.from_arrays(
+                [pa.array(hits, kind), pa.array(shares, pa.float64())], ["hits", "share"]
+            )
+
+    return mark
+
+
+def _cutter():
+    @F.arrow_udf("string")
+    def cut(columns: Iterator[tuple[pa.Array, pa.Array]]) -> Iterator[pa.Array]:
+        for texts, hits in columns:
+            pairs = zip(byte_lists(texts), hits.to_pylist(), strict=True)
+            yield pa.array([_cut(*pair) for pair in pairs], pa.binary()).cast(pa.string())
+
+    return cut
 
 
 def _cleaner(shared: Broadcast, width: int):

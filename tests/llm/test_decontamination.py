@@ -77,6 +77,36 @@ def test_cut_joins_no_window(spark, benchmark_items):
     assert [row.text.split() for row in decontaminate(docs, benchmark_items, 1.0).collect()] == [["end"]]
 
 
+def _numbered(word, count, start=0):
+    return " ".join(f"{word}{i}" for i in range(start, start + count))
+
+
+def _same_in_blocks(spark, text, items, drop_share):
+    docs = spark.createDataFrame([(1, text, 5)], "doc_id bigint, text string, row int")
+    table = spark.createDataFrame(items, "item_id string, text string")
+    whole, *dealt = (
+        [tuple(row) for row in decontaminate(docs, table, drop_share, block_bytes=size).collect()]
+        for size in (1 << 20, 60)
+    )
+    assert all(rows == whole for rows in dealt), (whole, dealt)
+    return whole
+
+
+def test_blocks_judge_and_cut_together(spark):
+    """One block or many: the same documents go, and the same words."""
+    a, b, own = _numbered("a", 12), _numbered("b", 12), _numbered("own", 16)
+    # 30 % of the words from each of two items.
+    assert _same_in_blocks(spark, f"{a} {own} {b}", [("a", a), ("b", b)], 0.5) == []
+    # Windows of several items that overlap.
+    stretch = _numbered("s", 40)
+    items = [(str(i), _numbered("s", 16, i)) for i in range(0, 25, 6)]
+    left = _same_in_blocks(spark, f"before {stretch} after", items, 1.0)
+    assert [row[1].split() for row in left] == [["before", "after"]]
+    # A later cut joins a window of another item.
+    text = f"{_numbered('a', 6)} {b} {_numbered('a', 6, 6)} end"
+    assert [row[1].split() for row in _same_in_blocks(spark, text, [("a", a), ("b", b)], 1.0)] == [["end"]]
+
+
 def test_query(spark):
     name = "op3_decontamination"
     assert differences(QUERIES[name](spark, SMALL), open_tables(SMALL), ORACLE[name]) == []
