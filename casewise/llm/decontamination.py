@@ -5,8 +5,8 @@ not none, is one window. Documents are scanned row-locally: words outside the be
 vocabulary rule most windows out, a rolling hash finds the candidates among the rest, and
 every candidate is compared word for word.
 
-The benchmark is broadcast in blocks of at most about ``BLOCK_BYTES`` of text. A usual
-benchmark is one block and one pass without a shuffle; a larger one takes a pass per
+The benchmark is broadcast in blocks of about ``BLOCK_BYTES`` of text at most, distinct rows
+dealt by the hash of id and text, so that no id makes a block large. A usual benchmark is one block and one pass without a shuffle; a larger one takes a pass per
 block, and what the earlier passes found is carried along in a written table.
 
 Null and empty texts have no words and are clean. Items without an id or without words
@@ -105,15 +105,15 @@ def _cut(text: bytes, hits: list[dict[str, int]]) -> bytes:
 
 
 def _blocks(docs: DataFrame, benchmark: DataFrame, block_bytes: int) -> list[DataFrame]:
-    """The items, dealt into blocks by their hashed ids."""
+    """The distinct items, dealt into blocks by the hash of their ids and texts."""
     items = benchmark.select(
         F.col("item_id").cast("string").alias("item"), F.col("text").cast("string").alias("text")
-    ).where("item IS NOT NULL AND text IS NOT NULL")
+    ).where("item IS NOT NULL AND text IS NOT NULL").distinct()
     size = items.agg(F.coalesce(F.sum(F.octet_length("text")), F.lit(0))).first()[0]
     blocks = max(1, -(-size // block_bytes))
     if blocks > 1:
         items = materialize(items, "decontamination-items")
-    place = F.pmod(F.xxhash64("item"), F.lit(blocks))
+    place = F.pmod(F.xxhash64("item", "text"), F.lit(blocks))
     return [items.where(place == block) for block in range(blocks)]
 
 

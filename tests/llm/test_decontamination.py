@@ -7,7 +7,7 @@ import re
 
 from oracle_check import differences, open_tables
 
-from casewise.llm.decontamination import contamination, decontaminate
+from casewise.llm.decontamination import _blocks, contamination, decontaminate
 from casewise.llm.oracle import ORACLE
 from casewise.llm.queries import QUERIES
 
@@ -107,6 +107,15 @@ def test_blocks_judge_and_cut_together(spark):
     assert [row[1].split() for row in _same_in_blocks(spark, text, [("a", a), ("b", b)], 1.0)] == [["end"]]
 
 
+def test_one_id_is_dealt_into_blocks(spark):
+    """An id with many rows, most of them repeated, does not make one large block."""
+    rows = [("a", _numbered(f"t{i % 50}x", 12)) for i in range(400)]
+    table = spark.createDataFrame(rows, "item_id string, text string")
+    blocks = [items.collect() for items in _blocks(table, table, 600)]
+    assert len(blocks) > 4 and sum(map(len, blocks)) == 50
+    assert max(sum(len(row.text) for row in block) for block in blocks) < 2400
+
+
 def test_query(spark):
     name = "op3_decontamination"
     assert differences(QUERIES[name](spark, SMALL), open_tables(SMALL), ORACLE[name]) == []
