@@ -7,9 +7,15 @@ documents have belongs to the one with the smallest id; everywhere else, and whe
 repeats its own run, all sentences that the run covers are removed.
 
 A passage may begin and end inside a sentence, and a stretch without sentence ends would be
-one endless sentence. So sentences of more than ``LONG`` words are cut behind words chosen
-by their hash, and where no such word comes, at the latest behind ``_LONGEST_PIECE`` words;
-equal stretches are cut alike wherever they stand.
+one endless sentence. So sentences of more than ``LONG`` words are cut by winnowing: every gap
+between two words has a hash of them, and a gap is cut that has the smallest one, ties
+included, of any ``_WINDOW`` gaps in a row. What is cut inside a window so depends on the
+window alone, and every window has a cut. Two places of a passage are cut alike from at most
+``_WINDOW`` words behind its start to as many before its end, and a run takes fewer than
+``WORDS + _WINDOW`` words, so that every passage of ``WORDS + 2 * _WINDOW`` = 50 words holds a
+whole run, whatever its words are and wherever it stands; a sentence of up to ``LONG`` words,
+which is shorter than a window, does not change that. (Sentence ends are cuts as well: a
+passage is one of words and of sentence ends.)
 
 The corpus-wide step works on hashes: runs are counted with map-side sums, runs of a single
 document drop out, and a run that very many documents share is only met in a join whose
@@ -35,17 +41,17 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from xxhash import xxh3_128_digest
 
-from casewise.llm.textops import byte_lists, fold, map_texts, ranges, small_batches
+from casewise.llm.textops import byte_lists, fold, map_texts, small_batches
 from casewise.sources.workspace import materialize
 
 SENTENCES = 2
 WORDS = 20
 LONG = 12
-_CUT_ONE_IN = 8
-_LONGEST_PIECE = 24
+_WINDOW = 15
 
 _ENDS = np.isin(np.arange(256), [*b".!?"])
 _BLANKS = np.isin(np.arange(256), [*b" \t\n\v\f\r"])
+_FACTORS = np.array([0x9E3779B97F4A7C15, 0xD6E8FEB86659FD93], np.uint64)
 _KEY = np.dtype([("h1", "<i8"), ("h2", "<i4")])
 
 
@@ -57,6 +63,29 @@ class Sentences(NamedTuple):
     digests: bytes
 
 
+def _over_windows(best: np.ufunc, values: np.ndarray) -> np.ndarray:
+    """The least or greatest of every ``_WINDOW`` values in a row."""
+    width = 1
+    while width < _WINDOW:
+        step = min(width, _WINDOW - width)
+        values, width = best(values[:-step], values[step:]), width + step
+    return values
+
+
+def _chosen(words: list[bytes]) -> np.ndarray:
+    """Per gap between two words, whether any window of gaps has no smaller hash than its."""
+    hashes = np.fromiter(map(zlib.crc32, words), np.uint64, len(words))
+    gaps = hashes[:-1] * _FACTORS[0] + hashes[1:]
+    gaps = (gaps ^ gaps >> np.uint64(32)) * _FACTORS[1]
+    gaps ^= gaps >> np.uint64(29)
+    if len(gaps) < _WINDOW:
+        return np.zeros(len(gaps), bool)
+    # Windows beyond either end count as empty: the least hash of each, and of these the
+    # greatest around a gap, is its own hash where it is cut.
+    least = np.pad(_over_windows(np.minimum, gaps), _WINDOW - 1)
+    return _over_windows(np.maximum, least) == gaps
+
+
 def sentences(text: bytes) -> Sentences:
     """The sentences of a text; each reaches up to the next one."""
     octets = np.frombuffer(text, np.uint8)
@@ -73,17 +102,11 @@ def sentences(text: bytes) -> Sentences:
     is_head = np.concatenate([[True], owner[1:] != owner[:-1]])
     heads = np.flatnonzero(is_head)
     sizes = np.diff(np.append(heads, len(words)))
-    # Behind a chosen word of a long sentence, and where none has come for too long.
-    chosen = np.fromiter(map(zlib.crc32, words), np.int64, len(words)) % _CUT_ONE_IN == 0
     is_long = np.repeat(sizes > LONG, sizes)
     is_cut = is_head.copy()
-    is_cut[1:] |= (chosen & is_long)[:-1]
+    is_cut[1:] |= _chosen(words) & is_long[:-1]
     cuts = np.flatnonzero(is_cut)
     counts = np.diff(np.append(cuts, len(words)))
-    if counts.max() > _LONGEST_PIECE:
-        parts = -(-counts // _LONGEST_PIECE)
-        cuts = ranges(np.zeros(len(cuts), np.int64), parts) * _LONGEST_PIECE + np.repeat(cuts, parts)
-        counts = np.diff(np.append(cuts, len(words)))
     starts = np.where(is_head[cuts], breaks[owner[cuts]], lasts[cuts - 1])
     spaced = b" ".join(words)
     places = np.concatenate([[0], np.cumsum(lasts - firsts + 1)])

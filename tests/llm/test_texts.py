@@ -251,6 +251,33 @@ def test_stretch_without_sentence_ends(spark):
     assert kept[1] == texts[0][1] and len(kept[2].split()) < 100
 
 
+def test_every_passage_of_fifty_words_holds_a_run():
+    """Wherever it stands, whatever its vocabulary, with sentence ends and without."""
+    rng = np.random.default_rng(7)
+
+    def draw(vocabulary, count, ends):
+        marks = np.where(rng.random(count) < ends, ". ", " ")
+        return "".join(f"{vocabulary[i]}{m}" for i, m in zip(rng.integers(0, len(vocabulary), count), marks))
+
+    def keys(text):
+        return set(runs(sentences(text.encode()), substring_dedup.SENTENCES, substring_dedup.WORDS)[2])
+
+    for size, ends in [(3000, 0), (3000, 0.07), (40, 0), (5, 0), (5, 0.05), (2, 0), (1, 0)]:
+        for _ in range(60):
+            vocabulary = [f"k{n}" for n in rng.integers(0, 1 << 30, size)]
+            passage = draw(vocabulary, 50, ends)
+            own = [draw([f"o{n}" for n in rng.integers(0, 1 << 30, 500)], int(n), 0.05) for n in rng.integers(1, 60, 4)]
+            assert keys(own[0] + passage + own[1]) & keys(own[2] + passage + own[3]), (size, ends, passage)
+
+
+def test_passage_of_few_words_at_shifted_places(spark):
+    rows = " ".join(["red green blue", "blue green", "green red red"] * 14)
+    texts = {i: " ".join([*(f"own{i}x{n}" for n in range(20 + i)), rows, "end"]) for i in range(4)}
+    docs = spark.createDataFrame(list(texts.items()), "doc_id bigint, text string")
+    kept = {row.doc_id: row for row in drop_repeated_spans(docs).collect()}
+    assert all(len(kept[i].text.split()) < 20 + i + 40 and "own" in kept[i].text for i in (1, 2, 3))
+
+
 def test_runs_slide_and_reach_the_end():
     text = b"One two three. Four five! Six seven?\nEight nine ten. Eleven"
     cut = sentences(text)
