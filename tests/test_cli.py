@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import json
 
-from conftest import drug, reaction, report, write_lines
+from builders import drug, reaction, report, write_lines
 
 from casewise.__main__ import main
 

@@ -1,6 +1,6 @@
 from __future__ import annotations
 
-from conftest import drug, reaction, report
+from builders import drug, reaction, report
 
 from casewise.operators.nesting import cap_cases, cases_from_documents, cases_from_tables
 from casewise.operators.silver import latest_versions, silver_tables
@@ -58,7 +58,7 @@ def test_limited_tables(bronze):
 
 
 def test_cap(cases_of):
-    from conftest import case
+    from builders import case
 
     cases = cases_of(*(case(f"R{i:02}") for i in range(60)))
     assert cap_cases(cases).count() == 60

@@ -3,7 +3,7 @@ from __future__ import annotations
 import random
 
 import pytest
-from conftest import enriched
+from builders import enriched
 
 from casewise.operators import scoring
 from casewise.plans.evaluation import evaluate

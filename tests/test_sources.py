@@ -5,7 +5,7 @@ import json
 import time
 
 import pytest
-from conftest import enriched, report, write_lines
+from builders import enriched, report, write_lines
 
 from casewise.schema import BRONZE_SCHEMA, CASE_SCHEMA, ENRICHED_SCHEMA, TRANSFORM_SCHEMA
 from casewise.sources import (

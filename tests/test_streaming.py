@@ -5,7 +5,7 @@ import json
 import os
 
 import pytest
-from conftest import report, write_lines
+from builders import report, write_lines
 from pyspark.sql import functions as F
 
 from casewise.operators.gates import GateFailed
