@@ -5,13 +5,13 @@ from __future__ import annotations
 import corpus_pipeline
 
 from casewise.llm.decontamination import contamination
-from casewise.llm.near_duplicates import near_duplicates
 from casewise.llm.quality_classifier import train
 from casewise.llm.quality_classifier import scores as quality
 from casewise.llm.secrets import find_secrets
 from casewise.llm.textops import read_table
 from casewise.sources.workspace import materialize
 from pyspark.sql import functions as F
+from similar_pairs import firsts_of_similar
 
 SMALL = "/root/testdata/sf0.001"
 
@@ -34,8 +34,7 @@ def test_stages_and_run(spark):
     assert kept == {i: raw[i] for i in good}
 
     once = texts(outputs["simhash_near_dedup"])
-    classes = near_duplicates(inputs["simhash_near_dedup"]).collect()
-    assert once == {i: kept[i] for i in {row.component_id for row in classes}}
+    assert once == {i: kept[i] for i in firsts_of_similar(kept)}
 
     items = read_table(spark, SMALL, "benchmark")
     clean = texts(outputs["benchmark_decontamination"])

@@ -302,10 +302,21 @@ def test_sentences_against_a_plain_split(text):
 
 
 def test_long_sentences_are_cut_by_their_words():
-    words = [f"w{i * 7919 % 1009}" for i in range(300)]
-    counts = sentences(" ".join(words).encode()).counts
-    assert counts.sum() == 300 and counts.max() <= 24
-    ends = np.cumsum(counts).tolist()
-    chosen = {i + 1 for i, word in enumerate(words) if zlib.crc32(word.encode()) % 8 == 0}
-    assert chosen <= {*ends, 300}
-    assert sentences(b"same " * 100).counts.tolist() in ([24] * 4 + [4], [1] * 100)
+    """Against a plain loop: a gap is cut that is the least of any window of gaps."""
+    words = [f"w{i * 7919 % 1009}".encode() for i in range(300)]
+    hashes = [zlib.crc32(word) for word in words]
+    factors = [int(factor) for factor in substring_dedup._FACTORS]
+    gaps = []
+    for left, right in zip(hashes, hashes[1:], strict=False):
+        gap = (left * factors[0] + right) % 2**64
+        gap = (gap ^ gap >> 32) * factors[1] % 2**64
+        gaps.append(gap ^ gap >> 29)
+    width, chosen = substring_dedup._WINDOW, set()
+    for first in range(len(gaps) - width + 1):
+        window = gaps[first : first + width]
+        chosen |= {first + i for i, gap in enumerate(window) if gap == min(window)}
+    assert set(np.flatnonzero(substring_dedup._chosen(words)).tolist()) == chosen
+    counts = sentences(b" ".join(words)).counts
+    assert {*np.cumsum(counts).tolist()} == {*(i + 1 for i in chosen), 300}
+    # Every gap of one word repeated is the least one.
+    assert sentences(b"same " * 100).counts.tolist() == [1] * 100
