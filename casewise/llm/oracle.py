@@ -92,7 +92,24 @@ SELECT doc_id, coalesce(n_assign, 0) AS n_assign, coalesce(n_access, 0) AS n_acc
 FROM docs LEFT JOIN listed USING (rid)
 """
 
+_TOP_K = """
+WITH vectors AS (
+    SELECT row_number() OVER () AS rid, vec_id, [floor(256 * x::DOUBLE) FOR x IN embedding] AS v
+    FROM embeddings WHERE embedding IS NOT NULL
+        AND len([1 FOR x IN embedding IF x IS NULL OR NOT isfinite(x)]) = 0),
+scored AS (
+    SELECT q.rid, q.vec_id AS query_id, c.vec_id, c.rid AS other,
+        CASE WHEN len(q.v) = 0 THEN 0 ELSE CAST(list_dot_product(q.v, c.v) AS BIGINT) END AS score
+    FROM vectors q JOIN vectors c ON q.vec_id % 50 = 0 AND len(q.v) = len(c.v) AND q.rid <> c.rid),
+ranked AS (
+    SELECT *, row_number() OVER (PARTITION BY rid ORDER BY score DESC, vec_id NULLS LAST, other) AS place
+    FROM scored)
+SELECT query_id, CAST(place AS INTEGER) AS rank, vec_id, CAST(score AS BIGINT) AS score
+FROM ranked WHERE place <= 5
+"""
+
 ORACLE: dict[str, str] = {
     "op3_decontamination": _DECONTAMINATION,
     "op10_secret_scan": _SECRETS,
+    "op11_exact_top_k": _TOP_K,
 }

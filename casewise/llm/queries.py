@@ -25,6 +25,7 @@ from casewise.llm.toxicity import THRESHOLD as TOXIC
 from casewise.llm.toxicity import scores as toxicity_scores
 from casewise.llm.toxicity import train as train_toxicity
 from casewise.llm.training import remainder
+from casewise.llm.vector_search import top_k
 
 
 def _predicted(scored: DataFrame, held_out: Column, threshold: float) -> DataFrame:
@@ -131,6 +132,11 @@ def op10_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op11_exact_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = top_k(read_table(spark, sf_dir, "embeddings"), F.col("vec_id") % 50 == 0, 5)
+    return found.select("query_id", "rank", "vec_id", "score")
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_quality_classifier": op1_quality_classifier,
     "op2_license_scan": op2_license_scan,
@@ -142,4 +148,5 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_toxicity": op8_toxicity,
     "op9_simhash_near_dedup": op9_simhash_near_dedup,
     "op10_secret_scan": op10_secret_scan,
+    "op11_exact_top_k": op11_exact_top_k,
 }
