@@ -108,8 +108,117 @@ SELECT query_id, CAST(place AS INTEGER) AS rank, vec_id, CAST(score AS BIGINT) A
 FROM ranked WHERE place <= 5
 """
 
+
+def _crc32(text: str) -> str:
+    """Of an ASCII text, bit by bit."""
+    octets = f"[ord({text}[i])::BIGINT FOR i IN range(1, len({text}) + 1)]"
+    shifted = "lambda c, _i: CASE WHEN c % 2 = 1 THEN xor(c // 2, 3988292384) ELSE c // 2 END"
+    one = f"lambda crc, octet: list_reduce(list_prepend(xor(crc, octet), range(8)), {shifted})"
+    return f"(4294967295 - list_reduce(list_prepend(4294967295::BIGINT, {octets}), {one}))"
+
+
+def _leaf(n_chars: str) -> str:
+    """The digest of a row, with ``n_chars`` as given."""
+    texts = ("doc_id::VARCHAR", "source", "lang", f"({n_chars})::VARCHAR", "text")
+    parts = (f"coalesce(strlen({text}) || ':' || {text}, '-')" for text in texts)
+    return f"sha256({' || '.join(parts)})"
+
+
+def _tree(name: str, leaves: str) -> str:
+    """All levels of the trees over ``leaves`` (tree, rank, size, digest)."""
+    return f"""{name} AS (
+    SELECT tree, 0 AS level, rank AS place, size AS width, digest FROM {leaves}
+    UNION ALL
+    SELECT tree, any_value(level) + 1, place // 2, (any_value(width) + 1) // 2,
+        sha256(string_agg(digest, '' ORDER BY place))
+    FROM {name} WHERE width > 1 GROUP BY tree, place // 2)"""
+
+
+_MERKLE = f"""
+WITH RECURSIVE docs AS (
+    SELECT row_number() OVER () AS rid, doc_id, lang AS tree, {_leaf("n_chars")} AS digest,
+        CASE WHEN crc32 % 7 = 0 THEN {_leaf("n_chars::HUGEINT + 1")} ELSE {_leaf("n_chars")} END AS claim
+    FROM documents LEFT JOIN (
+        SELECT id, {_crc32("id")} AS crc32
+        FROM (SELECT DISTINCT doc_id::VARCHAR AS id FROM documents WHERE doc_id IS NOT NULL))
+        ON id = doc_id::VARCHAR),
+ranked AS (
+    SELECT *, row_number() OVER (PARTITION BY tree ORDER BY doc_id NULLS FIRST, digest, rid) - 1 AS rank,
+        count(*) OVER (PARTITION BY tree) AS size
+    FROM docs),
+{_tree("below", "ranked")},
+subroots AS (
+    SELECT tree AS name, '' AS tree, row_number() OVER (ORDER BY tree NULLS FIRST) - 1 AS rank,
+        count(*) OVER () AS size, digest
+    FROM below WHERE width = 1),
+{_tree("above", "subroots")},
+levels AS (
+    SELECT rid, level, (rank >> level) AS place, width, 0 AS part, ranked.tree
+    FROM ranked JOIN (SELECT DISTINCT tree, level, width FROM below WHERE width > 1) b
+        ON ranked.tree IS NOT DISTINCT FROM b.tree
+    UNION ALL
+    SELECT rid, level, (s.rank >> level), width, 1, ''
+    FROM ranked JOIN subroots s ON ranked.tree IS NOT DISTINCT FROM s.name,
+        (SELECT DISTINCT level, width FROM above WHERE width > 1)),
+nodes AS (SELECT 0 AS part, * FROM below UNION ALL SELECT 1, * FROM above),
+steps AS (
+    SELECT rid, row_number() OVER (PARTITION BY rid ORDER BY l.part, l.level) AS step,
+        l.place % 2 AS side, n.digest AS sibling
+    FROM levels l LEFT JOIN nodes n ON n.part = l.part AND n.tree IS NOT DISTINCT FROM l.tree
+        AND n.level = l.level AND n.place = xor(l.place, 1)),
+proofs AS (
+    SELECT rid, sha256(coalesce(string_agg(sibling, '' ORDER BY step), '')) AS proof, max(step) AS last
+    FROM steps GROUP BY rid),
+folded AS (
+    SELECT rid, claim AS digest, 0 AS step FROM docs
+    UNION ALL
+    SELECT f.rid, sha256(CASE WHEN side = 1 THEN coalesce(sibling, '') || digest
+        ELSE digest || coalesce(sibling, '') END), s.step
+    FROM folded f JOIN steps s ON s.rid = f.rid AND s.step = f.step + 1)
+SELECT r.doc_id, r.digest AS leaf, b.digest AS subroot, a.digest AS root,
+    coalesce(proof, sha256('')) AS proof_sha256, f.digest AS folded_root, f.digest = a.digest AS verified
+FROM ranked r JOIN below b ON b.width = 1 AND b.tree IS NOT DISTINCT FROM r.tree
+JOIN above a ON a.width = 1 LEFT JOIN proofs p USING (rid)
+JOIN folded f ON f.rid = r.rid AND f.step = coalesce(p.last, 0)
+"""
+
+_TRIE = f"""
+WITH turns AS (
+    SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS said
+    FROM conversations WHERE conv_id IS NOT NULL),
+lists AS (
+    SELECT conv_id, list({{'role': role, 'said': said}}
+        ORDER BY turn NULLS FIRST, sha256(strlen(role) || ':' || role || said)) AS own
+    FROM turns GROUP BY conv_id),
+heads AS (SELECT conv_id, own, {_crc32("id")} % 6 AS h FROM (SELECT *, conv_id::VARCHAR AS id FROM lists)),
+rebuilt AS (
+    SELECT c.conv_id, list_concat(coalesce(b.own[1:h], []), c.own[h + 1:]) AS path
+    FROM heads c LEFT JOIN lists b ON b.conv_id = c.conv_id - c.conv_id % 100),
+prefixes AS (
+    SELECT conv_id, d, path[1:d] AS node, len(path) AS turns
+    FROM rebuilt, unnest(range(0, len(path) + 1)) AS s(d)),
+nodes AS (
+    SELECT d, node, min(conv_id) AS conv_id, count(*) AS n_convs,
+        string_agg(conv_id::VARCHAR, ',' ORDER BY conv_id) FILTER (turns = d) AS ends
+    FROM prefixes GROUP BY d, node),
+children AS (SELECT d - 1 AS d, node[1:d - 1] AS node, count(*) AS n_children FROM nodes WHERE d > 0 GROUP BY ALL),
+counted AS (
+    SELECT n.*, coalesce(n_children, 0) AS n_children,
+        CASE WHEN d = 0 THEN 0 ELSE (n_convs - 1) * length(node[d].said) END AS saved
+    FROM nodes n LEFT JOIN children USING (d, node)),
+sums AS (
+    SELECT a AS d, node[1:a] AS node, sum(saved) AS saved, count(*) FILTER (n_children = 0) AS n_leaves
+    FROM counted, unnest(range(0, d + 1)) AS s(a) GROUP BY ALL)
+SELECT c.conv_id, c.d AS depth, p.conv_id AS parent_conv_id, c.n_convs, c.n_children, n_leaves,
+    CAST(sums.saved AS BIGINT) AS saved_tokens, sha256(coalesce(c.ends, '')) AS ends_sha256
+FROM counted c JOIN sums ON sums.d = c.d AND sums.node = c.node
+LEFT JOIN nodes p ON p.d = c.d - 1 AND p.node = c.node[1:c.d - 1] AND c.d > 0
+"""
+
 ORACLE: dict[str, str] = {
     "op3_decontamination": _DECONTAMINATION,
     "op10_secret_scan": _SECRETS,
     "op11_exact_top_k": _TOP_K,
+    "op12_merkle_manifest": _MERKLE,
+    "op13_prefix_trie": _TRIE,
 }

@@ -11,8 +11,10 @@ from casewise.llm.decontamination import contamination
 from casewise.llm.language_id import languages
 from casewise.llm.language_id import train as train_languages
 from casewise.llm.license_scan import scan_licenses
+from casewise.llm.manifest import FIELDS, dataset_manifest, digest
 from casewise.llm.near_duplicates import near_duplicates
 from casewise.llm.packing import pack
+from casewise.llm.prefix_trie import trie, turn_lists, with_shared_heads
 from casewise.llm.quality_classifier import THRESHOLD as GOOD
 from casewise.llm.quality_classifier import scores as quality_scores
 from casewise.llm.quality_classifier import train as train_quality
@@ -137,6 +139,29 @@ def op11_exact_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("query_id", "rank", "vec_id", "score")
 
 
+def op12_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    fields = {name: F.col(name) for name in FIELDS}
+    longer = fields | {"n_chars": F.col("n_chars").cast("decimal(20,0)") + 1}
+    touched = (remainder(7) == 0) & F.col("n_chars").isNotNull()
+    leaf = digest(*fields.values())
+    claim = F.when(touched, digest(*longer.values())).otherwise(leaf)
+    documents = read_table(spark, sf_dir, "documents")
+    found = dataset_manifest(documents, leaf, claim, tree=F.col("lang"), key=F.col("doc_id"))
+    return found.select(
+        F.col("key").alias("doc_id"),
+        "leaf",
+        "subroot",
+        "root",
+        F.col("proof").alias("proof_sha256"),
+        F.col("folded").alias("folded_root"),
+        (F.col("folded") == F.col("root")).alias("verified"),
+    )
+
+
+def op13_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return trie(with_shared_heads(turn_lists(read_table(spark, sf_dir, "conversations"))))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_quality_classifier": op1_quality_classifier,
     "op2_license_scan": op2_license_scan,
@@ -149,4 +174,6 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op9_simhash_near_dedup": op9_simhash_near_dedup,
     "op10_secret_scan": op10_secret_scan,
     "op11_exact_top_k": op11_exact_top_k,
+    "op12_merkle_manifest": op12_merkle_manifest,
+    "op13_prefix_trie": op13_prefix_trie,
 }
