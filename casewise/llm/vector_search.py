@@ -197,7 +197,8 @@ def search_block(pair: dict, k: int) -> tuple[dict[str, np.ndarray], int]:
     rows, ids = np.frombuffer(pair["rows"], "<i8"), np.frombuffer(pair["ids"], "<i8")
     queries = _as_numbers(pair["query_exact"], asked, dims)
     query_rows, query_ids = np.frombuffer(pair["query_rows"], "<i8"), np.frombuffer(pair["query_ids"], "<i8")
-    edges = np.frombuffer(pair["edges"], "<f8").reshape(-1, dims)
+    edges = np.frombuffer(pair["edges"], "<f8")
+    edges = edges.reshape(len(edges) // max(dims, 1), dims)
     cells = np.frombuffer(pair["cells"], np.uint8).reshape(size, dims)
     by_row = np.argsort(rows)
     at = np.minimum(np.searchsorted(rows, query_rows, sorter=by_row), size - 1)

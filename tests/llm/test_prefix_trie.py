@@ -1,0 +1,145 @@
+"""The trie of the shards' walks against one made of plain dictionaries."""
+
+from __future__ import annotations
+
+import zlib
+from collections import defaultdict
+from hashlib import sha256
+
+from hypothesis import given, settings
+from hypothesis import strategies as st
+from pyspark.sql import functions as F
+
+from casewise.llm import prefix_trie
+from casewise.llm.prefix_trie import RESULT, common_depth, trie, turn_lists, with_shared_heads
+from casewise.llm.textops import read_table
+
+MEDIUM = "/root/testdata/sf0.01"
+SCHEMA = "conv_id bigint, turn bigint, role string, text string"
+
+
+def _rebuilt(rows):
+    """conv_id to its list of (role, text), heads shared as the contract says."""
+    lists = defaultdict(list)
+    for conv_id, turn, role, text in rows:
+        if conv_id is not None:
+            role, text = role or "", text or ""
+            digest = sha256(f"{len(role.encode())}:{role}{text}".encode()).hexdigest()[:32]
+            lists[conv_id].append((turn is not None, turn or 0, digest, (role, text)))
+    lists = {c: [turn[3] for turn in sorted(turns)] for c, turns in lists.items()}
+    out = {}
+    for c, own in lists.items():
+        h = zlib.crc32(str(c).encode()) % 6
+        out[c] = lists.get(c - c % 100, [])[:h] + own[h:]
+    return out
+
+
+def _expected(convs):
+    """Rows of the result, a dictionary entry for every prefix."""
+    members = defaultdict(list)
+    for c, turns in convs.items():
+        for d in range(len(turns) + 1):
+            members[tuple(turns[:d])].append(c)
+    children = defaultdict(int)
+    for node in members:
+        if node:
+            children[node[:-1]] += 1
+    leaves, saved = defaultdict(int), defaultdict(int)
+    for node, convs_of in members.items():
+        for d in range(len(node) + 1):
+            leaves[node[:d]] += not children[node]
+            saved[node[:d]] += (len(convs_of) - 1) * len(node[-1][1]) if node else 0
+    rows = []
+    for node, convs_of in members.items():
+        ends = ",".join(map(str, sorted(c for c in convs_of if len(convs[c]) == len(node))))
+        parent = min(members[node[:-1]]) if node else None
+        sums = (len(convs_of), children[node], leaves[node], saved[node])
+        rows.append((min(convs_of), len(node), parent, *sums, sha256(ends.encode()).hexdigest()))
+    return sorted(rows, key=repr)
+
+
+def _found(df):
+    return sorted([tuple(row) for row in df.select(*RESULT).collect()], key=repr)
+
+
+def _query(spark, rows):
+    return _found(trie(with_shared_heads(turn_lists(spark.createDataFrame(rows, SCHEMA)))))
+
+
+def test_given_table(spark):
+    rows = [tuple(r) for r in read_table(spark, MEDIUM, "conversations").select("conv_id", "turn", "role", "text").collect()]
+    assert _query(spark, rows) == _expected(_rebuilt(rows))
+
+
+def test_awkward_conversations(spark):
+    """Nulls, ties, repeated rows, an absent first, a turnless one, negative ids, a long one."""
+    rows = [
+        (None, 1, "user", "in no conversation"),
+        (100, None, None, None), (100, 1, "user", "hi"), (100, 1, "user", "hi"), (100, 2, "assistant", "hällo"),
+        (101, 1, "user", "own"), (102, 1, "user", "own"), (102, 2, "user", ""), (102, 3, None, "x"),
+        (103, 5, "b", "tie"), (103, 5, "a", "tie"), (103, 4, "a", "t"), (-5, 1, "user", "hi"), (-105, 1, "user", "hi"),
+        (305, 1, "user", "only turn"), (306, 1, "user", "only turn"), (307, 1, "user", "only turn"),
+    ]
+    rows += [(500, i, "user", f"turn {i}") for i in range(1200)] + [(501, i, "user", f"turn {i}") for i in range(1201)]
+    assert _query(spark, rows) == _expected(_rebuilt(rows))
+
+
+def test_a_conversation_that_most_have(spark):
+    """Its path crosses shard boundaries, and so do its ends."""
+    rows = [(c, d, "user", f"said {d}") for c in range(0, 3000, 100) for d in range(4)]
+    rows += [(c, d, "user", f"said {d}" if d < 2 else f"other {c}") for c in range(0, 500) for d in range(4) if c % 100]
+    rows += [(10_000 + 100 * c, d, "user", f"said {d}") for c in range(200) for d in range(4)]
+    kept = spark.conf.get("spark.sql.shuffle.partitions")
+    spark.conf.set("spark.sql.shuffle.partitions", "13")
+    try:
+        assert _query(spark, rows) == _expected(_rebuilt(rows))
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", kept)
+
+
+def test_extra_columns_and_no_rows(spark):
+    rows = [(1, 0, "user", "a"), (2, 0, "user", "a")]
+    more = spark.createDataFrame(rows, SCHEMA).withColumns({name: F.lit("x") for name in ("path", "shard", "key", "turns")})
+    assert _found(trie(turn_lists(more))) == _expected({1: [("user", "a")], 2: [("user", "a")]})
+    assert _query(spark, []) == [] and _query(spark, [(None, 1, "a", "b")]) == []
+
+
+_CONVS = st.lists(st.lists(st.sampled_from("ab"), max_size=5), min_size=1, max_size=25)
+
+
+@settings(max_examples=200, deadline=None)
+@given(_CONVS, st.lists(st.integers(0, 25), max_size=4), st.integers(1, 3))
+def test_walks_of_any_shards(paths, cuts, ends_at_once):
+    """Sums over the parts of any shards are the trie's nodes, wherever the boundaries are."""
+    convs = {7 * i % 101: [("r", t) for t in path] for i, path in enumerate(paths)}
+    as_path = {c: b"".join(t.encode() * 16 for _, t in turns) for c, turns in convs.items()}
+    order = sorted(convs, key=lambda c: (as_path[c], c))
+    bounds = sorted({0, *(min(cut, len(order)) for cut in cuts), len(order)})
+    shards = [order[a:b] for a, b in zip(bounds, bounds[1:], strict=False)]
+    kept, prefix_trie._ENDS_AT_ONCE = prefix_trie._ENDS_AT_ONCE, ends_at_once
+    rows = []
+    try:
+        for i, shard in enumerate(shards):
+            left = common_depth(as_path[shards[i - 1][-1]], as_path[shard[0]]) if i else -1
+            right = common_depth(as_path[shard[-1]], as_path[shards[i + 1][0]]) if i + 1 < len(shards) else -1
+            walk = prefix_trie.Walk(i, left, right)
+            for c in shard:
+                walk.add(as_path[c], c, [len(t) for _, t in convs[c]])
+            walk.finish()
+            rows += walk.rows
+    finally:
+        prefix_trie._ENDS_AT_ONCE = kept
+    parts, ends = defaultdict(list), defaultdict(list)
+    for row in rows:
+        if row[0] == "part":
+            parts[row[1]].append(row)
+        elif row[0] == "ends":
+            ends[row[1]].append((row[3], row[4], row[12]))
+    ids = {key: min(row[5] for row in found) for key, found in parts.items()}
+    result = [row[5:] for row in rows if row[0] == "whole"]
+    result += [(*row[5:7], ids[row[2]], *row[8:]) for row in rows if row[0] == "child"]
+    for key, found in parts.items():
+        text = ",".join(chunk for _, _, chunk in sorted(ends[key]))
+        sums = [sum(row[i] for row in found) for i in range(8, 12)]
+        result.append((ids[key], found[0][6], ids.get(found[0][2]), *sums, sha256(text.encode()).hexdigest()))
+    assert sorted(map(tuple, result), key=repr) == _expected(convs)

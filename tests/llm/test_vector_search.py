@@ -1,0 +1,103 @@
+"""Exact top-k search against all pairs, and what its cells and bounds promise."""
+
+from __future__ import annotations
+
+import numpy as np
+from hypothesis import given, settings
+from hypothesis import strategies as st
+from hypothesis.extra.numpy import arrays
+from pyspark.sql import functions as F
+
+from casewise.llm import vector_search
+from casewise.llm.textops import read_table
+from casewise.llm.vector_search import bounds, cells_of, search_block, top_k
+
+MEDIUM = "/root/testdata/sf0.01"
+
+
+def _whole(vector):
+    return [int(np.floor(256 * float(x))) for x in vector]
+
+
+def _expected(rows, k=5, every=50):
+    """Per query row its best scores, by plain loops over Python's integers."""
+    sound = [(i, v) for i, v in rows if v is not None and all(x is not None and np.isfinite(x) for x in v)]
+    found = []
+    for at, (i, query) in enumerate(sound):
+        if i is None or i % every:
+            continue
+        ends = np.iinfo(np.int64)
+        scored = [
+            (-min(max(sum(a * b for a, b in zip(_whole(query), _whole(v), strict=True)), ends.min), ends.max), j is None, j or 0, j)
+            for other, (j, v) in enumerate(sound)
+            if other != at and len(v) == len(query)
+        ]
+        found += [(i, rank, j, -score) for rank, (score, _, _, j) in enumerate(sorted(scored, key=lambda s: s[:3])[:k], 1)]
+    return sorted(found, key=repr)
+
+
+def _found(spark, rows, kind="float", **other):
+    vectors = spark.createDataFrame(rows, f"vec_id bigint, embedding array<{kind}>")
+    vectors = vectors.withColumns({"row": F.lit("r"), "score": F.lit(3), "block": F.lit(None)})
+    result = top_k(vectors, F.col("vec_id") % 50 == 0, 5, **other)
+    return sorted([(r.query_id, r["rank"], r.vec_id, r.score) for r in result.collect()], key=repr)
+
+
+def test_given_table_against_all_pairs(spark):
+    table = read_table(spark, MEDIUM, "embeddings")
+    rows = [(r.vec_id, r.embedding) for r in table.collect()]
+    result = top_k(table, F.col("vec_id") % 50 == 0, 5, block_rows=64)
+    assert sorted([(r.query_id, r["rank"], r.vec_id, r.score) for r in result.collect()], key=repr) == _expected(rows)
+
+
+def test_awkward_vectors(spark):
+    """Nulls, other lengths, copies, ties, repeated ids, no id, extra columns with clashing names."""
+    same = [0.5, -0.25, 0.125]
+    rows = [(i, same) for i in range(0, 130)]
+    rows += [(50, [1.0, 0.0, 0.0]), (50, [1.0, 0.0, 0.0]), (None, [1.0, 1.0, 1.0]), (None, None), (100, None)]
+    rows += [(150, [0.1, None, 0.2]), (151, [float("nan"), 0.0, 0.0]), (152, [float("inf"), 0.0, 0.0])]
+    rows += [(200, []), (201, []), (250, [0.5]), (251, [-0.5]), (300, [0.1, 0.2])]
+    for size in (8, 1000):
+        assert _found(spark, rows, block_rows=size) == _expected(rows)
+
+
+def test_numbers_beyond_a_double(spark):
+    rows = [(0, [1e15, 3.0]), (1, [1e15, -1.0]), (2, [-1e15, 2.0]), (3, [1e290, 1e280]), (50, [1e8, 1e8])]
+    assert _found(spark, rows, "double") == _expected(rows)
+
+
+def test_empty_tables(spark):
+    assert _found(spark, []) == []
+    assert _found(spark, [(1, [0.5]), (2, [0.5])]) == []
+    assert _found(spark, [(0, [0.5])]) == []
+
+
+@settings(max_examples=60, deadline=None)
+@given(arrays(np.int64, st.tuples(st.integers(1, 40), st.integers(1, 5)), elements=st.integers(-300, 300)))
+def test_every_vector_lies_in_its_cells(whole):
+    exact = whole.astype(np.float64)
+    for cells in (2, 4, 64):
+        edges, found = cells_of(exact, cells)
+        low, high = bounds(exact, edges, found)
+        scores = exact @ exact.T
+        assert (low <= scores).all() and (scores <= high).all()
+
+
+def test_few_exact_vectors_are_read():
+    """Bounds rule most rows out, and the search ends as soon as the last rank is certain."""
+    rng = np.random.default_rng(7)
+    exact = np.floor(256 * rng.normal(0, 0.125, (4000, 64)))
+    edges, cells = cells_of(exact)
+    rows = np.arange(4000)
+    pair = {
+        "dims": 64, "size": 4000, "rows": rows.tobytes(), "ids": rows.tobytes(),
+        "exact": exact.astype("<i4").tobytes(), "edges": edges.tobytes(), "cells": cells.tobytes(),
+        "query_size": 40, "query_rows": rows[:40].tobytes(), "query_ids": rows[:40].tobytes(),
+        "query_exact": exact[:40].astype("<i4").tobytes(),
+    }
+    found, read = search_block(pair, 5)
+    scores = exact[:40] @ exact.T
+    scores[np.arange(40), np.arange(40)] = -np.inf
+    best = np.sort(scores, axis=1)[:, :-6:-1]
+    assert (found["score"].reshape(40, 5) == best).all()
+    assert read <= 40 * 2 * vector_search._READ_AT_ONCE
