@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from casewise.schema import BRONZE_SCHEMA
+from casewise.sources.commits import whole_batches
 
 # The parser fills this reserved name; a stored column must not be called so, or it
 # reads back as null.
@@ -42,10 +43,16 @@ def read_bronze(
 
     Files are taken at any depth, so folders of different layouts (landed batches and
     landed streams) can be read together, and an ``ingest_date=`` folder adds no column.
-    Name such a folder as the path to read one date. Blank lines give no rows.
+    Name such a folder as the path to read one date. Blank lines give no rows. Of a folder
+    that streams land in, only whole batches are read; a part of such a folder is read as it is.
     """
-    reader = spark.read.schema(_parse_schema(schema)).option("recursiveFileLookup", True)
-    scan = reader.json(paths)
+    named = [paths] if isinstance(paths, str) else paths
+    folders = [place for path in named for place in whole_batches(spark, path)]
+    if not folders:
+        scan = spark.createDataFrame([], _parse_schema(schema))
+    else:
+        reader = spark.read.schema(_parse_schema(schema)).option("recursiveFileLookup", True)
+        scan = reader.json(folders)
     return _verdict(scan, schema, F.col(_PARSER_CORRUPT).isNotNull(), _PARSER_CORRUPT)
 
 

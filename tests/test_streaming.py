@@ -3,7 +3,9 @@ from __future__ import annotations
 import datetime
 import json
 import os
+import time
 
+import pyarrow as pa
 import pytest
 from builders import report, write_lines
 from pyspark.sql import functions as F
@@ -13,21 +15,30 @@ from casewise.operators.silver import latest_versions, report_table
 from casewise.plans.transform import run_transform
 from casewise.schema import BRONZE_SCHEMA
 from casewise.sources import decode_lines, read_bronze, split_corrupt, union_bronze
+from casewise.sources.commits import drop_commit
 from casewise.streaming import (
     BROKEN,
     IN_TIME,
     LATE,
+    SEQUENCE,
+    admission,
+    arrivals,
     batch_options,
+    committed,
     compact_landed,
+    counted_messages,
     file_messages,
+    ingest,
     keyed_messages,
     land_distinct,
     land_stream,
     max_offsets,
+    publish_in_order,
     publish_to_files,
     read_distinct,
     read_landed,
     replay_trigger,
+    to_files,
 )
 
 
@@ -280,3 +291,166 @@ def test_published_messages_come_back(spark, tmp_path):
     landed = read_landed(spark, str(tmp_path / "out"))
     original, _ = split_corrupt(read_bronze(spark, str(tmp_path / "in")))
     assert sorted(map(repr, landed.collect())) == sorted(map(repr, original.collect()))
+
+
+# --- whole batches only -----------------------------------------------------------
+
+
+@pytest.mark.parametrize("stops_at", ["lost_lines", "commit_batch"])
+def test_a_batch_is_seen_with_all_of_its_outputs_or_not_at_all(spark, tmp_path, monkeypatch, stops_at):
+    """A run that ends between its writes, and one that ends before it has said so."""
+    source, out, checkpoint = tmp_path / "topic", tmp_path / "out", tmp_path / "cp"
+    write_lines(source / "a.json", [report("R1")])
+    stream_once(spark, source, out, checkpoint)
+    write_lines(source / "b.json", [report("R2"), "{torn"])
+
+    def stop(*_, **__):
+        raise OSError("lost here")
+
+    with monkeypatch.context() as patch:
+        patch.setattr(ingest, stops_at, stop)
+        with pytest.raises(Exception, match="lost here"):
+            stream_once(spark, source, out, checkpoint)
+    assert list(out.glob("documents/*/batch=1/*/part-*"))  # half of it is there
+    assert keys(read_landed(spark, str(out))) == ["R1"]
+    assert read_landed(spark, str(out), kind=BROKEN).count() == 0
+    assert read_bronze(spark, str(out)).count() == 1
+    stream_once(spark, source, out, checkpoint)
+    assert keys(read_landed(spark, str(out))) == ["R1", "R2"]
+    assert read_bronze(spark, str(out)).count() == 3
+
+
+def test_a_folder_in_which_nothing_was_committed_is_empty(spark, tmp_path):
+    write_lines(tmp_path / "topic" / "a.json", [report("R1")])
+    stream_once(spark, tmp_path / "topic", tmp_path / "out", tmp_path / "cp")
+    (entry,) = committed(spark, str(tmp_path / "out"))
+    assert (entry.batch, entry.documents, entry.broken) == (0, 1, 0)
+    drop_commit(spark, str(tmp_path / "out"), entry.place)
+    assert read_landed(spark, str(tmp_path / "out")).count() == 0
+    assert committed(spark, str(tmp_path / "never")) == []
+
+
+# --- first arrivals ---------------------------------------------------------------
+
+
+def test_a_repeat_is_one_whatever_its_time(spark, tmp_path):
+    """Far later than the first arrival, far earlier, without a time, or the first had none."""
+    batches = [
+        [("A", "2024-01-01 10:00:00"), ("B", None), ("C", "2024-01-01 10:00:00"), ("D", "2024-01-01 10:00:00")],
+        [("A", "2025-06-01 00:00:00"), ("B", "2024-01-01 10:00:00"), ("C", "1999-01-01 00:00:00"), ("D", None)],
+        [("A", "2025-06-02 00:00:00"), ("E", "2024-01-01 10:00:00")],
+    ]
+    # The repeat of A in the future has not landed, so it does not make E late.
+    assert _distinct(spark, tmp_path, batches) == [(IN_TIME, k) for k in "ACDE"] + [(LATE, "B")]
+
+
+def test_the_first_of_a_batch_is_the_same_however_it_is_cut(spark):
+    """Earliest time first, then none; ties by content; arrow batches of any size."""
+    firsts = arrivals._firsts("key", "at")
+    rows = [("a", 5, 1), ("b", None, 2), ("a", 3, 9), ("a", 3, 4), ("b", 7, 3), ("c", None, 5), ("c", None, 1)]
+    names = ["key", "at", "_content"]
+    for size in range(1, 8):
+        table = pa.table({name: pa.array([row[i] for row in rows]) for i, name in enumerate(names)})
+        kept = pa.Table.from_batches(firsts(iter(table.to_batches(max_chunksize=size)))).to_pylist()
+        assert sorted(tuple(row.values()) for row in kept) == [("a", 3, 4), ("b", 7, 3), ("c", None, 1)]
+    assert list(firsts(iter([]))) == []
+
+
+def test_a_run_that_fails_after_its_state_was_kept_lands_once(spark, tmp_path, monkeypatch):
+    batches = [[("A", "2024-01-01 10:00:00")], [("A", "2024-01-02 10:00:00"), ("B", "2024-01-02 10:00:00")]]
+
+    def stop(*_, **__):
+        raise OSError("lost here")
+
+    with monkeypatch.context() as patch:
+        patch.setattr(arrivals, "commit_batch", stop)
+        with pytest.raises(Exception, match="lost here"):
+            _distinct(spark, tmp_path, batches)
+    assert _distinct(spark, tmp_path, batches) == [(IN_TIME, "A"), (IN_TIME, "B")]
+
+
+# --- admission by records ---------------------------------------------------------
+
+
+def _counted(spark, tmp_path, seconds=0.0, **limits):
+    messages = counted_messages(spark, str(tmp_path / "topic"), str(tmp_path / "position"), seconds=seconds, **limits)
+    query = land_stream(
+        decode_lines(messages), str(tmp_path / "out"), str(tmp_path / "cp"), trigger={"processingTime": "0 seconds"}
+    )
+    return query
+
+
+def _land_until(spark, tmp_path, query, done):
+    for _ in range(300):
+        if sum(e.documents + e.broken for e in committed(spark, str(tmp_path / "out"))) >= done:
+            break
+        query.awaitTermination(0.1)
+    query.stop()
+    return [e.documents + e.broken for e in committed(spark, str(tmp_path / "out"))]
+
+
+def test_batches_by_records_across_files_and_restarts(spark, tmp_path):
+    write_lines(tmp_path / "topic" / "a.json", [report(f"A{i:02}") for i in range(11)])
+    write_lines(tmp_path / "topic" / "b.json", [report("B1"), "{torn", report("B2")])
+    first = _land_until(spark, tmp_path, _counted(spark, tmp_path, most=4), 8)
+    # A file that comes later and sorts before the others, and one that has grown.
+    write_lines(tmp_path / "topic" / "0.json", [report("Z1"), report("Z2")])
+    with open(tmp_path / "topic" / "b.json", "a") as grown:
+        grown.write(json.dumps(report("B3")) + "\n")
+    sizes = _land_until(spark, tmp_path, _counted(spark, tmp_path, most=4), 17)
+    assert sizes[: len(first)] == first and sum(sizes) == 17 and max(sizes) == 4
+    found = keys(read_landed(spark, str(tmp_path / "out")))
+    assert found == sorted([*(f"A{i:02}" for i in range(11)), "B1", "B2", "B3", "Z1", "Z2"])
+
+
+def test_a_batch_waits_for_count_or_age(tmp_path):
+    topic = tmp_path / "topic"
+    write_lines(topic / "a.json", ["x"] * 3)
+    options = {"path": str(topic), "position": str(tmp_path / "p"), "most": "10", "least": "5", "seconds": "0.4"}
+    reader = admission._Reader(options)
+    assert reader.latestOffset() == {}
+    with open(topic / "a.json", "a") as file:
+        file.write("y\nz\nnot whole yet")
+    assert reader.latestOffset() == {"a.json": 10}  # five whole lines
+    with open(topic / "a.json", "a") as file:
+        file.write(" now\n")
+    assert reader.latestOffset() == {"a.json": 10}
+    time.sleep(0.5)
+    after = reader.latestOffset()
+    assert after == {"a.json": 28}
+    # A restart names the last offset once more and goes on from it.
+    again = admission._Reader(options)
+    assert again.latestOffset() == after and again.latestOffset() == after
+    lines = [v for part in again.partitions({"a.json": 4}, after) for b in again.read(part) for v in b.column(0).to_pylist()]
+    assert lines == ["x", "y", "z", "not whole yet now"]
+
+
+# --- order within a key -----------------------------------------------------------
+
+
+def test_messages_of_a_key_are_published_in_order(spark, tmp_path):
+    rows = [{"safetyreportid": k, "receiptdate": d} for k, d in [("A", "3"), ("B", "1"), ("A", "1"), ("A", "2"), (None, "9")]]
+    write_lines(tmp_path / "topic" / "a.json", rows)
+
+    def publish():
+        documents, _ = split_corrupt(decode_lines(file_messages(spark, str(tmp_path / "topic"))))
+        position = [F.col("receiptdate").cast("int")]
+        sink = to_files(str(tmp_path / "out"))
+        publish_in_order(documents, "safetyreportid", position, sink, str(tmp_path / "cp")).awaitTermination()
+
+    publish()
+    write_lines(tmp_path / "topic" / "b.json", [{"safetyreportid": "A", "receiptdate": "0"}])
+    publish()
+    for entry in (tmp_path / "cp" / "commits").glob("*1*"):
+        entry.unlink()
+    publish()
+    found, by_file = {}, {}
+    for path in sorted(tmp_path.glob("out/batch=*/part-*")):
+        for line in path.read_text().splitlines():
+            row = json.loads(line)
+            found.setdefault(row.get("safetyreportid"), []).append((row[SEQUENCE], row["receiptdate"]))
+            by_file.setdefault((path, row.get("safetyreportid")), []).append(row[SEQUENCE])
+    assert [day for _, day in sorted(found["A"])] == ["1", "2", "3", "0"]
+    assert all(numbers == sorted(numbers) for numbers in by_file.values())
+    assert len({path for path, key in by_file if key == "A"}) == 2  # one file a batch
+    assert len(found[None]) == 1 and len(found["B"]) == 1
