@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Callable
 from datetime import date, timedelta
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -13,6 +13,7 @@ from casewise import functions as fn
 from casewise.operators import assessment, gates, nesting, scoring, signals, silver, windows
 from casewise.operators.assessors import calling_assessor, case_text, rule_assessor, with_reply
 from casewise.plans.chain import run_all
+from casewise.plans.enrichment import assess_in_waves, compact_cache
 from casewise.plans.landing import bronze_path, land, landed_path, rejected_path
 from casewise.plans.transform import run_transform
 from casewise.schema import (
@@ -34,17 +35,24 @@ from casewise.sources import (
     write_partitioned_ndjson,
 )
 from casewise.sources.bronze import PARTLY_READ, RAW_LINE
+from casewise.sources.cached import append_replies, read_replies
+from casewise.sources.commits import drop_commit
 from casewise.streaming import (
     BROKEN,
+    SEQUENCE,
+    committed,
     compact_landed,
+    counted_messages,
     file_messages,
     keyed_messages,
     land_distinct,
     land_stream,
     max_offsets,
+    publish_in_order,
     publish_to_files,
     read_distinct,
     read_landed,
+    to_files,
 )
 from casewise.workload import tables
 
@@ -639,6 +647,46 @@ def cache_split(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@query
+def cache_pruned(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A cache of all cases, landed twice and compacted; the Spanish cases of one source look it up."""
+    keyed = assessment.with_content_key(tables.text_cases(spark, sf_dir), MODEL, PROMPT)
+    whole, small = fresh_path(spark, "cache"), fresh_path(spark, "cache")
+    entries = materialize(tables.text_cache(spark, sf_dir, keyed), "entries")
+    for _ in range(2):
+        append_replies(entries, whole)
+    compact_cache(spark, whole, small)
+    asking = keyed.where("occur_country = 'es' AND drugs[0].active_substance = 'src1'")
+    hits, _ = assessment.split_by_cache(asking, read_replies(spark, small, asking))
+    return hits.select("safetyreportid", "input_tokens", "latency_ms")
+
+
+@query
+def assess_waves(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Assessment in waves, broken off after the second and taken up again by a new run."""
+    cases = materialize(tables.text_cases(spark, sf_dir), "cases")
+    resume, asked = fresh_path(spark, "resume"), []
+
+    class BrokenOff(Exception):
+        pass
+
+    def failing(case: DataFrame, attempt: int) -> DataFrame:
+        if attempt == 1 and len(asked) == 2:
+            raise BrokenOff
+        asked.extend([attempt] if attempt == 1 else [])
+        return tables.uneven_assessor(case, attempt)
+
+    def run(assessor) -> DataFrame:
+        return assess_in_waves(cases, assessor, MODEL, PROMPT, None, 4, resume)
+
+    try:
+        run(failing)
+    except BrokenOff:
+        pass
+    outcomes = run(tables.uneven_assessor)
+    return outcomes.select("safetyreportid", "status", "attempts", "reason", "billed_input_tokens")
+
+
 # --- ingest ----------------------------------------------------------------------
 
 
@@ -681,6 +729,20 @@ def window_capped(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@query
+def range_windows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every event with each of the windows it is in: uneven, overlapping ones, one per nation."""
+    first = _event_range(spark, sf_dir).select("start").scalar()
+    key = F.col("n_nationkey")
+    begin = F.date_add(first, (F.pmod(key * 13, F.lit(60)) - 15).cast("int"))
+    length = F.element_at(F.array(*map(F.lit, (1, 2, 3, 5, 10, 21, 45))), (F.pmod(key, F.lit(7)) + 1).cast("int"))
+    window = tables.table(spark, sf_dir, "nation")
+    window = window.select("n_name", begin.alias("first_day"), F.date_add(begin, length - 1).alias("last_day"))
+    event = tables.table(spark, sf_dir, "events").select("event_id", "ts")
+    met = windows.join_windows(event, F.col("ts").cast("date"), window, "first_day", "last_day")
+    return met.select("event_id", "n_name", "first_day", "last_day")
+
+
 @query
 def run_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All events landed without a cap; the manifest's counts and checksum."""
@@ -716,12 +778,17 @@ def _event_records(spark: SparkSession, sf_dir: str) -> DataFrame:
     return event.select("event_id", "user_id", "event_type", day.alias("day"))
 
 
+def _torn_events(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The other events, as lines that broke off."""
+    torn = tables.event_documents(spark, sf_dir).where("event_type = 'error'")
+    return torn.select(tables.torn_line().alias(RAW_LINE))
+
+
 @query
 def land_accounting(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every event with what became of it, as read back from the landed and rejected files."""
     start, end = _event_range(spark, sf_dir).first()
     start, end = start + timedelta(days=3), end - timedelta(days=3)
-    torn = tables.event_documents(spark, sf_dir).where("event_type = 'error'")
     root = fresh_path(spark, "landing")
     land(
         _event_records(spark, sf_dir),
@@ -733,7 +800,7 @@ def land_accounting(spark: SparkSession, sf_dir: str) -> DataFrame:
         dataset="events",
         ingest_date="2024-02-01",
         max_records_per_window=300,
-        broken=torn.select(tables.torn_line().alias(RAW_LINE)),
+        broken=_torn_events(spark, sf_dir),
     )
     place = (root, "events", "2024-02-01", start, end)
     schema = f"event_id BIGINT, {RAW_LINE} STRING, reason STRING"
@@ -744,11 +811,13 @@ def land_accounting(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def land_two_ranges(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Two ranges landed on one date, the first of them twice, and all read back."""
+    """Two ranges landed on one date, the first of them twice: all events with what became of
+    each in either range, read back."""
     start, end = _event_range(spark, sf_dir).first()
     middle = start + (end - start) // 2
     root = fresh_path(spark, "landing")
-    for first, last in ((start, middle), (middle + timedelta(days=1), end), (start, middle)):
+    ranges = ((start, middle), (middle + timedelta(days=1), end))
+    for first, last in (*ranges, ranges[0]):
         land(
             _event_records(spark, sf_dir),
             F.col("day").cast("date"),
@@ -758,9 +827,16 @@ def land_two_ranges(spark: SparkSession, sf_dir: str) -> DataFrame:
             root=root,
             dataset="events",
             ingest_date="2024-02-01",
+            broken=_torn_events(spark, sf_dir),
         )
     schema = T.StructType.fromDDL("event_id BIGINT, user_id BIGINT, event_type STRING, day STRING")
-    return split_corrupt(read_bronze(spark, bronze_path(root, "events"), schema))[0]
+    landed = split_corrupt(read_bronze(spark, bronze_path(root, "events"), schema))[0]
+    fates = [landed.withColumns({RAW_LINE: F.lit(None).cast("string"), "fate": F.lit("landed")})]
+    for first, last in ranges:
+        place = (root, "events", "2024-02-01", first, last)
+        rejected = spark.read.schema(T.StructType([*schema.fields]).add(RAW_LINE, T.StringType()).add("reason", T.StringType()))
+        fates.append(rejected.json(rejected_path(*place)).withColumnRenamed("reason", "fate"))
+    return fates[0].unionByName(fates[1]).unionByName(fates[2])
 
 
 # --- streaming -------------------------------------------------------------------
@@ -804,7 +880,8 @@ def stream_two_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def stream_to_silver(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Documents streamed with torn messages among them, then transformed from the landed folder."""
+    """Documents streamed with all torn messages of the events among them, then transformed from the
+    landed folder: the torn ones are what goes to quarantine."""
     line = F.to_json(F.struct("*")).alias("value")
     documents = tables.documents(spark, sf_dir).select(line)
     messages = documents.unionByName(tables.event_lines(spark, sf_dir).where("NOT endswith(value, '}')"))
@@ -820,16 +897,36 @@ def stream_to_silver(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@query
+def quarantine(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents of which older versions could be read in part only: every such line is kept,
+    and the newest versions are the reports."""
+    document = tables.documents(spark, sf_dir)
+    whole = F.to_json(F.struct("*"))
+    torn = F.concat(F.expr("left(_torn, length(_torn) - 1)"), F.lit(',"patient":"lost"}'))
+    bare = F.to_json(F.struct(*(name for name in document.columns if name != "patient")))
+    old = F.coalesce(F.col("safetyreportversion").try_cast("int") <= 10, F.lit(False))
+    lines = document.select(old.alias("_old"), whole.alias("_whole"), bare.alias("_torn"))
+    path, out, gold = (fresh_path(spark, name) for name in ("partly", "silver", "gold"))
+    lines.select(F.when(F.col("_old"), torn).otherwise(F.col("_whole")).alias("value")).write.text(path)
+    run_transform(spark, path, out, gold, max_null_rate=1.0, max_corrupt_rate=1.0)
+    names = ["safetyreportid", "safetyreportversion", "companynumb"]
+    report = read_silver(spark, out)[0].withColumnRenamed("company_number", "companynumb")
+    said = F.from_json(RAW_LINE, ", ".join(f"{name} STRING" for name in names))
+    lost = spark.read.parquet(f"{out}/quarantine").select(said.alias("said")).select("said.*")
+    return report.select(*names, F.lit("report").alias("output")).unionByName(
+        lost.select(*names, F.lit("quarantine").alias("output"))
+    )
+
+
 def _distinct(spark: SparkSession, parts: list[DataFrame], delay: str) -> DataFrame:
-    """The parts sent one after the other, a micro-batch each, landed once per event."""
-    topic = fresh_path(spark, "topic")
+    """The parts sent one after the other, a micro-batch of many files each, landed once per event."""
+    topic, out, checkpoint = (fresh_path(spark, name) for name in ("topic", "distinct", "checkpoint"))
     for part in parts:
-        lines = part.select(F.to_json(F.struct("*")).alias("value"))
-        lines.coalesce(1).write.mode("append").text(topic)
-    decoded = decode_lines(file_messages(spark, topic, files_per_batch=1), tables.EVENT_SCHEMA)
-    timed = decoded.drop(RAW_LINE, PARTLY_READ).withColumn("at", F.to_timestamp("event_ts"))
-    out = fresh_path(spark, "distinct")
-    land_distinct(timed, "event_id", "at", delay, out, fresh_path(spark, "checkpoint")).awaitTermination()
+        part.select(F.to_json(F.struct("*")).alias("value")).write.mode("append").text(topic)
+        decoded = decode_lines(file_messages(spark, topic), tables.EVENT_SCHEMA)
+        timed = decoded.drop(RAW_LINE, PARTLY_READ).withColumn("at", F.to_timestamp("event_ts"))
+        land_distinct(timed, "event_id", "at", delay, out, checkpoint).awaitTermination()
     return read_distinct(spark, out, timed.schema).drop("at")
 
 
@@ -847,6 +944,76 @@ def stream_late(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _distinct(spark, [event.where("event_id % 2 = 0"), event], "5 DAYS").select("event_id", "kind")
 
 
+@query
+def stream_replays(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Repeats whose event time is far later than the first one's, or whose first had none: the
+    first arrival stays, in time or late as it came."""
+    event = tables.event_documents(spark, sf_dir)
+    untimed = event.withColumn("event_ts", F.when(F.col("event_id") % 3 != 0, F.col("event_ts")))
+    later = (F.col("event_ts").cast("timestamp") + F.expr("INTERVAL 400 DAYS")).cast("string")
+    again = event.withColumn("event_ts", F.when(F.col("event_id") % 2 == 0, later).otherwise(F.col("event_ts")))
+    parts = [untimed.where("event_id % 2 = 0"), again, event]
+    return _distinct(spark, parts, "5 DAYS").select("event_id", "kind", "event_ts")
+
+
+@query
+def stream_commits(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Two streams into one folder; what one of them left without an entry in the log is not read."""
+    landed = fresh_path(spark, "landed")
+    for part in (0, 1):
+        topic = _topic_files(spark, tables.event_lines(spark, sf_dir, f"event_id % 2 = {part}"))
+        decoded = decode_lines(file_messages(spark, topic), tables.EVENT_SCHEMA)
+        land_stream(decoded, landed, fresh_path(spark, "checkpoint")).awaitTermination()
+        if not part:
+            (whole,) = committed(spark, landed)
+    for entry in committed(spark, landed):
+        if entry.place != whole.place:
+            drop_commit(spark, landed, entry.place)
+    return read_bronze(spark, landed, tables.EVENT_SCHEMA).select("event_id", RAW_LINE)
+
+
+@query
+def stream_admitted(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Customers as messages, admitted 200 to a batch at most, with a restart half-way."""
+    customer = tables.table(spark, sf_dir, "customer").orderBy("c_custkey")
+    lines = customer.select(F.to_json(F.struct("c_custkey", "c_name", "c_nationkey")).alias("value"))
+    topic, landed = _topic_files(spark, lines), fresh_path(spark, "landed")
+    checkpoint, position = fresh_path(spark, "checkpoint"), fresh_path(spark, "position")
+    schema = T.StructType.fromDDL("c_custkey BIGINT, c_name STRING, c_nationkey BIGINT")
+
+    def run(until) -> None:
+        messages = decode_lines(counted_messages(spark, topic, position, most=200), schema)
+        query = land_stream(messages, landed, checkpoint, trigger={"processingTime": "0 seconds"})
+        while query.isActive and not until(sum(entry.documents for entry in committed(spark, landed))):
+            query.awaitTermination(0.2)
+        query.stop()
+
+    every = customer.count()
+    run(lambda done: done >= every // 2)
+    run(lambda done: done >= every)
+    batch = F.regexp_extract(F.col("_metadata.file_path"), r"/batch=(\d+)/", 1).cast("bigint")
+    return read_landed(spark, landed, schema).select("*", batch.alias("batch"))
+
+
+@query
+def publish_ordered(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Events published in two batches, each user's in order of time, and landed: the place of
+    each among its user's messages, by their numbers."""
+    topic, source, checkpoint = (fresh_path(spark, name) for name in ("published", "source", "checkpoint"))
+    event = tables.event_documents(spark, sf_dir)
+    for part in (1, 0):
+        lines = event.where(F.col("event_id") % 2 == part).select(F.to_json(F.struct("*")).alias("value"))
+        lines.write.mode("append").text(source)
+        documents, _ = split_corrupt(decode_lines(file_messages(spark, source), tables.EVENT_SCHEMA))
+        position = [F.to_timestamp("event_ts"), F.col("event_id")]
+        publish_in_order(documents, "user_id", position, to_files(topic), checkpoint).awaitTermination()
+    landed, schema = fresh_path(spark, "landed"), T.StructType([*tables.EVENT_SCHEMA.fields]).add(SEQUENCE, T.LongType())
+    decoded = decode_lines(file_messages(spark, f"{topic}/batch=*"), schema)
+    land_stream(decoded, landed, fresh_path(spark, "checkpoint")).awaitTermination()
+    place = F.row_number().over(Window.partitionBy("user_id").orderBy(SEQUENCE))
+    return read_landed(spark, landed, schema).select("event_id", "user_id", place.alias("place"))
+
+
 @query
 def publish_land(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Events published as keyed messages, and landed from what was published."""

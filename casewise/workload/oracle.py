@@ -700,9 +700,58 @@ ORACLE: dict[str, str] = {
           CASE WHEN fate = 'landed' AND place > 300 THEN 'capped' ELSE fate END AS fate
         FROM placed
         UNION ALL SELECT NULL, {_TORN}, 'broken' FROM events WHERE event_type = 'error'""",
-    "land_two_ranges": """
-        SELECT event_id, user_id, event_type, ts::DATE::VARCHAR AS day
-        FROM events WHERE event_type <> 'error' AND user_id % 10 <> 0""",
+    "land_two_ranges": f"""
+        WITH readable AS (
+          SELECT event_id, user_id, event_type, CASE WHEN user_id % 10 <> 0 THEN ts::DATE::VARCHAR END AS day
+          FROM events WHERE event_type <> 'error'),
+        ranges AS (SELECT unnest([1, 2]) AS range)
+        SELECT *, NULL::VARCHAR AS raw_line, 'landed' AS fate FROM readable WHERE day IS NOT NULL
+        UNION ALL SELECT *, NULL, 'out_of_range' FROM readable WHERE day IS NOT NULL
+        UNION ALL SELECT readable.*, NULL, 'undated' FROM readable, ranges WHERE day IS NULL
+        UNION ALL SELECT NULL, NULL, NULL, NULL, {_TORN}, 'broken' FROM events, ranges
+        WHERE event_type = 'error'""",
+    "stream_replays": """
+        SELECT event_id, CASE WHEN event_id % 2 = 0 AND event_id % 3 = 0 THEN 'late'
+            WHEN event_id % 2 = 0 OR ts >= (
+              SELECT max(ts) FROM events WHERE event_id % 2 = 0 AND event_id % 3 <> 0) - INTERVAL 5 DAY
+            THEN 'in_time' ELSE 'late' END AS kind,
+          CASE WHEN event_id % 6 <> 0 THEN ts::VARCHAR END AS event_ts
+        FROM events""",
+    "stream_commits": f"""
+        SELECT event_id, NULL::VARCHAR AS raw_line FROM events WHERE event_type <> 'error' AND event_id % 2 = 0
+        UNION ALL SELECT NULL, {_TORN} FROM events WHERE event_type = 'error' AND event_id % 2 = 0""",
+    "stream_admitted": """
+        SELECT c_custkey::BIGINT AS c_custkey, c_name, c_nationkey::BIGINT AS c_nationkey,
+          (row_number() OVER (ORDER BY c_custkey) - 1) // 200 AS batch
+        FROM customer""",
+    "publish_ordered": """
+        SELECT event_id, user_id, row_number() OVER (
+          PARTITION BY user_id ORDER BY event_id % 2 DESC, ts, event_id)::INT AS place
+        FROM events""",
+    "range_windows": """
+        WITH windows AS (
+          SELECT n_name, first_day, first_day + [1, 2, 3, 5, 10, 21, 45][n_nationkey % 7 + 1] - 1 AS last_day
+          FROM (SELECT *, start + (n_nationkey * 13 % 60 - 15)::INT AS first_day
+            FROM nation, (SELECT min(ts)::DATE AS start FROM events)))
+        SELECT event_id, n_name, first_day, last_day
+        FROM events JOIN windows ON ts::DATE BETWEEN first_day AND last_day""",
+    "quarantine": _with(
+        _LATEST,
+        """SELECT id AS safetyreportid, version AS safetyreportversion, company AS companynumb,
+             'report' AS output FROM latest
+           UNION ALL
+           SELECT id, version, company, 'quarantine' FROM typed_precision WHERE TRY_CAST(version AS INT) <= 10""",
+    ),
+    "cache_pruned": _with(
+        _REPLIES,
+        """SELECT id AS safetyreportid, 7::BIGINT AS input_tokens, 11 AS latency_ms
+           FROM reply WHERE label = 'serious' AND lang = 'es' AND source = 'src1'""",
+    ),
+    "assess_waves": _with(
+        _REPLIES,
+        """SELECT id AS safetyreportid, status, attempts, reason, billed_input::BIGINT AS billed_input_tokens
+           FROM outcome""",
+    ),
     "price_percentiles": """
         WITH ranked AS (
           SELECT l_extendedprice AS price, row_number() OVER (ORDER BY l_extendedprice) AS r,

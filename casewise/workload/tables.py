@@ -40,6 +40,7 @@ _SCHEMAS = {
     "l_returnflag STRING, l_linestatus STRING, l_shipdate TIMESTAMP_NTZ",
     "part": "p_partkey BIGINT, p_name STRING, p_brand STRING, p_type STRING, p_size INT",
     "supplier": "s_suppkey BIGINT, s_name STRING, s_nationkey INT",
+    "customer": "c_custkey BIGINT, c_name STRING, c_nationkey INT",
     "nation": "n_nationkey INT, n_name STRING",
     "events": "event_id BIGINT, ts TIMESTAMP_NTZ, user_id BIGINT, event_type STRING, value DOUBLE",
     "documents": "doc_id BIGINT, text STRING, lang STRING, source STRING, n_chars BIGINT",
@@ -344,8 +345,8 @@ def torn_line() -> Column:
     return F.concat(F.lit('{"event_id": '), F.col("event_id").cast("string"), F.lit(', "event_type": "er'))
 
 
-def event_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+def event_lines(spark: SparkSession, sf_dir: str, which: str = "true") -> DataFrame:
     """One message text per event; those of type ``error`` break off half-way."""
     line = F.when(F.col("event_type") == "error", torn_line()).otherwise(F.to_json(F.struct("*")))
-    return event_documents(spark, sf_dir).select(line.alias("value"))
+    return event_documents(spark, sf_dir).where(which).select(line.alias("value"))
 
