@@ -7,11 +7,16 @@ are fitted by expectation maximisation: forward and backward passes count the pi
 segmentations by their chance.
 
 Words are runs of letters and of anything beyond ASCII, lower-cased. No piece crosses
-words, so a text's score needs each distinct word once; a worker remembers them. Runs of
-more than ``LONGEST_WORD`` letters are cut there, so that texts without spaces cost no more.
+words, so a text's score needs each distinct word once; a worker remembers them. A word of
+any length is summed over all its segmentations: one of more than ``LONGEST_WORD`` letters in
+strips of that many. What a strip does to the sums is a small matrix, made for many strips at
+once; one after the other they are applied to the sums of the strip before, so that texts
+without spaces cost their length.
 
-The sample has at most ``ROWS`` texts of each of the ``LANGUAGES`` most common languages,
-none longer than ``LONGEST``, and is trained on the driver.
+Every language is learned. The sample is trained on the driver: it has at most ``TEXTS`` texts
+in all, shared evenly by the languages, at most ``ROWS`` and at least one of each, none longer
+than ``LONGEST`` characters; a language of longer texts only is learned from its shortest.
+In the sample long words count as their strips. A language takes 128 KB of the model.
 
 Null texts and texts without a letter are ``und`` with score 0. If no language was learned,
 every text is ``und``. Of languages that fit equally well the first by name is taken.
@@ -34,15 +39,14 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from casewise.llm.textops import fold, map_texts
-from casewise.llm.training import WordValues, sampled_texts
+from casewise.llm.training import WordValues
 
 VOCABULARY = public_tokenizers.path("piece_bpe_32k.model")
 ROWS = 250
+TEXTS = 12_000
 LONGEST = 20_000
-LANGUAGES = 100
 ROUNDS = 4
 LONGEST_WORD = 24
-LONGEST_PIECE = 12
 UNKNOWN = 1e-8  # chance of a letter that no piece covers
 PRIOR = 0.01  # count that every piece starts with
 SHARPNESS = 0.2  # of the score: how much of each word's evidence counts
@@ -81,9 +85,8 @@ class Pieces:
         texts = sorted(
             {model.id_to_piece(i) for i in ids if not any(check(i) for check in special)}
         )
-        texts = [text for text in texts if len(text) <= LONGEST_PIECE]
         keys = np.array([_hashes(_codes([text]))[0, -1] for text in texts], np.uint64)
-        self.count = len(texts)
+        self.count, self.longest = len(texts), max(map(len, texts))
         self.order = np.argsort(keys)
         self.keys = keys[self.order]
 
@@ -104,12 +107,15 @@ def pieces(path: str) -> Pieces:
     return Pieces(path)
 
 
-def _by_length(words: list[bytes], rows: int) -> Iterator[tuple[np.ndarray, np.ndarray]]:
-    """Code points of the words, marked at the start and cut where too long, in groups
-    of one length and at most ``rows`` rows; with the place in ``words`` of each row."""
+def _marked(word: bytes) -> str:
+    return _START + word.decode("utf-8", "replace").lower()
+
+
+def _by_length(words: list[str], rows: int) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """Code points of the marked words, cut where too long, in groups of one length and at most
+    ``rows`` rows; with the place in ``words`` of each row."""
     groups: dict[int, tuple[list[str], list[int]]] = {}
-    for place, word in enumerate(words):
-        text = _START + word.decode("utf-8", "replace").lower()
+    for place, text in enumerate(words):
         for at in range(0, len(text), LONGEST_WORD):
             part = text[at : at + LONGEST_WORD]
             texts, places = groups.setdefault(len(part), ([], []))
@@ -127,7 +133,7 @@ def _lattice(vocabulary: Pieces, codes: np.ndarray) -> dict[tuple[int, int], np.
     power = np.cumprod(np.append(np.uint64(1), np.full(size, _BASE)))
     found = {}
     for stop in range(1, size + 1):
-        for start in range(max(0, stop - LONGEST_PIECE), stop):
+        for start in range(max(0, stop - vocabulary.longest), stop):
             part = vocabulary.find(prefix[:, stop] - prefix[:, start] * power[stop - start])
             if stop - start == 1 or (part < vocabulary.count).any():
                 found[start, stop] = part
@@ -151,6 +157,45 @@ def _chance(chances: np.ndarray, part: np.ndarray, length: int) -> np.ndarray:
     return found
 
 
+def _strips(vocabulary: Pieces, chances: np.ndarray, codes: np.ndarray) -> Iterator[np.ndarray]:
+    """For each strip of ``LONGEST_WORD`` letters the sums at its last places, for a way that begins
+    at each of the last places of the strip before: an array by last place, language, first place.
+
+    A row of ``codes`` has the letters of a strip behind those that a piece may begin in.
+    """
+    reach, languages = vocabulary.longest, chances.shape[1]
+    rows = max(1, 4_000 // max(1, languages))
+    for at in range(0, len(codes), rows):
+        part = codes[at : at + rows]
+        sums = np.zeros((part.shape[1] + 1, len(part), languages, reach))
+        for place in range(reach):
+            sums[place, :, :, place] = 1.0
+        for (start, stop), piece in _lattice(vocabulary, part).items():
+            if stop >= reach:
+                sums[stop] += sums[start] * _chance(chances, piece, stop - start)[:, :, None]
+        yield from sums[-reach:].transpose(1, 0, 2, 3)
+
+
+def _long_word(vocabulary: Pieces, chances: np.ndarray, text: str) -> np.ndarray:
+    """The log chance of a word of more than ``LONGEST_WORD`` letters in each language."""
+    reach, codes = vocabulary.longest, _codes([text])
+    head = codes.shape[1] % LONGEST_WORD or LONGEST_WORD
+    alpha = _forward(_lattice(vocabulary, codes[:, :head]), chances, 1, head)[:, 0]
+    state = np.zeros((reach, chances.shape[1]))
+    state[-min(reach, head + 1) :] = alpha[-reach:]
+    # Letters before the word: no way begins there.
+    padded = np.concatenate([np.zeros(reach, codes.dtype), codes[0]])
+    begins = np.arange(head, codes.shape[1], LONGEST_WORD)
+    spans = np.lib.stride_tricks.sliding_window_view(padded, reach - 1 + LONGEST_WORD)[begins + 1]
+    log = np.zeros(chances.shape[1])
+    for sums in _strips(vocabulary, chances, spans):
+        state = np.einsum("oli,il->ol", sums, state)
+        scale = state.max(0)
+        state /= scale
+        log += np.log(scale)
+    return log + np.log(state[-1])
+
+
 def _rows(languages: int) -> int:
     """Words to work on at once, so that a forward pass stays within some megabytes."""
     return max(500, 80_000 // max(1, languages))
@@ -167,10 +212,14 @@ class Unigrams:
     def words(self, words: list[bytes]) -> np.ndarray:
         """The log chance of each word in each language."""
         total = np.zeros((len(words), len(self.languages)), np.float32)
-        known = pieces(self.vocabulary)
-        for codes, places in _by_length(words, _rows(len(self.languages))):
+        known, marked = pieces(self.vocabulary), [_marked(word) for word in words]
+        whole = [place for place, text in enumerate(marked) if len(text) <= LONGEST_WORD]
+        for codes, places in _by_length([marked[i] for i in whole], _rows(len(self.languages))):
             alpha = _forward(_lattice(known, codes), self.chances, *codes.shape)
-            np.add.at(total, places, np.log(alpha[-1]).astype(np.float32))
+            total[np.array(whole)[places]] = np.log(alpha[-1])
+        for place, text in enumerate(marked):
+            if len(text) > LONGEST_WORD:
+                total[place] = _long_word(known, self.chances, text)
         return total
 
 
@@ -182,8 +231,9 @@ def fit(texts: list[tuple[str, bytes]], vocabulary: str = VOCABULARY) -> Unigram
     chances[-1] = UNKNOWN
     places: dict[bytes, int] = {}
     counted: dict[tuple[int, int], int] = {}
+    columns = {language: column for column, language in enumerate(languages)}
     for language, text in texts:
-        column = languages.index(language)
+        column = columns[language]
         for word in letter_words(text):
             key = places.setdefault(word, len(places)), column
             counted[key] = counted.get(key, 0) + 1
@@ -192,7 +242,7 @@ def fit(texts: list[tuple[str, bytes]], vocabulary: str = VOCABULARY) -> Unigram
         counts[row, column] = count
     groups = [
         (_lattice(known, codes), counts[rows], codes.shape)
-        for codes, rows in _by_length([*places], _rows(len(languages)))
+        for codes, rows in _by_length([*map(_marked, places)], _rows(len(languages)))
     ]
     for _ in range(ROUNDS):
         seen = np.full_like(chances, PRIOR)
@@ -212,34 +262,45 @@ def fit(texts: list[tuple[str, bytes]], vocabulary: str = VOCABULARY) -> Unigram
 
 
 def train(
-    docs: DataFrame, allowed: Column, rows: int = ROWS, vocabulary: str = VOCABULARY
+    docs: DataFrame,
+    allowed: Column,
+    rows: int = ROWS,
+    vocabulary: str = VOCABULARY,
+    texts: int = TEXTS,
+    longest: int = LONGEST,
 ) -> Unigrams:
-    """A model from at most ``rows`` texts of each language whose ``doc_id`` is ``allowed``."""
-    named = docs.select("doc_id", "lang", F.length("text").alias("size")).where(
-        F.col("doc_id").isNotNull() & F.col("lang").isNotNull() & allowed
+    """A model of all languages, from at most ``rows`` texts of each whose ``doc_id`` is ``allowed``."""
+    size = F.length("text").alias("size")
+    named = docs.select("doc_id", F.col("lang").cast("string").alias("lang"), size).where(
+        F.col("doc_id").isNotNull() & F.col("lang").isNotNull() & F.col("size").isNotNull() & allowed
+    )
+    share = max(1, min(rows, texts // max(1, named.select("lang").distinct().count())))
+    long = F.col("size") > longest
+    order = Window.partitionBy("lang").orderBy(
+        long, F.when(long, F.col("size")), F.xxhash64("doc_id"), "doc_id", "size"
     )
-    named = named.where(F.col("size") <= LONGEST)
-    common = named.groupBy("lang").count().orderBy(F.desc("count"), "lang").limit(LANGUAGES)
-    order = Window.partitionBy("lang").orderBy(F.xxhash64("doc_id"), "doc_id")
     chosen = (
-        named.join(F.broadcast(common.select("lang")), "lang", "left_semi")
-        .withColumn("place", F.row_number().over(order))
-        .where(F.col("place") <= rows)
-        .groupBy("doc_id")
-        .agg(F.min("lang").alias("lang"))
+        named.withColumn("place", F.row_number().over(order))
+        .where((F.col("place") <= share) & (~long | (F.col("place") == 1)))
+        .groupBy("doc_id", "lang", "size")
+        .agg(F.min("place").alias("place"))
     )
-    found = sampled_texts(docs, chosen, LONGEST, named="lang").toArrow()
-    texts = zip(
+    whole = docs.select("doc_id", F.col("lang").cast("string").alias("lang"), F.col("text").cast("string").alias("text"), size)
+    # As many rows as the sample has, of a few words each.
+    found = whole.join(F.broadcast(chosen), ["doc_id", "lang", "size"])
+    found = found.groupBy("doc_id", "lang", "size").agg(F.min_by("text", F.xxhash64("text")).alias("text")).toArrow()
+    pairs = zip(
         found["lang"].to_pylist(), found["text"].cast(pa.binary()).to_pylist(), strict=True
     )
-    return fit(sorted(texts), vocabulary)
+    return fit(sorted(pairs), vocabulary)
 
 
 def languages(docs: DataFrame, model: Unigrams) -> DataFrame:
     """``doc_id``, ``lang_pred`` and ``score`` of every row."""
 
     def make():
-        known = WordValues(model.words, limit=250_000)
+        # A value for each word and language, some megabytes in all.
+        known = WordValues(model.words, limit=max(4_000, 1_000_000 // max(1, len(model.languages))))
 
         def score(texts: list[bytes]) -> list[pa.Array]:
             words = [letter_words(text) for text in texts]

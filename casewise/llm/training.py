@@ -91,27 +91,32 @@ def calibrate(margins: np.ndarray, labels: np.ndarray, balanced: bool) -> tuple[
     return float(at[0] / spread), float(at[1] - at[0] * centre / spread)
 
 
+_WORD_BYTES = 32 << 20
+
+
 class WordValues:
     """Values of words, worked out once per distinct word while they fit.
 
     ``value`` maps distinct words to an array with a row for each. No more than ``limit``
-    words are remembered; then the table starts afresh.
+    words, of ``_WORD_BYTES`` in all, are remembered; then the table starts afresh.
     """
 
     def __init__(self, value: Callable[[list[bytes]], np.ndarray], limit: int = 400_000):
         self.value, self.limit = value, limit
         self.places: dict[bytes, int] = {}
+        self.held = 0
         self.table: np.ndarray | None = None
 
     def of(self, texts: list[list[bytes]]) -> np.ndarray:
         """The values of all words of all texts, one after the other."""
         distinct = set().union(*texts)
         new = list(distinct.difference(self.places))
-        if len(self.places) + len(new) > self.limit:
-            self.places, self.table, new = {}, None, list(distinct)
+        if len(self.places) + len(new) > self.limit or self.held > _WORD_BYTES:
+            self.places, self.table, self.held, new = {}, None, 0, list(distinct)
         if new:
             values = self.value(new)
             start = len(self.places)
+            self.held += sum(map(len, new))
             self.places.update(zip(new, range(start, start + len(new)), strict=True))
             self.table = values if self.table is None else np.concatenate([self.table, values])
         if self.table is None:

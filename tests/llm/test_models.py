@@ -7,7 +7,9 @@ import zlib
 import numpy as np
 import pytest
 
-from casewise.llm.language_id import VOCABULARY, fit, pieces
+from pyspark.sql import functions as F
+
+from casewise.llm.language_id import VOCABULARY, fit, languages, pieces, train
 from casewise.llm.queries import QUERIES
 from casewise.llm.toxicity import Softmax, fit as fit_toxicity
 from casewise.llm.training import calibrate
@@ -90,7 +92,7 @@ def test_forward_pass_sums_all_segmentations():
         chance = {}
         for i in range(own.get_piece_size()):
             text = own.id_to_piece(i)
-            if own.is_byte(i) or own.is_control(i) or own.is_unknown(i) or len(text) > 12:
+            if own.is_byte(i) or own.is_control(i) or own.is_unknown(i):
                 continue
             if all(letter in "▁otherdanta" for letter in text):
                 place = int(known.find(_hashes(_codes([text]))[:, -1])[0])
@@ -100,6 +102,59 @@ def test_forward_pass_sums_all_segmentations():
             assert found[row, column] == pytest.approx(expected, rel=1e-4)
 
 
+def _full_sum(model, text):
+    """Log chances of a word of any length: every letter's sum over all pieces that end there."""
+    from casewise.llm.language_id import _codes, _hashes
+
+    known = pieces(VOCABULARY)
+    sums = [np.zeros(len(model.languages))]
+    for stop in range(1, len(text) + 1):
+        ways = []
+        for start in range(stop):
+            piece = int(known.find(_hashes(_codes([text[start:stop]]))[:, -1])[0])
+            if piece < known.count or stop - start == 1:
+                ways.append(sums[start] + np.log(model.chances[piece]))
+        sums.append(np.logaddexp.reduce(ways, axis=0))
+    return sums[-1]
+
+
+@pytest.mark.parametrize("size", [23, 24, 25, 47, 48, 49, 150, 500])
+def test_long_words_are_summed_whole(size):
+    rng = np.random.default_rng(size)
+    model = fit([("aa", b"the other thing then internationalisation"), ("bb", b"das andere ding dann")])
+    word = "".join(rng.choice(list("theoranddingization"), size))
+    assert model.words([word.encode()])[0] == pytest.approx(_full_sum(model, "▁" + word), rel=1e-5)
+
+
+def test_every_language_is_learned(spark):
+    """120 languages of which one has long texts only, one a single text, one most of all rows."""
+    rng = np.random.default_rng(3)
+    letters = np.array(list("abcdefghiklmnoprstu"))
+    rows, held = [], []
+    for n in range(120):
+        words = ["".join(rng.choice(letters, 6)) for _ in range(12)]
+        count = 1 if n == 7 else 60 if n == 9 else 6
+        for _ in range(count):
+            size = 6_000 if n == 5 else 30
+            rows.append((len(rows), " ".join(rng.choice(words, size)), f"l{n:03}"))
+        held.append((10_000 + n, " ".join(rng.choice(words, 12)), None))
+    docs = spark.createDataFrame(rows + held, "doc_id bigint, text string, lang string")
+    model = train(docs, F.lit(True), texts=240)
+    assert model.languages == [f"l{n:03}" for n in range(120)]
+    found = {r.doc_id: r.lang_pred for r in languages(docs, model).where("doc_id >= 10000").collect()}
+    assert np.mean([found[10_000 + n] == f"l{n:03}" for n in range(120)]) > 0.95
+    assert found[10_005] == "l005" and found[10_007] == "l007"
+
+
+def test_one_text_of_a_long_word(spark):
+    docs = spark.createDataFrame(
+        [(1, "the house and the dog", "en"), (2, "der hund und das haus", "de"), (3, "x" * 300_000, "en"), (4, "haus" * 50_000, None)],
+        "doc_id bigint, text string, lang string",
+    )
+    found = {r.doc_id: r.lang_pred for r in languages(docs, train(docs, F.lit(True))).collect()}
+    assert found[1] == "en" and found[4] == "de"
+
+
 def test_misspellings_share_vectors():
     rng = np.random.default_rng(0)
     letters = np.array(list("abcdefghiklmnoprstu"))
