@@ -19,6 +19,7 @@ from collections.abc import Iterator
 from dataclasses import dataclass
 from functools import cached_property
 
+import numpy as np
 import pyarrow as pa
 import regex
 from pyspark.sql import DataFrame
@@ -129,13 +130,14 @@ def _base_places(text: bytes, phrase: str) -> list[int]:
 def scan(words: list[bytes], notices: list[Notice]) -> list[dict]:
     """All spans in a text, by their first word."""
     text = b" " + b" ".join(words) + b" "
+    begins = np.cumsum([1, *(len(word) + 1 for word in words)])
     found = []
 
     def add(notice: Notice, at: int, content: str, edits: int, base: bool) -> None:
         found.append(
             {
                 "label": notice.label,
-                "first_word": text.count(b" ", 0, at) - 1,
+                "first_word": int(np.searchsorted(begins, at, "right")) - 1,
                 "words": content.count(" ") + 1,
                 "edits": edits,
                 "text": content,
@@ -144,14 +146,16 @@ def scan(words: list[bytes], notices: list[Notice]) -> list[dict]:
         )
 
     for notice in notices:
-        exact = _base_places(text, notice.phrase) if notice.base else []
+        exact = dict.fromkeys(_base_places(text, notice.phrase) if notice.base else [])
         for at in exact:
             add(notice, at, notice.phrase, 0, True)
         for stretch in notice.stretches(text):
             first, last = _whole_characters(text, *stretch)
             part = text[first:last].decode("utf-8", "replace")
+            at, seen = first, 0
             for match in notice.pattern.finditer(part):
-                at = first + len(part[: match.start()].encode())
+                at += len(part[seen : match.start()].encode())
+                seen = match.start()
                 if at not in exact:
                     add(notice, at, match[0], sum(match.fuzzy_counts), False)
     return sorted(found, key=lambda span: (span["first_word"], span["label"], not span["base"]))

@@ -320,3 +320,13 @@ def test_long_sentences_are_cut_by_their_words():
     assert {*np.cumsum(counts).tolist()} == {*(i + 1 for i in chosen), 300}
     # Every gap of one word repeated is the least one.
     assert sentences(b"same " * 100).counts.tolist() == [1] * 100
+
+
+def test_a_very_long_text_full_of_notices():
+    """200,000 words: every place found, in seconds."""
+    words = [b"mit", b"license"] * 100_000
+    began = time.monotonic()
+    spans = scan(words, catalogue())
+    base = [span["first_word"] for span in spans if span["base"]]
+    assert base == list(range(0, 200_000, 2))
+    assert time.monotonic() - began < 60
