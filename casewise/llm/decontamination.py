@@ -1,13 +1,16 @@
 """Benchmark decontamination: test n-grams in a broadcast hash set, verified, cut out.
 
 A window is ``width`` consecutive words of a benchmark item; an item of fewer words, but
-not none, is one window. Documents are scanned row-locally: words outside the benchmark's
-vocabulary rule most windows out, a rolling hash finds the candidates among the rest, and
-every candidate is compared word for word.
+not none, is one window. Documents are scanned row-locally: a rolling hash over the words'
+hashes finds the candidates, by a table of bits first, and every candidate is compared word
+for word.
 
 The benchmark is broadcast in blocks of about ``BLOCK_BYTES`` of text at most, distinct rows
-dealt by the hash of id and text, so that no id makes a block large. A usual benchmark is one block and one pass without a shuffle; a larger one takes a pass per
-block, and what the earlier passes found is carried along in a written table.
+dealt by the hash of id and text, so that no id makes a block large. A block's window set is
+made once, on the driver: one buffer of text and a few sorted arrays, about four bytes in memory
+for each byte of text, which a worker loads once for all of its tasks. A usual benchmark is one
+block and one pass without a shuffle; a larger one takes a pass per block, and what the earlier
+passes found is carried along in a written table.
 
 Null and empty texts have no words and are clean. Items without an id or without words
 are no items. Repeated documents give a row each, repeated items count once.
@@ -17,7 +20,6 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 from functools import reduce
-from itertools import repeat
 
 import numpy as np
 import pyarrow as pa
@@ -25,7 +27,9 @@ from pyspark import Broadcast
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from casewise.llm.textops import byte_lists, fold, folded_words, small_batches
+from xxhash import xxh3_64_intdigest
+
+from casewise.llm.textops import byte_lists, fold, folded_words, ranges, small_batches
 from casewise.sources.workspace import materialize
 
 WIDTH = 10
@@ -37,43 +41,80 @@ _ODD = np.uint64(0x9E3779B97F4A7C15)
 _HITS = "array<struct<start:bigint,stop:bigint>>"
 
 
+def _word_hashes(words: list[bytes]) -> np.ndarray:
+    return np.fromiter(map(xxh3_64_intdigest, words), np.uint64, len(words))
+
+
 class WindowSet:
-    """The windows of a block of items, by length."""
+    """The windows of a block of items, by length.
+
+    ``text`` is all words of all items, each with a space behind it; ``begins`` is where each
+    word starts. Per length there are the windows' hashes in order, and the number of
+    each window's first word.
+    """
 
     def __init__(self, items: list[tuple[str, bytes]], width: int):
-        self.vocabulary: dict[bytes, int] = {}
-        self.owners: dict[bytes, set[str]] = {}
-        keys: dict[int, list[np.ndarray]] = {}
-        for item, text in items:
-            words = folded_words(text)
-            if not words:
-                continue
-            number = self.vocabulary.setdefault
-            ids = [number(word, len(self.vocabulary) + 1) for word in words]
-            length = min(width, len(words))
-            keys.setdefault(length, []).append(_rolled(np.array(ids, np.uint64), length))
-            for start in range(len(words) - length + 1):
-                window = b" ".join(words[start : start + length])
-                self.owners.setdefault(window, set()).add(item)
-        self.keys = {length: np.unique(np.concatenate(found)) for length, found in keys.items()}
+        rows = [(item, words) for item, text in items if (words := folded_words(text))]
+        self.names = [item for item, _ in rows]
+        counts = np.array([len(words) for _, words in rows], np.int64)
+        self.firsts = np.cumsum(counts) - counts  # of each item, its first word's number
+        self.text = b"".join(word + b" " for _, words in rows for word in words)
+        sizes = np.fromiter((len(word) + 1 for _, words in rows for word in words), np.int64)
+        self.begins = np.concatenate([[0], np.cumsum(sizes)]).astype(np.uint32)
+        hashes = _word_hashes([word for _, words in rows for word in words])
+        lengths = np.minimum(counts, width)
+        self.windows: dict[int, tuple[np.ndarray, np.ndarray]] = {}
+        for length in np.unique(lengths).tolist():
+            own = lengths == length
+            starts = ranges(self.firsts[own], counts[own] - length + 1)
+            keys = _rolled(hashes, length)[starts]
+            owners = np.searchsorted(self.firsts, starts, "right")
+            order = np.lexsort((starts, owners, keys))
+            keys, starts, owners = keys[order], starts[order], owners[order]
+            keep = np.ones(len(keys), bool)
+            # A window that an item repeats is kept once.
+            again = (keys[1:] == keys[:-1]) & (owners[1:] == owners[:-1])
+            for at in (np.flatnonzero(again) + 1).tolist():
+                keep[at] = self._window(starts[at - 1], length) != self._window(starts[at], length)
+            self.windows[length] = keys[keep], starts[keep].astype(np.uint32)
+        # One bit in a thousand set at most, so that few other windows get through.
+        found = sum(len(keys) for keys, _ in self.windows.values())
+        self.bits = min(27, max(16, found.bit_length() + 4))
+        self.seen = np.zeros(1 << (self.bits - 3), np.uint8)
+        for keys, _ in self.windows.values():
+            place = keys >> np.uint64(64 - self.bits)
+            np.bitwise_or.at(self.seen, place >> np.uint64(3), np.uint8(1) << (place & np.uint64(7)).astype(np.uint8))
+
+    def _window(self, at: int, length: int) -> bytes:
+        return self.text[self.begins[at] : self.begins[at + length]]
+
+    def _maybe(self, keys: np.ndarray) -> np.ndarray:
+        """Where a hash may be one of the set's."""
+        place = keys >> np.uint64(64 - self.bits)
+        bit = self.seen[place >> np.uint64(3)] >> (place & np.uint64(7)).astype(np.uint8)
+        return np.flatnonzero(bit & np.uint8(1))
 
     def search(self, words: list[bytes]) -> tuple[np.ndarray, set[str]]:
         """A flag per word, and the items of which a window occurs."""
-        count = len(words)
-        hit, items = np.zeros(count, bool), set()
-        ids = np.fromiter(map(self.vocabulary.get, words, repeat(0)), np.uint64, count)
-        unknown = np.concatenate([[0], np.cumsum(ids == 0)])
-        for length, keys in self.keys.items():
-            starts = np.flatnonzero(unknown[length:] == unknown[:-length])
-            if not starts.size:
-                continue
-            rolled = _rolled(ids, length)[starts]
-            at = np.minimum(np.searchsorted(keys, rolled), len(keys) - 1)
-            for start in starts[keys[at] == rolled].tolist():
-                owners = self.owners.get(b" ".join(words[start : start + length]))
-                if owners:
+        hit, items = np.zeros(len(words), bool), set()
+        hashes = _word_hashes(words)
+        for length, (keys, starts) in self.windows.items():
+            rolled = _rolled(hashes, length)
+            maybe = self._maybe(rolled)
+            found = rolled[maybe]
+            first, last = np.searchsorted(keys, found), np.searchsorted(keys, found, "right")
+            known: dict[bytes, bool] = {}
+            for start, a, b in zip(maybe.tolist(), first.tolist(), last.tolist(), strict=True):
+                if a == b:
+                    continue
+                window = b" ".join(words[start : start + length]) + b" "
+                if window not in known:
+                    same = [at for at in starts[a:b].tolist() if self._window(at, length) == window]
+                    owners = np.searchsorted(self.firsts, same, "right") - 1
+                    items.update(self.names[owner] for owner in owners.tolist())
+                    known[window] = bool(same)
+                if known[window]:
                     hit[start : start + length] = True
-                    items |= owners
         return hit, items
 
 
@@ -117,9 +158,10 @@ def _blocks(docs: DataFrame, benchmark: DataFrame, block_bytes: int) -> list[Dat
     return [items.where(place == block) for block in range(blocks)]
 
 
-def _shared(items: DataFrame) -> Broadcast:
+def _shared(items: DataFrame, width: int) -> Broadcast:
+    """The window set of a block, whose bytes are bounded."""
     rows = [(row.item, row.text.encode()) for row in items.toLocalIterator()]
-    return items.sparkSession.sparkContext.broadcast(rows)
+    return items.sparkSession.sparkContext.broadcast(WindowSet(rows, width))
 
 
 def find_windows(
@@ -138,13 +180,13 @@ def find_windows(
     for block, items in enumerate(_blocks(docs, benchmark, block_bytes)):
         if block:
             found = materialize(found, "decontamination-block")
-        found = found.mapInArrow(_scanner(_shared(items), width), found.schema)
+        found = found.mapInArrow(_scanner(_shared(items, width)), found.schema)
     return found
 
 
-def _scanner(shared, width: int):
+def _scanner(shared: Broadcast):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        windows = WindowSet(shared.value, width)
+        windows = shared.value
         for batch in batches:
             columns = {name: batch.column(name) for name in batch.schema.names}
             texts = columns["text"].cast(pa.binary()).to_pylist()
@@ -206,7 +248,7 @@ def decontaminate(
     blocks = _blocks(docs, benchmark, block_bytes)
     rows = docs.select(F.struct("*").alias("row"), F.col("text").cast("string").alias("text"))
     if len(blocks) == 1:
-        rows = rows.select("row", _cleaner(_shared(blocks[0]), width)("text").alias("clean"))
+        rows = rows.select("row", _cleaner(_shared(blocks[0], width))("text").alias("clean"))
         rows = rows.where(F.col("clean.share") <= drop_share)
         text = F.when(F.col("clean.share") > 0, F.col("clean.text")).otherwise(F.col("row.text"))
         return _with_text(rows, text, docs.columns)
@@ -233,15 +275,15 @@ def _marked(rows: DataFrame, blocks: list[DataFrame], width: int) -> DataFrame:
     kind = f"struct<hits:{_HITS},share:double>"
     rows = rows.withColumn("marks", F.lit(None).cast(kind))
     for items in blocks:
-        mark = _marker(_shared(items), width)("text", "marks.hits")
+        mark = _marker(_shared(items, width))("text", "marks.hits")
         rows = materialize(rows.withColumn("marks", mark), "decontamination-block")
     return rows
 
 
-def _marker(shared: Broadcast, width: int):
+def _marker(shared: Broadcast):
     @F.arrow_udf(f"hits {_HITS}, share double")
     def mark(columns: Iterator[tuple[pa.Array, pa.Array]]) -> Iterator[pa.Array]:
-        windows = WindowSet(shared.value, width)
+        windows = shared.value
         kind = pa.list_(pa.struct([("start", pa.int64()), ("stop", pa.int64())]))
         for texts, before in columns:
             hits, shares = [], []
@@ -268,10 +310,10 @@ def _cutter():
     return cut
 
 
-def _cleaner(shared: Broadcast, width: int):
+def _cleaner(shared: Broadcast):
     @F.arrow_udf("text string, share double")
     def clean(texts: Iterator[pa.Array]) -> Iterator[pa.Array]:
-        windows = WindowSet(shared.value, width)
+        windows = shared.value
         for one in texts:
             rows = [_cleaned(text, windows) for text in byte_lists(one)]
             yield pa.StructArray.from_arrays(

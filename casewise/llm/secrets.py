@@ -84,52 +84,98 @@ WEAK = (
 )
 KINDS = BASE + WEAK
 _KEY = ["key", "key2"]
-_PART = "struct<start:int,listed:int,stop:int,kind:string>"
+# ``first`` and ``last`` are the bytes of the text that ``start`` and ``stop`` stand at.
+_PART = "struct<start:int,listed:int,stop:int,kind:string,first:int,last:int>"
 
+# Running sums over an array are made for so many entries at a time, then over the groups: an
+# array that grows entry by entry is copied each time.
+_GROUP = 64
 
-def _matches(text: Column, kind: Kind, listed: int) -> Column:
-    """The matches of one kind as parts, in their order."""
+
+def _grouped(items: Column) -> Column:
+    """An array as an array of arrays of ``_GROUP`` entries."""
+    last = F.floor(F.greatest(F.size(items) - 1, F.lit(0)) / _GROUP).cast("int")
+    return F.transform(F.sequence(F.lit(0), last), lambda n: F.slice(items, n * _GROUP + 1, _GROUP))
+
+
+def _steps(text: Column, kind: Kind) -> Column:
+    """Per match of one kind the lengths of the gap before it and of itself, in characters and
+    bytes, and whether it counts."""
     pattern = F.lit(kind.pattern)
     gaps = F.split(text, kind.pattern, -1)
     whole = F.regexp_extract_all(text, pattern, F.lit(0))
     asked = F.regexp_extract_all(text, pattern, F.lit(kind.group)) if kind.group else whole
-    steps = F.zip_with(
-        F.zip_with(
-            F.slice(gaps, F.lit(1), F.size(whole)),
-            whole,
-            lambda gap, match: F.struct(
-                F.length(gap).alias("gap"), F.length(match).alias("size"), match.alias("match")
-            ),
-        ),
-        asked,
-        lambda step, value: step.withField("value", value),
-    )
 
-    def good(step: Column) -> Column:
-        enough = F.length(step["value"]) >= kind.least
+    def sizes(gap: Column, match: Column) -> Column:
+        enough = F.length(match) >= kind.least if not kind.group else F.lit(True)
         for held in kind.holds:
-            enough &= step["match"].rlike(held)
-        return enough
+            enough &= match.rlike(held)
+        return F.struct(
+            F.length(gap).alias("gap"),
+            F.length(match).alias("size"),
+            F.octet_length(gap).alias("gap_bytes"),
+            F.octet_length(match).alias("bytes"),
+            enough.alias("good"),
+        )
+
+    steps = F.zip_with(F.slice(gaps, F.lit(1), F.size(whole)), whole, sizes)
+    if kind.group:
+        steps = F.zip_with(
+            steps, asked, lambda step, value: step.withField("good", step["good"] & (F.length(value) >= kind.least))
+        )
+    return F.when(text.rlike(kind.pattern), steps)
+
+
+def _relative(steps: Column, kind: Kind, listed: int) -> Column:
+    """Per group of matches its parts, counted from the group's start, and its length."""
 
     def advance(state: Column, step: Column) -> Column:
-        start = state["at"] + step["gap"]
+        start, first = state["at"] + step["gap"], state["byte"] + step["gap_bytes"]
         part = F.struct(
             start.alias("start"),
             F.lit(listed).alias("listed"),
             (start + step["size"]).alias("stop"),
             F.lit(kind.name).alias("kind"),
+            first.alias("first"),
+            (first + step["bytes"]).alias("last"),
         ).cast(_PART)
         return F.struct(
             (start + step["size"]).alias("at"),
-            F.when(good(step), F.concat(state["parts"], F.array(part)))
+            (first + step["bytes"]).alias("byte"),
+            F.when(step["good"], F.concat(state["parts"], F.array(part)))
             .otherwise(state["parts"])
             .alias("parts"),
         )
 
     none = F.array().cast(f"array<{_PART}>")
-    start = F.struct(F.lit(0).alias("at"), none.alias("parts"))
-    found = F.aggregate(steps, start, advance, lambda state: state["parts"])
-    return F.when(text.rlike(kind.pattern), found).otherwise(none)
+    start = F.struct(F.lit(0).alias("at"), F.lit(0).alias("byte"), none.alias("parts"))
+    return F.transform(_grouped(steps), lambda group: F.aggregate(group, start, advance))
+
+
+def _absolute(groups: Column) -> Column:
+    """The parts of all groups, counted from the start of the text."""
+    zero = F.array(F.struct(F.lit(0).alias("at"), F.lit(0).alias("byte")))
+
+    def add(before: Column, group: Column) -> Column:
+        last = F.element_at(before, -1)
+        more = F.struct((last["at"] + group["at"]).alias("at"), (last["byte"] + group["byte"]).alias("byte"))
+        return F.concat(before, F.array(more))
+
+    def moved(group: Column, by: Column) -> Column:
+        def move(part: Column) -> Column:
+            return F.struct(
+                (part["start"] + by["at"]).alias("start"),
+                part["listed"].alias("listed"),
+                (part["stop"] + by["at"]).alias("stop"),
+                part["kind"].alias("kind"),
+                (part["first"] + by["byte"]).alias("first"),
+                (part["last"] + by["byte"]).alias("last"),
+            )
+
+        return F.transform(group["parts"], move)
+
+    starts = F.slice(F.aggregate(groups, zero, add), F.lit(1), F.size(groups))
+    return F.flatten(F.zip_with(groups, starts, moved)).cast(f"array<{_PART}>")
 
 
 def _keyed(docs: DataFrame) -> tuple[Column, Column]:
@@ -140,15 +186,25 @@ def _keyed(docs: DataFrame) -> tuple[Column, Column]:
 
 
 def _parts(docs: DataFrame) -> DataFrame:
-    """Per document its keys, id and all its parts, written once so that texts are read once."""
+    """Per document its keys, id and all its parts, written once so that texts are read once.
+
+    Each step works on columns of the one before, so that nothing is worked out per entry.
+    """
     narrow = docs.select("doc_id", F.col("text").cast("string").alias("text"))
     text = F.coalesce("text", F.lit(""))
-    found = narrow.select(
-        *_keyed(narrow),
-        "doc_id",
-        F.concat(*(_matches(text, kind, i) for i, kind in enumerate(KINDS))).alias("parts"),
+    names = [kind.name for kind in KINDS]
+    kept = [*_KEY, "doc_id"]
+    steps = narrow.select(*_keyed(narrow), "doc_id", *(_steps(text, kind).alias(kind.name) for kind in KINDS))
+    groups = steps.select(
+        *kept,
+        *(
+            F.when(F.col(kind.name).isNotNull(), _relative(F.col(kind.name), kind, i)).alias(kind.name)
+            for i, kind in enumerate(KINDS)
+        ),
     )
-    return materialize(found, "secret-parts")
+    none = F.array().cast(f"array<{_PART}>")
+    parts = (F.when(F.col(name).isNotNull(), _absolute(F.col(name))).otherwise(none) for name in names)
+    return materialize(groups.select(*kept, F.concat(*parts).alias("parts")), "secret-parts")
 
 
 def _linked(found: DataFrame, reach: int) -> DataFrame:
@@ -214,23 +270,40 @@ def redact_secrets(docs: DataFrame, reach: int = REACH) -> DataFrame:
         .select(*_KEY, "spans")
     )
     rows = docs.select(F.struct("*").alias("row"), "doc_id", F.col("text").cast("string"))
-    rows = rows.select("row", "text", *_keyed(rows))
+    rows = rows.select("row", F.col("text").cast("binary").alias("octets"), *_keyed(rows))
+    groups = rows.join(spans.select(*_KEY, _grouped(F.col("spans")).alias("groups")), _KEY, "left")
+
+    def furthest(at: Column, span: Column) -> Column:
+        return F.greatest(at, span["last"])
+
+    def reached(before: Column, group: Column) -> Column:
+        return F.concat(before, F.array(F.aggregate(group, F.element_at(before, -1), furthest)))
+
+    marked = groups.select(
+        "row", "octets", "groups", F.aggregate("groups", F.array(F.lit(0)), reached).alias("ends")
+    )
+
+    def text_of(first: Column, size: Column) -> Column:
+        return F.substring("octets", first + 1, size).cast("string")
 
     def cut(state: Column, span: Column) -> Column:
-        new = span["start"] >= state["at"]
-        gap = F.substring("text", state["at"] + 1, span["start"] - state["at"])
-        mark = F.concat(state["out"], gap, F.lit("["), span["kind"], F.lit("]"))
+        # A span that begins inside an earlier one adds no mark.
+        mark = F.concat(text_of(state["at"], span["first"] - state["at"]), F.lit("["), span["kind"], F.lit("]"))
+        new = span["first"] >= state["at"]
         return F.struct(
-            F.greatest(state["at"], span["stop"]).alias("at"),
-            F.when(new, mark).otherwise(state["out"]).alias("out"),
+            furthest(state["at"], span).alias("at"),
+            F.when(new, F.concat(state["out"], F.array(mark))).otherwise(state["out"]).alias("out"),
         )
 
-    start = F.struct(F.lit(0).alias("at"), F.lit("").alias("out"))
-    rest = lambda s: F.concat(s["out"], F.substring("text", s["at"] + 1, F.length("text")))
-    clean = F.when(F.col("spans").isNull(), F.col("text")).otherwise(
-        F.aggregate("spans", start, cut, rest)
-    )
+    def pieces(group: Column, at: Column) -> Column:
+        start = F.struct(at.alias("at"), F.array().cast("array<string>").alias("out"))
+        return F.aggregate(group, start, cut, lambda state: state["out"])
+
+    begins = F.slice("ends", F.lit(1), F.size("groups"))
+    rest = text_of(F.element_at("ends", -1), F.length("octets"))
+    clean = F.concat(F.array_join(F.flatten(F.zip_with("groups", begins, pieces)), ""), rest)
+    text = F.when(F.col("groups").isNull(), F.col("row.text").cast("string")).otherwise(clean)
     columns = [
-        clean.alias("text") if name == "text" else F.col(f"row.`{name}`") for name in docs.columns
+        text.alias("text") if name == "text" else F.col(f"row.`{name}`") for name in docs.columns
     ]
-    return rows.join(spans, _KEY, "left").select(*columns)
+    return marked.select(*columns)

@@ -3,11 +3,13 @@
 from __future__ import annotations
 
 import hashlib
+import pickle
 import re
+import time
 
 from oracle_check import differences, open_tables
 
-from casewise.llm.decontamination import _blocks, contamination, decontaminate
+from casewise.llm.decontamination import WindowSet, _blocks, contamination, decontaminate
 from casewise.llm.oracle import ORACLE
 from casewise.llm.queries import QUERIES
 
@@ -121,3 +123,20 @@ def test_query(spark):
     assert differences(QUERIES[name](spark, SMALL), open_tables(SMALL), ORACLE[name]) == []
     empty = hashlib.sha256(b"").hexdigest()
     assert QUERIES[name](spark, SMALL).where(f"items_sha256 = '{empty}' AND contaminated").count() == 0
+
+
+def test_a_large_block_stays_small(spark):
+    """Bytes that are broadcast, against those of the text; and long documents full of windows."""
+    words = [f"w{i * 7919 % 100_003}" for i in range(300_000)]
+    items = [(str(i), " ".join(words[i : i + 100]).encode()) for i in range(0, 300_000, 100)]
+    windows = WindowSet(items, 10)
+    size = sum(len(text) for _, text in items)
+    assert len(pickle.dumps(windows)) < 6 * size
+    began = time.monotonic()
+    hit, found = windows.search([word.encode() for word in words])
+    assert hit.all() and found == {item for item, _ in items}
+    hit, found = windows.search([b"no", b"such", b"words"] * 70_000)
+    assert not hit.any() and not found
+    hit, found = WindowSet([("a", b"same " * 12), ("b", b"same " * 15)], 10).search([b"same"] * 2_000)
+    assert hit.all() and found == {"a", "b"}
+    assert time.monotonic() - began < 30

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import re
+import time
 
 from oracle_check import differences, open_tables
 
@@ -99,6 +100,37 @@ def test_redaction(spark):
     assert found == {0: "keep é", 1: 'a [assign]" b', 2: "[hex] [access]", 3: "[assign]!", 4: None}
 
 
+def test_a_very_long_text_full_of_matches(spark):
+    """20,000 assignments in characters of one to four bytes: every span, and each of them cut."""
+    units = [f"{gap} token=abcdefgh{i:06}" for i, gap in zip(range(20_000), ["é", "-", "𝄞x", "漢字"] * 5_000, strict=True)]
+    text = "".join(f"{unit} " for unit in units)
+    began = time.monotonic()
+    found = _spans(spark, [text])[0]
+    expected = [("assign", m.start(), m.end()) for m in re.finditer(r"token=abcdefgh\d{6}", text)]
+    assert [tuple(span)[:3] for span in found] == expected
+    docs = spark.createDataFrame([(0, text)], "doc_id bigint, text string")
+    clean = redact_secrets(docs).first().text
+    assert clean == re.sub(r"token=abcdefgh\d{6}", "[assign]", text)
+    assert time.monotonic() - began < 120
+
+
+def test_redaction_of_overlapping_spans_by_plain_loops(spark):
+    """Spans that begin inside an earlier one go with it, over the borders of groups too."""
+    texts = [
+        "é" * n + " ".join([f"secret={BLOB}", ACCESS, f"https://u:{'ab' * 20}@h/x?token={'cd' * 20}"][: 1 + k % 3] * k)
+        for n, k in ((0, 1), (3, 2), (5, 63), (1, 64), (2, 65), (0, 200))
+    ]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id bigint, text string")
+    clean = {row.doc_id: row.text for row in redact_secrets(docs).collect()}
+    for i, spans in _spans(spark, texts).items():
+        out, at = [], 0
+        for kind, start, stop in (tuple(span)[:3] for span in spans):
+            if start >= at:
+                out.append(texts[i][at:start] + f"[{kind}]")
+            at = max(at, stop)
+        assert clean[i] == "".join(out) + texts[i][at:]
+
+
 def test_query(spark):
     name = "op10_secret_scan"
     assert differences(QUERIES[name](spark, SMALL), open_tables(SMALL), ORACLE[name]) == []

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import re
+import time
 import zlib
 from collections import Counter
 
