@@ -332,19 +332,18 @@ def drop_near_duplicates(docs: DataFrame, **options) -> DataFrame:
 
 
 def keep_firsts(docs: DataFrame, classes: DataFrame) -> DataFrame:
-    """The rows of ``docs`` that are the first document of a component, each once."""
+    """The rows of ``docs`` that are the first document of a component, each once.
+
+    Whole rows are cut by the semi join first; only what is left is ranked.
+    """
     kept = classes.where("print = root").select(
         F.col("first.doc_id").alias("kept_id"), F.col("first.text_key").alias("kept_key")
     )
     rows = docs.select(F.struct("*").alias("row"), "doc_id", F.xxhash64("text").alias("text_key"))
     copies = Window.partitionBy("doc_id", "text_key").orderBy(F.xxhash64("row"))
-    return (
-        rows.withColumn("copy", F.row_number().over(copies))
-        .where("copy = 1")
-        .join(
-            kept,
-            F.col("doc_id").eqNullSafe(F.col("kept_id")) & (F.col("text_key") == F.col("kept_key")),
-            "left_semi",
-        )
-        .select("row.*")
+    firsts = rows.join(
+        kept,
+        F.col("doc_id").eqNullSafe(F.col("kept_id")) & (F.col("text_key") == F.col("kept_key")),
+        "left_semi",
     )
+    return firsts.withColumn("copy", F.row_number().over(copies)).where("copy = 1").select("row.*")

@@ -1,7 +1,7 @@
 """Quality rules: a hashed n-gram logistic regression, calibrated, against fixed thresholds.
 
 A text is two histograms side by side: its words and pairs of words, and its runs of four
-bytes, each hashed to ``2 ** BITS`` places, under a square root and scaled to length one.
+characters, each hashed to ``2 ** BITS`` places, under a square root and scaled to length one.
 A logistic regression is trained on most of a bounded sample of labelled texts; the rest
 of the sample turns its margin into a probability. Rules that need no training come first:
 a text that is too short or repeats itself fails whatever the probability is.
@@ -58,10 +58,11 @@ def histogram(text: bytes, ids: np.ndarray, distinct: list[bytes]) -> np.ndarray
     """Both histograms of a text whose words are ``distinct[ids]``."""
     keys = np.fromiter(map(zlib.crc32, distinct), np.uint64, len(distinct))[ids]
     pairs = keys[:-1] * np.uint64(0x100000001B3) + keys[1:] + np.uint64(1)
-    octets = np.frombuffer(text, np.uint8).astype(np.uint64)
-    runs = np.zeros(max(0, len(octets) - GRAM + 1), np.uint64)
+    points = np.frombuffer(text.decode("utf-8", "replace").encode("utf-32-le"), np.uint32)
+    runs = np.zeros(max(0, len(points) - GRAM + 1), np.uint64)
     for place in range(GRAM):
-        runs |= octets[place : place + len(runs)] << np.uint64(8 * place)
+        runs *= np.uint64(0x100000001B3)
+        runs += points[place : place + len(runs)]
     words = np.bincount(np.concatenate([_places(keys), _places(pairs)]), minlength=_SIZE)
     return np.concatenate([_unit(words), _unit(np.bincount(_places(runs), minlength=_SIZE))])
 

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import zlib
+from collections import Counter
 
 import numpy as np
 import pytest
@@ -10,7 +11,10 @@ import pytest
 from pyspark.sql import functions as F
 
 from casewise.llm.language_id import VOCABULARY, fit, languages, pieces, train
+from casewise.llm import quality_rules
+from casewise.llm.quality_rules import histogram
 from casewise.llm.queries import QUERIES
+from casewise.llm.textops import word_numbers
 from casewise.llm.toxicity import Softmax, fit as fit_toxicity
 from casewise.llm.training import calibrate
 
@@ -67,6 +71,29 @@ def test_quality_rules(spark, truth):
     assert np.mean(bad) < 0.15
 
 
+def test_histogram_by_plain_loops():
+    """Words, pairs and runs of four characters, not of bytes."""
+    text = "größe é größe 𝄞x"
+    words = [word.encode() for word in text.split()]
+    ids, seen = word_numbers(words)
+    found = histogram(text.encode(), ids, [*seen])
+    place = lambda key: (key * 0x9E3779B97F4A7C15 % 2**64) >> (64 - quality_rules.BITS)
+    prime, expected = 0x100000001B3, [Counter(), Counter()]
+    keys = [zlib.crc32(word) for word in words]
+    expected[0].update(place(key) for key in keys)
+    expected[0].update(place((a * prime + b + 1) % 2**64) for a, b in zip(keys, keys[1:], strict=False))
+    for at in range(len(text) - 3):
+        key = 0
+        for letter in text[at : at + 4]:
+            key = (key * prime + ord(letter)) % 2**64
+        expected[1][place(key)] += 1
+    for half, counts in enumerate(expected):
+        values = found[half * quality_rules._SIZE : (half + 1) * quality_rules._SIZE]
+        assert {int(i) for i in np.flatnonzero(values)} == set(counts)
+        total = sum(counts.values())
+        assert all(values[i] == pytest.approx((n / total) ** 0.5, rel=1e-5) for i, n in counts.items())
+
+
 def _segmentations(text, chance):
     """The summed chance of all segmentations, one by one."""
     if not text:
