@@ -14,6 +14,8 @@ from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
 
+from casewise.sources.workspace import remove_folder
+
 # Hidden from scans of the landed folder.
 LOG = "_commits"
 
@@ -28,8 +30,7 @@ def _entry(path: str, place: str) -> str:
 
 def drop_commit(spark: SparkSession, path: str, place: str) -> None:
     """The batch is about to be written again and counts for nothing until then."""
-    entry = spark._jvm.org.apache.hadoop.fs.Path(_entry(path, place))
-    entry.getFileSystem(spark._jsc.hadoopConfiguration()).delete(entry, True)
+    remove_folder(spark, _entry(path, place))
 
 
 def commit_batch(

@@ -38,6 +38,12 @@ def fresh_path(spark: SparkSession, label: str) -> str:
     return f"{folder}/{label}-{uuid.uuid4().hex}"
 
 
+def remove_folder(spark: SparkSession, folder: str) -> None:
+    """Delete a folder that nothing reads any more; none is fine."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+    path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+
+
 @contextmanager
 def run_folder(spark: SparkSession) -> Iterator[str]:
     """A folder for the tables of one run; it goes when the run ends, failed or not.
@@ -54,8 +60,7 @@ def run_folder(spark: SparkSession) -> Iterator[str]:
         yield folder
     finally:
         _run_folder.reset(token)
-        path = spark._jvm.org.apache.hadoop.fs.Path(folder)
-        path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+        remove_folder(spark, folder)
 
 
 def materialize(df: DataFrame, label: str) -> DataFrame:
