@@ -1,0 +1,114 @@
+"""Scores of single texts, worked out by plain loops."""
+
+from __future__ import annotations
+
+import zlib
+from bisect import bisect_right
+from math import exp, log1p
+
+import numpy as np
+import pytest
+from hypothesis import given, settings
+from hypothesis import strategies as st
+
+from casewise.llm import toxicity
+from casewise.llm.quality_classifier import FEATURES, Additive, features
+from casewise.llm.toxicity import Softmax
+
+WORDS = st.text(alphabet="abAB1!|.é#", min_size=1, max_size=5)
+TEXTS = st.lists(st.lists(WORDS, max_size=8).map(" ".join), max_size=5).map("\n".join)
+
+
+def _share(part, whole):
+    return part / whole if whole else 0.0
+
+
+@settings(max_examples=150, deadline=None)
+@given(TEXTS)
+def test_features_by_plain_loops(text):
+    octets, words = text.encode(), [word.encode() for word in text.split()]
+    found = dict(zip(FEATURES, features(octets), strict=True))
+    if not words:
+        assert set(found.values()) == {0.0}
+        return
+    n, size = len(words), len(octets)
+    lines = [line for line in octets.split(b"\n") if line.strip()]
+    pairs = list(zip(words, words[1:], strict=False))
+    triples = list(zip(words, words[1:], words[2:], strict=False))
+    mean = sum(map(len, words)) / n
+    letters = max(1, sum(chr(o).isascii() and chr(o).isalpha() for o in octets))
+    expected = {
+        "words": log1p(n),
+        "word_length": mean,
+        "word_spread": (sum((len(w) - mean) ** 2 for w in words) / n) ** 0.5,
+        "distinct": len(set(words)) / n,
+        "top_word": max(map(words.count, words)) / n,
+        "stutter": _share(sum(a == b for a, b in pairs), len(pairs)),
+        "pairs_again": 1 - len(set(pairs)) / len(pairs) if pairs else 0.0,
+        "triples_again": 1 - len(set(triples)) / len(triples) if triples else 0.0,
+        "upper": sum(65 <= o <= 90 for o in octets) / letters,
+        "digits": sum(48 <= o <= 57 for o in octets) / size,
+        "symbols": sum(o in b"#*$%&<>" for o in octets) / size,
+        "exclaims": octets.count(b"!") / n,
+        "pipes": octets.count(b"|") / n,
+        "stops": octets.count(b".") / n,
+        "beyond_ascii": sum(o >= 0x80 for o in octets) / size,
+        "short_words": sum(len(w) <= 3 for w in words) / n,
+        "lines_again": 1 - len(set(lines)) / len(lines),
+        "line_words": log1p(n / len(lines)),
+        "spaces": sum(o in b" \t\n\r\v\f" for o in octets) / size,
+    }
+    for name, value in expected.items():
+        assert found[name] == pytest.approx(value, abs=1e-9), name
+
+
+def test_additive_scores_by_plain_loops():
+    """A base, one table entry per feature and one per pair, under a logistic curve."""
+    rng = np.random.default_rng(4)
+    width = 6
+    edges = [np.sort(rng.normal(size=n)) for n in (0, 1, 3, 7, 31, 31)]
+    coarse = [np.sort(rng.normal(size=n)) for n in (0, 1, 3, 7, 7, 7)]
+    pairs = [(0, 1), (4, 2), (3, 5)]
+    model = Additive(
+        0.3, edges, coarse, [rng.normal(size=len(e) + 1) for e in edges], pairs,
+        [rng.normal(size=(len(coarse[a]) + 1, len(coarse[b]) + 1)) for a, b in pairs],
+    )
+    values = rng.normal(size=(50, width))
+    values[0] = [e[0] if len(e) else 0.0 for e in edges]  # on an edge: the bin above it
+    for row, score in zip(values.tolist(), model.score(values), strict=True):
+        total = 0.3
+        for value, edge, table in zip(row, edges, model.tables, strict=True):
+            total += table[bisect_right(edge.tolist(), value)]
+        for (a, b), table in zip(pairs, model.pair_tables, strict=True):
+            total += table[bisect_right(coarse[a].tolist(), row[a])][bisect_right(coarse[b].tolist(), row[b])]
+        assert score == pytest.approx(1 / (1 + exp(-total)))
+
+
+def _rows(word):
+    """The places of a word's character n-grams, and that of the word itself."""
+    odd, marked, size = 0x9E3779B97F4A7C15, b"<" + word + b">", 2**64
+    rows = []
+    for length in toxicity.SIZES:
+        for start in range(len(marked) - length + 1):
+            key = 0
+            for octet in marked[start : start + length]:
+                key = (key + octet + 1) * odd % size
+            rows.append(((key ^ key >> 31) * odd % size >> 40) % toxicity.BUCKETS)
+    return rows, ((zlib.crc32(word) + 1) * odd % size >> 40) % toxicity.BUCKETS
+
+
+@settings(max_examples=60, deadline=None)
+@given(st.lists(st.text(alphabet="abcxyzé", min_size=1, max_size=9), min_size=1, max_size=14))
+def test_a_toxicity_score_by_plain_loops(words):
+    rng = np.random.default_rng(9)
+    model = Softmax(rng.normal(size=toxicity.BUCKETS), -0.2)
+    octets = [word.encode() for word in words]
+    values = []
+    for word in octets:
+        rows, own = _rows(word)
+        mean = sum(model.bucket[row] for row in rows) / len(rows)
+        values.append((1 - toxicity.WHOLE) * mean + toxicity.WHOLE * model.bucket[own])
+    span = min(toxicity.WINDOW, len(values))
+    means = [sum(values[at : at + span]) / span for at in range(len(values) - span + 1)]
+    expected = 1 / (1 + exp(-(max(means) - 0.2)))
+    assert model.text(model.words(octets)) == pytest.approx(expected, rel=1e-4)
