@@ -95,17 +95,16 @@ def land_distinct(
         drop_commit(spark, path, place)
         mark = F.lit(newest).cast("timestamp") - F.expr(f"INTERVAL {delay}")
         in_time = F.col(event_time).isNotNull() & F.coalesce(F.col(event_time) >= mark, F.lit(True))
+        judged = batch.withColumn("kind", F.when(in_time, IN_TIME).otherwise(LATE)).persist()
         (
-            batch.withColumn("kind", F.when(in_time, IN_TIME).otherwise(LATE))
-            .withColumn("event_day", F.col(event_time).cast("date"))
-            .select(*names, "kind", "event_day")
+            judged.select(*names, "kind")
             .write.mode("overwrite")
             .option("partitionOverwriteMode", "static")
-            .partitionBy("kind", "event_day")
+            .partitionBy("kind")
             .parquet(f"{path}/rows/{place}")
         )
-        landed = _read(spark, [f"{path}/rows/{place}"], stream.schema)
-        rows, latest = landed.agg(F.count(F.lit(1)), F.max(event_time)).first()
+        rows, latest = judged.agg(F.count(F.lit(1)), F.max(event_time)).first()
+        judged.unpersist()
         commit_batch(spark, path, place, batch_id, rows, newest=latest)
 
     return (
