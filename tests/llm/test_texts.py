@@ -231,6 +231,77 @@ def test_spans_query(spark, documents):
     assert any(row.n_removed for row in rows)
 
 
+def _plain_gaps(words):
+    """The gaps between words that are the least of any window of gaps, by plain loops."""
+    one, two = (int(factor) for factor in substring_dedup._FACTORS)
+    gaps = []
+    for left, right in zip(words, words[1:], strict=False):
+        gap = (zlib.crc32(left.encode()) * one + zlib.crc32(right.encode())) % 2**64
+        gap = (gap ^ gap >> 32) * two % 2**64
+        gaps.append(gap ^ gap >> 29)
+    width, chosen = substring_dedup._WINDOW, set()
+    for first in range(len(gaps) - width + 1):
+        window = gaps[first : first + width]
+        chosen |= {first + i for i, gap in enumerate(window) if gap == min(window)}
+    return chosen
+
+
+def _plain_sentences(text):
+    """The words of each sentence, long ones cut."""
+    parts = [_words(part) for part in re.split(r"(?<=[.!?])(?=[ \t\n\v\f\r])|(?<=\n)", text)]
+    chosen, found, at = _plain_gaps([word for part in parts for word in part]), [], 0
+    for part in filter(None, parts):
+        first = 0
+        for place in range(1, len(part) + 1):
+            if place == len(part) or len(part) > substring_dedup.LONG and at + place - 1 in chosen:
+                found.append(" ".join(part[first:place]))
+                first = place
+        at += len(part)
+    return found
+
+
+def _plain_runs(found, several, words):
+    """First and one behind the last sentence of every run."""
+    sizes = [len(sentence.split()) for sentence in found]
+
+    def enough(a, b):
+        return b - a >= several and sum(sizes[a:b]) >= words
+
+    spans = []
+    for start in range(len(found)):
+        stops = [stop for stop in range(start + 1, len(found) + 1) if enough(start, stop)]
+        spans += [(start, stops[0])] if stops else []
+    if spans and spans[-1][1] < len(found):
+        spans.append((max(s for s in range(len(found)) if enough(s, len(found))), len(found)))
+    return spans
+
+
+def test_spans_query_by_plain_loops(spark, documents):
+    """Sentences, cuts, runs and owners without any of the operator's own functions."""
+    several, words = substring_dedup.SENTENCES, substring_dedup.WORDS
+    short = {i: text for i, text in documents.items() if len(text or "") < 20_000}
+    found = {i: _plain_sentences(text or "") for i, text in short.items()}
+    spans = {
+        i: [(a, b, tuple(cut[a:b])) for a, b in _plain_runs(cut, several, words)] for i, cut in found.items()
+    }
+    owner = {}
+    for i in sorted(spans):
+        for *_, run in spans[i]:
+            owner.setdefault(run, i)
+    expected = {}
+    for i, own in spans.items():
+        seen, gone = set(), set()
+        for a, b, run in own:
+            if run in seen or owner[run] < i:
+                gone |= set(range(a, b))
+            seen.add(run)
+        expected[i] = len(found[i]), len(gone)
+    docs = spark.createDataFrame(list(short.items()), "doc_id bigint, text string")
+    rows = drop_repeated_spans(docs).collect()
+    assert {row.doc_id: (row.n_sentences, row.n_removed) for row in rows} == expected
+    assert sum(gone for _, gone in expected.values()) > 10
+
+
 def test_passages_across_documents(spark):
     passage = " ".join(f"Sentence number {i} of the passage says something else." for i in range(8))
     own = [" ".join(f"Text {n} has line {i} for itself alone, no other." for i in range(6)) for n in range(4)]
