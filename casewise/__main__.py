@@ -19,13 +19,19 @@ from casewise.session import build_session
 from casewise.sources import decode_lines, read_bronze, read_cases, split_corrupt
 from casewise.streaming import (
     batch_options,
+    committed,
+    counted_messages,
     file_messages,
     kafka_messages,
     keyed_messages,
     land_stream,
+    publish_in_order,
     publish_to_files,
     publish_to_kafka,
     replay_trigger,
+    stream_id,
+    to_files,
+    to_kafka,
 )
 
 
@@ -73,6 +79,8 @@ def _enrich(spark, args) -> dict:
         cache_path=args.cache,
         limit=args.limit or None,
         ingest_date=args.ingest_date,
+        waves=args.waves,
+        resume_path=args.resume,
     )
 
 
@@ -84,23 +92,41 @@ def _stream(spark, args) -> dict:
     if args.bootstrap:
         options = batch_options(args.least_records, args.max_seconds, args.most_records)
         messages = kafka_messages(spark, args.bootstrap, args.source, options)
+    elif args.most_records and args.interval:
+        position = f"{args.checkpoint.rstrip('/')}-position"
+        limits = {"most": args.most_records, "least": args.least_records, "seconds": args.max_seconds}
+        messages = counted_messages(spark, args.source, position, **limits)
     else:
         messages = file_messages(spark, args.source, args.files_per_batch)
     trigger = {"processingTime": f"{args.interval} seconds"} if args.interval else None
     day = F.lit(args.ingest_date) if args.ingest_date else None
+    place = f"stream={stream_id(spark, args.checkpoint)}/"
+
+    def landed() -> dict[int, int]:
+        mine = (entry for entry in committed(spark, args.out) if entry.place.startswith(place))
+        return {entry.batch: entry.documents + entry.broken for entry in mine}
+
+    before = landed()
     query = land_stream(decode_lines(messages), args.out, args.checkpoint, day, trigger)
-    return _drained(query, args.interval, args.idle, args.max_batches)
+    done = lambda: {batch: n for batch, n in landed().items() if batch not in before}
+    return _drained(query, args.interval, args.idle, args.max_batches, done)
+
 
+def _by_progress(query) -> dict[int, int]:
+    rows = {progress["batchId"]: progress["numInputRows"] for progress in query.recentProgress}
+    return {batch: n for batch, n in rows.items() if n}
 
-def _drained(query, interval: float | None, idle: float, max_batches: int | None) -> dict:
-    """Wait for a query to end, or for a running one to be idle or to have done enough."""
+
+def _drained(query, interval: float | None, idle: float, max_batches: int | None, done=None) -> dict:
+    """Wait for a query to end, or for a running one to be idle or to have done enough.
+
+    ``done`` tells the records of each batch so far; without it, the query's progress does.
+    """
     batches: dict[int, int] = {}
     quiet = time.monotonic()
 
     def note() -> None:
-        for progress in query.recentProgress:
-            if progress["numInputRows"]:
-                batches[progress["batchId"]] = progress["numInputRows"]
+        batches.update(done() if done else _by_progress(query))
 
     while interval and query.isActive:
         before = len(batches)
@@ -125,7 +151,11 @@ def _publish(spark, args) -> dict:
         per_file = args.records_per_file
         trigger = replay_trigger(per_file, args.files_per_batch or 1, args.rate)
     messages = keyed_messages(documents, args.key)
-    if args.bootstrap:
+    if args.order_by:
+        sink = to_kafka(args.bootstrap, args.topic) if args.bootstrap else to_files(args.topic)
+        position = [F.col(name) for name in args.order_by]
+        query = publish_in_order(documents, args.key, position, sink, args.checkpoint, trigger)
+    elif args.bootstrap:
         query = publish_to_kafka(messages, args.bootstrap, args.topic, args.checkpoint, trigger)
     else:
         query = publish_to_files(messages, args.topic, args.checkpoint, trigger)
@@ -160,6 +190,8 @@ def _parser() -> argparse.ArgumentParser:
     job.add_argument("--gold", required=True)
     job.add_argument("--cache")
     job.add_argument("--limit", type=int, default=0, help="0, the default, for all")
+    job.add_argument("--waves", type=int, default=1, help="with --resume: parts that are committed one by one")
+    job.add_argument("--resume", help="a folder from which a broken-off run is taken up")
     job.add_argument("--ingest-date")
     job.set_defaults(run=_enrich)
 
@@ -174,6 +206,7 @@ def _parser() -> argparse.ArgumentParser:
     job.add_argument("--bootstrap")
     job.add_argument("--checkpoint", required=True)
     job.add_argument("--key", default="safetyreportid")
+    job.add_argument("--order-by", nargs="+", help="fields that order the messages of a key, which are numbered")
     job.add_argument("--limit", type=int)
     job.add_argument("--rate", type=float, help="records per second; without, all at once")
     job.add_argument("--records-per-file", type=int, default=500)
@@ -187,7 +220,7 @@ def _parser() -> argparse.ArgumentParser:
     job.add_argument("--out", required=True)
     job.add_argument("--checkpoint", required=True)
     job.add_argument("--least-records", type=int, default=200)
-    job.add_argument("--most-records", type=int)
+    job.add_argument("--most-records", type=int, help="of a folder with --interval only: files are cut where need be")
     job.add_argument("--max-seconds", type=int, default=10)
     job.add_argument("--files-per-batch", type=int)
     job.add_argument("--ingest-date")

@@ -18,6 +18,7 @@ from .ingest import (
     publish_to_kafka,
     read_landed,
     replay_trigger,
+    stream_id,
 )
 from .ordering import SEQUENCE, publish_in_order, to_files, to_kafka
 
@@ -44,6 +45,7 @@ __all__ = [
     "read_distinct",
     "read_landed",
     "replay_trigger",
+    "stream_id",
     "to_files",
     "to_kafka",
 ]

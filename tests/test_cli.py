@@ -7,6 +7,7 @@ import json
 from builders import drug, reaction, report, write_lines
 
 from casewise.__main__ import main
+from casewise.streaming import committed, read_landed
 
 
 def run(capsys, *argv) -> dict:
@@ -66,3 +67,22 @@ def test_no_input(spark, tmp_path, capsys):
     write_lines(tmp_path / "cases" / "a.json", [""])
     result = run(capsys, "enrich", "--cases", tmp_path / "cases", "--gold", tmp_path / "gold")
     assert (result["code"], result["status"]) == (1, "no_input")
+
+
+def test_ordered_publish_and_counted_landing(spark, tmp_path, capsys):
+    rows = [report(f"R{i % 3}", receiptdate=f"202401{10 + i}") for i in range(9)]
+    write_lines(tmp_path / "in" / "a.json", rows[::-1])
+    topic, out = tmp_path / "topic", tmp_path / "out"
+    run(capsys, "publish", "--source", tmp_path / "in", "--topic", topic, "--checkpoint", tmp_path / "cp-p", "--order-by", "receiptdate")
+    (folder,) = topic.glob("batch=*")
+    lines = [json.loads(line) for part in folder.glob("part-*") for line in part.read_text().splitlines()]
+    for key in ("R0", "R1", "R2"):
+        mine = [line for line in lines if line["safetyreportid"] == key]
+        assert [line["receiptdate"] for line in mine] == sorted(line["receiptdate"] for line in mine)
+        assert [line["sequence"] for line in mine] == [1, 2, 3]
+    places = ("--source", folder, "--out", out, "--checkpoint", tmp_path / "cp", "--interval", 0.1)
+    landed = run(capsys, "stream", *places, "--most-records", 4, "--least-records", 1, "--max-seconds", 0, "--idle", 15)
+    assert (landed["code"], landed["records"]) == (0, 9)
+    sizes = [entry.documents for entry in committed(spark, str(out))]
+    assert sum(sizes) == 9 and max(sizes) == 4
+    assert read_landed(spark, str(out)).count() == 9
