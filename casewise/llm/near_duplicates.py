@@ -61,8 +61,12 @@ def fingerprint(text: bytes, shingle: int = SHINGLE) -> int:
     else:
         grams = map(b" ".join, zip(*(words[i:] for i in range(shingle)), strict=False))
         count = len(words) - shingle + 1
-    hashes = np.fromiter(map(xxh64_intdigest, grams, repeat(SEED)), np.uint64, count)
-    ones = np.zeros(64, np.int64)
+    return majority(np.fromiter(map(xxh64_intdigest, grams, repeat(SEED)), np.uint64, count))
+
+
+def majority(hashes: np.ndarray) -> int:
+    """The bits that are set in over half of the hashes."""
+    ones, count = np.zeros(64, np.int64), len(hashes)
     for start in range(0, count, 1 << 14):
         octets = hashes[start : start + (1 << 14)].view(np.uint8).reshape(-1, 8)
         ones += np.unpackbits(octets, axis=1, bitorder="little").sum(axis=0, dtype=np.int64)
