@@ -3,13 +3,15 @@
 What has been seen is a key in the stream's state store, on the executors' disks and in the
 checkpoint, whatever event time a repeat has. The rows of a key in one batch are cut to the
 first of them in Arrow, within each input task before the shuffle and once more behind it, so
-a key that a third of all messages repeat is one row per task when it is shuffled.
+a key that a third of all messages repeat is a few rows per task when it is shuffled. A task in
+front of the shuffle holds a bounded number of rows; behind it there are many small ones.
 """
 
 from __future__ import annotations
 
 from collections.abc import Iterator
 
+import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
@@ -32,24 +34,40 @@ _STATE = {
 }
 
 
-def _firsts(key: str, event_time: str):
-    """Of each key of a partition the row that is first by event time, then by content."""
+# Rows that are held before a cut, and at most by a task in front of the shuffle.
+_HELD = 1 << 16
+# Tasks behind the shuffle for each partition of the state: each holds the keys of one.
+_FINER = 16
+
+
+def _firsts(key: str, event_time: str, most: int | None = None):
+    """Of each key of a partition the row that is first by event time, then by content.
+
+    With ``most``, what is held goes on once it has so many keys: a key may then come again.
+    """
 
     def cut(table: pa.Table) -> pa.Table:
         timed = table.append_column(_UNTIMED, pc.is_null(table[event_time]))
         order = [(name, "ascending") for name in (_UNTIMED, event_time, _CONTENT)]
         ordered = timed.take(pc.sort_indices(timed, sort_keys=order)).drop_columns([_UNTIMED])
-        places = pa.table({key: ordered[key], _PLACE: pa.array(range(len(ordered)), pa.int64())})
+        places = pa.table({key: ordered[key], _PLACE: np.arange(len(ordered))})
         return ordered.take(places.group_by(key).aggregate([(_PLACE, "min")])[f"{_PLACE}_min"])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        # Cut as it comes, so what is held are the keys of a partition of one batch.
-        held: pa.Table | None = None
+        # Cut whenever it has doubled, so what is held are the keys of a partition of one batch.
+        held, rows, limit = [], 0, _HELD
         for batch in batches:
-            table = cut(pa.Table.from_batches([batch]))
-            held = table if held is None else cut(pa.concat_tables([held, table]))
-        if held is not None:
-            yield from held.combine_chunks().to_batches()
+            held.append(pa.Table.from_batches([batch]))
+            rows += len(batch)
+            if rows >= limit:
+                table = cut(pa.concat_tables(held))
+                if most and len(table) >= most:
+                    yield from table.combine_chunks().to_batches()
+                    held, rows, limit = [], 0, _HELD
+                else:
+                    held, rows, limit = [table], len(table), max(_HELD, 2 * len(table))
+        if held:
+            yield from cut(pa.concat_tables(held)).combine_chunks().to_batches()
 
     return run
 
@@ -60,8 +78,9 @@ def first_arrivals(stream: DataFrame, key: str, event_time: str) -> DataFrame:
     Rows without a key are all kept.
     """
     keyed = stream.where(F.col(key).isNotNull()).withColumn(_CONTENT, F.xxhash64(*stream.columns))
-    firsts = _firsts(key, event_time)
-    cut = keyed.mapInArrow(firsts, keyed.schema).repartition(key).mapInArrow(firsts, keyed.schema)
+    partitions = _FINER * int(stream.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    few = keyed.mapInArrow(_firsts(key, event_time, _HELD // 2), keyed.schema)
+    cut = few.repartition(partitions, key).mapInArrow(_firsts(key, event_time), keyed.schema)
     new = cut.dropDuplicates([key]).drop(_CONTENT)
     return new.unionByName(stream.where(F.col(key).isNull()))
 

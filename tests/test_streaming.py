@@ -5,6 +5,7 @@ import json
 import os
 import time
 
+import numpy as np
 import pyarrow as pa
 import pytest
 from builders import report, write_lines
@@ -454,3 +455,22 @@ def test_messages_of_a_key_are_published_in_order(spark, tmp_path):
     assert all(numbers == sorted(numbers) for numbers in by_file.values())
     assert len({path for path, key in by_file if key == "A"}) == 2  # one file a batch
     assert len(found[None]) == 1 and len(found["B"]) == 1
+
+
+def test_a_task_before_the_shuffle_holds_a_bounded_number_of_rows():
+    """Many different keys go on in parts; without a bound each key comes once, its first row."""
+    from casewise.streaming.arrivals import _HELD, _firsts
+
+    taken = []
+
+    def batches():
+        for start in range(0, 4 * _HELD, 1 << 12):
+            taken.append(start)
+            keys = np.arange(start, start + (1 << 12))
+            yield pa.RecordBatch.from_pydict({"id": keys, "at": -keys, "_content": keys})
+
+    first = next(_firsts("id", "at", _HELD // 2)(batches()))
+    assert len(first) <= _HELD and len(taken) * (1 << 12) <= _HELD
+    repeated = [pa.RecordBatch.from_pydict({"id": np.arange(50_000) % 7, "at": -np.arange(50_000), "_content": np.arange(50_000) + i}) for i in (1, 0)]
+    (cut,) = _firsts("id", "at")(iter(repeated))
+    assert sorted(cut.column("at").to_pylist()) == list(range(-49_999, -49_992)) and len(cut) == 7
