@@ -196,3 +196,12 @@ def test_the_newest_assessment_of_a_report(spark, enriched_of, tmp_path):
     rows = {r.safetyreportid: r.assessment.seriousness for r in newest_assessments(spark, str(tmp_path)).collect()}
     assert rows["R1"] == "non_serious" and set(rows) == {"R1", "a", "z"}
     assert read_assessments(spark, str(tmp_path)).count() == 4
+
+
+def test_documents_written_as_lines_are_zipped(spark, tmp_path):
+    from casewise.workload.catalog import _write_zipped
+
+    path = str(tmp_path / "lines")
+    _write_zipped(spark.range(5).selectExpr("to_json(named_struct('safetyreportid', cast(id AS STRING))) AS value"), path)
+    assert all(file.suffix == ".gz" for file in (tmp_path / "lines").glob("part-*"))
+    assert read_bronze(spark, path).where("safetyreportid IS NOT NULL").count() == 5
