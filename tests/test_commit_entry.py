@@ -1,0 +1,29 @@
+"""A batch's entry in the commit log costs no Spark job, nor does the question whether it is there."""
+
+from __future__ import annotations
+
+from datetime import UTC, datetime
+
+from casewise.sources.commits import commit_batch, committed, drop_commit, has_commit
+
+
+def test_an_entry_is_written_without_a_job(spark, tmp_path):
+    path, newest = str(tmp_path), datetime(2024, 1, 2, 3, 4, 5, 678000, tzinfo=UTC)
+    spark.sparkContext.setJobGroup("entries", "entries")
+    commit_batch(spark, path, "stream=a/batch=0", 0, 3)
+    commit_batch(spark, path, "stream=a/batch=1", 1, 5, 2, newest)
+    commit_batch(spark, path, "stream=a/batch=1", 1, 4, 1, newest)
+    assert has_commit(spark, path, "stream=a/batch=1")
+    assert not has_commit(spark, path, "stream=a/batch=2")
+    jobs = list(spark.sparkContext.statusTracker().getJobIdsForGroup("entries"))
+    spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+    assert jobs == []
+    entries = committed(spark, path)
+    assert [(e.place, e.documents, e.broken) for e in entries] == [
+        ("stream=a/batch=0", 3, 0),
+        ("stream=a/batch=1", 4, 1),
+    ]
+    assert entries[0].newest is None
+    assert entries[1].newest.astimezone(UTC) == newest
+    drop_commit(spark, path, "stream=a/batch=1")
+    assert not has_commit(spark, path, "stream=a/batch=1")
