@@ -280,7 +280,7 @@ def capped_input(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return signals.pairs_from_documents(tables.latest(spark, sf_dir))
+    return signals.pairs_from_documents(tables.latest(spark, sf_dir, signals.PAIR_SCHEMA))
 
 
 @query
@@ -296,7 +296,8 @@ def pair_build_from_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def pair_build_all_roles(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return signals.pairs_from_documents(tables.latest(spark, sf_dir), suspect_only=False)
+    latest = tables.latest(spark, sf_dir, signals.PAIR_SCHEMA)
+    return signals.pairs_from_documents(latest, suspect_only=False)
 
 
 @query
