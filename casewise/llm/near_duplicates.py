@@ -17,7 +17,8 @@ agree, runs of such nodes form the next level, and a child keeps only the bits i
 has not settled. A search goes down from the top, adds up the differences pattern by
 pattern, and drops a whole group as soon as they exceed the limit.
 
-A leaf gives a spanning forest of its links rather than all pairs; the forests are joined
+A leaf gives a spanning forest of its links rather than all pairs (``apart`` gives the pairs
+between what is not joined yet, for those who check links); the forests are joined
 by alternating large-star and small-star steps. Exact copies share a fingerprint and enter
 the index once.
 
@@ -28,7 +29,7 @@ has an id, the component is null. An empty table gives an empty result.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from itertools import repeat
 
 import numpy as np
@@ -48,6 +49,8 @@ LEAF = 1024
 FAN = 8
 # Rows that a task searches at once; leaves stay whole.
 _CHUNK = 4096
+# Links in a batch that a task gives back.
+_PAIRS = 1 << 16
 _ALL = (1 << 64) - 1
 
 
@@ -207,22 +210,31 @@ def _forest(count: int, left: np.ndarray, right: np.ndarray) -> np.ndarray:
             return root
 
 
-def _search(distance: int):
+def _search(distance: int, grouped: bool = False):
     schema = pa.schema([("left", pa.int64()), ("right", pa.int64())])
+    names = ("mask", "value", "print", *(("low", "high") if grouped else ()))
 
-    def edges(prints: np.ndarray, firsts: np.ndarray) -> pa.RecordBatch:
+    def edges(firsts: np.ndarray, prints: np.ndarray, *ends: np.ndarray) -> Iterator[pa.RecordBatch]:
         left, right = GrayTree(prints.view(np.uint64), firsts).links(distance)
-        root = _forest(len(prints), left, right)
-        linked = np.flatnonzero(root != np.arange(len(prints)))
-        columns = [pa.array(prints[root[linked]]), pa.array(prints[linked])]
-        return pa.RecordBatch.from_arrays(columns, schema=schema)
+        if grouped:
+            low, high = ends
+            one = (low[left] == high[left]) & (low[right] == high[right]) & (low[left] == low[right])
+            left, right = left[~one], right[~one]
+        else:
+            root = _forest(len(prints), left, right)
+            right = np.flatnonzero(root != np.arange(len(prints)))
+            left = root[right]
+        for start in range(0, len(left), _PAIRS):
+            some = slice(start, start + _PAIRS)
+            columns = [pa.array(prints[left[some]]), pa.array(prints[right[some]])]
+            yield pa.RecordBatch.from_arrays(columns, schema=schema)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held = [np.empty(0, np.int64)] * 3
+        held = [np.empty(0, np.int64)] * len(names)
         for batch in batches:
             held = [
                 np.concatenate([a, batch.column(name).to_numpy()])
-                for a, name in zip(held, ("mask", "value", "print"), strict=True)
+                for a, name in zip(held, names, strict=True)
             ]
             while len(held[0]) >= _CHUNK:
                 firsts = _firsts(*held[:2])
@@ -231,10 +243,10 @@ def _search(distance: int):
                 if not whole.size:
                     break
                 cut = int(whole[0])
-                yield edges(held[2][:cut], firsts[firsts < cut])
+                yield from edges(firsts[firsts < cut], *(a[:cut] for a in held[2:]))
                 held = [a[cut:] for a in held]
         if len(held[0]):
-            yield edges(held[2], _firsts(*held[:2]))
+            yield from edges(_firsts(*held[:2]), *held[2:])
 
     return run
 
@@ -247,19 +259,38 @@ def _firsts(mask: np.ndarray, value: np.ndarray) -> np.ndarray:
 def links(prints: DataFrame, distance: int = DISTANCE, leaf: int = LEAF) -> DataFrame:
     """``left``, ``right``: a spanning forest, leaf by leaf, of all links between the
     distinct fingerprints of ``prints``."""
+    return forest(index(prints, leaf), distance)
+
+
+def index(prints: DataFrame, leaf: int = LEAF) -> DataFrame:
+    """The members of all leaves, for one search or more."""
+    return _leaves(prints, leaf)
+
+
+def forest(members: DataFrame, distance: int = DISTANCE) -> DataFrame:
+    """``links`` of an ``index``."""
+    return _searched(members, _search(distance), distance)
+
+
+def apart(members: DataFrame, groups: DataFrame, distance: int = DISTANCE) -> DataFrame:
+    """``left``, ``right``: every link of an ``index``, but for those within one group.
+
+    ``groups`` has of each fingerprint, ``print``, the ``low`` and the ``high`` end of its groups.
+    """
+    return _searched(members.join(groups, "print"), _search(distance, grouped=True), distance)
+
+
+def _searched(members: DataFrame, search: Callable, distance: int) -> DataFrame:
     if not 0 <= distance <= 2:
         raise ValueError("three blocks find links of at most two differing bits")
     free = F.col("print").bitwiseAND(F.bitwise_not("mask"))
-    members = _leaves(prints, leaf)
     n = int(members.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     ordered = (
         members.withColumn("rank", _gray_rank(free))
         .repartition(n, "mask", "value")
         .sortWithinPartitions("mask", "value", "rank")
     )
-    found = ordered.select("mask", "value", "print").mapInArrow(
-        _search(distance), "left bigint, right bigint"
-    )
+    found = ordered.drop("rank").mapInArrow(search, "left bigint, right bigint")
     return found.distinct()
 
 

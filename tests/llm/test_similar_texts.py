@@ -96,3 +96,32 @@ def test_equal_fingerprints_are_no_links_by_themselves(spark, monkeypatch):
     docs = [(i, f"a{i} b{i} c{i} d{i} e{i} f{i}") for i in range(30)] + [(30, "A0 b0 c0 d0  e0 f0")]
     kept = drop_similar(spark.createDataFrame(docs, "doc_id bigint, text string"))
     assert sorted(row.doc_id for row in kept.collect()) == list(range(30))
+
+
+def _chain():
+    """Five texts: the second one is similar to the third only, the first to none, the fourth to the fifth only."""
+    words = [[f"{family}w{i}" for i in range(60)] for family in "abc"]
+    return {
+        1: " ".join(words[0]),
+        2: " ".join(words[1]),
+        3: " ".join([*words[1][:59], "x"]),
+        4: " ".join(words[2]),
+        5: " ".join([*words[2][:59], "y"]),
+    }
+
+
+def test_all_pairs_of_one_fingerprint_are_compared(spark, monkeypatch):
+    """Not only the first class with each other one: the first is similar to none of them."""
+    monkeypatch.setattr(similar_texts, "sketch", lambda grams: (sketch(grams)[0], 7, []))
+    docs = spark.createDataFrame(list(_chain().items()), "doc_id bigint, text string")
+    assert {row.doc_id for row in drop_similar(docs).collect()} == firsts_of_similar(_chain()) == {1, 2, 4}
+
+
+def test_all_pairs_of_few_bits_are_compared(spark, monkeypatch):
+    """Not only those of a spanning forest: any two fingerprints differ in two bits at most."""
+    order = {sketch(shingles(text.encode()))[0]: i for i, text in _chain().items()}
+    monkeypatch.setattr(
+        similar_texts, "sketch", lambda grams: (key := sketch(grams)[0], 1 << order[key], [])
+    )
+    docs = spark.createDataFrame(list(_chain().items()), "doc_id bigint, text string")
+    assert {row.doc_id for row in drop_similar(docs).collect()} == firsts_of_similar(_chain()) == {1, 2, 4}
