@@ -6,8 +6,10 @@ from datetime import datetime
 
 import pytest
 
+from casewise.operators.signals import pairs_from_documents
 from casewise.operators.silver import latest_versions
 from casewise.workload import tables
+from casewise.workload.catalog import QUERIES
 
 DAY = datetime(2024, 3, 5)
 
@@ -45,3 +47,11 @@ def test_lines_are_dealt_out_by_order_only(spark, folder):
     plan = tables.latest(spark, folder)._jdf.queryExecution().executedPlan().toString()
     assert "hashpartitioning(l_orderkey" in plan
     assert plan.count("Exchange hashpartitioning(") == 2  # the lines and the orders
+
+
+def test_pairs_from_tables_are_those_of_all_documents(spark, folder):
+    """``pair_build`` as a whole, its work table included, against the pairs from the documents."""
+    pairs = QUERIES["pair_build"](spark, folder)
+    wanted = pairs_from_documents(latest_versions(tables.documents(spark, folder)))
+    assert sorted(map(repr, pairs.collect())) == sorted(map(repr, wanted.collect()))
+    assert pairs.count() > 0
